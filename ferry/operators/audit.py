@@ -14,7 +14,8 @@ from datetime import datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
-from pyspark.sql.utils import AnalysisException
+
+from ferry.operators.sink import path_exists
 
 AUDIT_SCHEMA = StructType(
     [
@@ -56,13 +57,13 @@ class RunRecord:
     loaded_obj_count: int
     last_checkpoint: datetime | None
     resumed: bool
+    started_at: datetime | None = None
 
 
 def read_audit(spark: SparkSession, path: str) -> DataFrame:
-    try:
-        return spark.read.schema(AUDIT_SCHEMA).parquet(path)
-    except AnalysisException:
+    if not path_exists(spark, path):
         return spark.createDataFrame([], AUDIT_SCHEMA)
+    return spark.read.schema(AUDIT_SCHEMA).parquet(path)
 
 
 def _append(spark: SparkSession, path: str, row: tuple) -> None:
@@ -82,10 +83,10 @@ def open_run(spark: SparkSession, path: str, source_id: str, destination_id: str
     )
     if prev and prev[0]["status"] in (STARTED, FAILED):
         p = prev[0]
-        rec = RunRecord(p["audit_id"], source_id, destination_id, int(p["loaded_obj_count"] or 0), p["last_checkpoint"], True)
+        rec = RunRecord(p["audit_id"], source_id, destination_id, int(p["loaded_obj_count"] or 0), p["last_checkpoint"], True, now)
     else:
         last = prev[0]["last_checkpoint"] if prev else None
-        rec = RunRecord(uuid.uuid4().hex, source_id, destination_id, 0, last, False)
+        rec = RunRecord(uuid.uuid4().hex, source_id, destination_id, 0, last, False, now)
     _append(spark, path, (rec.audit_id, source_id, destination_id, STARTED, now, rec.last_checkpoint, None, None, rec.loaded_obj_count, None))
     return rec
 
@@ -102,10 +103,15 @@ def close_run(
     checkpoint: datetime | None = None,
     now: datetime | None = None,
 ) -> None:
-    """M3: append the closing row with the run's counters."""
+    """M3: append the closing row with the run's counters.
+
+    A successful run moves the checkpoint to ``checkpoint`` or, by default, to
+    the time the run started, so rows that arrive during a run are read by
+    the next one; a failed run keeps the previous checkpoint.
+    """
     if status not in (SUCCESS, FAILED):
         raise ValueError(f"status must be {SUCCESS} or {FAILED}")
-    ckpt = checkpoint if status == SUCCESS and checkpoint is not None else run.last_checkpoint
+    ckpt = (checkpoint or run.started_at) if status == SUCCESS else run.last_checkpoint
     _append(
         spark,
         path,

@@ -23,9 +23,8 @@ import pandas as pd
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
-from pyspark.sql.utils import AnalysisException
 
-from ferry.operators.sink import check_partition_value
+from ferry.operators.sink import check_partition_value, path_exists
 
 BODY_SCHEMA = StructType([StructField("page", LongType()), StructField("body", StringType())])
 LANDED_SCHEMA = StructType(
@@ -101,10 +100,9 @@ def land(bodies: DataFrame, landing_path: str, source_id: str, load_id: str, wav
 
 def landed(spark: SparkSession, landing_path: str, source_id: str | None = None, load_id: str | None = None) -> DataFrame:
     """All landed rows, pruned to one source/load by partition filters."""
-    try:
-        df = spark.read.schema(LANDED_SCHEMA).parquet(landing_path)
-    except AnalysisException:
+    if not path_exists(spark, landing_path):
         return spark.createDataFrame([], LANDED_SCHEMA)
+    df = spark.read.schema(LANDED_SCHEMA).parquet(landing_path)
     if source_id is not None:
         df = df.filter(F.col("source_id") == source_id)
     if load_id is not None:

@@ -7,7 +7,6 @@ from typing import Any, Iterable, Mapping
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
-from pyspark.sql.utils import AnalysisException
 
 PAYLOAD = "data_payload"
 
@@ -26,12 +25,9 @@ def sql_source(spark: SparkSession, query: str, args: Mapping[str, Any] | None =
 
 def existing_payload_schema(spark: SparkSession, table: str | None) -> StructType:
     """The record schema already stored in a landed table (empty if none)."""
-    if not table:
-        return StructType([])
-    try:
-        schema = scan(spark, table).schema
-    except AnalysisException:
+    if not table or not table_exists(spark, table):
         return StructType([])
+    schema = scan(spark, table).schema
     if PAYLOAD in schema.fieldNames():
         dt = schema[PAYLOAD].dataType
         if isinstance(dt, StructType):
@@ -59,11 +55,14 @@ def ignore_fields(settings: DataFrame | None, table: str | None) -> list[str]:
 
 
 def table_exists(spark: SparkSession, table: str) -> bool:
-    try:
-        scan(spark, table).schema
-        return True
-    except AnalysisException:
-        return False
+    if "/" in table or table.endswith(".parquet"):
+        jvm = spark.sparkContext._jvm
+        p = jvm.org.apache.hadoop.fs.Path(table)
+        fs = p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+        return bool(fs.exists(p)) and any(
+            not s.getPath().getName().startswith(("_", ".")) for s in fs.listStatus(p)
+        )
+    return spark.catalog.tableExists(table)
 
 
 def union_all_by_name(frames: Iterable[DataFrame]) -> DataFrame:

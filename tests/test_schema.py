@@ -1,0 +1,72 @@
+import json
+
+from pyspark.sql import functions as F
+from pyspark.sql.types import LongType, StringType, StructField, StructType, DoubleType
+
+from ferry.functions import extract
+from ferry.operators import schema as sch
+
+
+def _recs(spark, records):
+    body = json.dumps({"items": records})
+    b = spark.createDataFrame([(0, body)], "page long, body string")
+    return extract.extract_records(b, "items")
+
+
+def _types(schema):
+    return {f.name: f.dataType.simpleString() for f in schema.fields}
+
+
+def test_inference_rules(spark):
+    s = sch.infer_schema(_recs(spark, [{"i": 1, "f": 1.5, "s": "x", "b": True, "n": None, "o": {"x": 1}, "a": [1, 2]}]))
+    assert _types(s) == {"a": "array<bigint>", "b": "boolean", "f": "double", "i": "bigint", "n": "string",
+                         "o": "struct<x:bigint>", "s": "string"}
+
+
+def test_type_conflicts(spark):
+    assert _types(sch.infer_schema(_recs(spark, [{"id": 1}, {"id": 2.5}]))) == {"id": "double"}
+    assert _types(sch.infer_schema(_recs(spark, [{"id": 1}, {"id": 2.5}, {"id": "z"}]))) == {"id": "string"}
+
+
+def test_inference_fallback_over_all_records_is_equal(spark):
+    recs = _recs(spark, [{"a": i, f"k{i % 5}": i * 1.5} for i in range(40)])
+    assert sch.infer_schema(recs, max_examples=2) == sch.infer_schema(recs)
+
+
+def test_census_counts_shapes(spark):
+    rows = sch.census(_recs(spark, [{"a": 1}, {"a": 2}, {"a": 1, "b": "x"}])).collect()
+    assert sorted((r.schema, r.n) for r in rows) == [("OBJECT<a: BIGINT, b: STRING>", 1), ("OBJECT<a: BIGINT>", 2)]
+
+
+def test_merge_keeps_existing_order_and_appends():
+    old = StructType([StructField("b", LongType()), StructField("a", StringType())])
+    new = StructType([StructField("a", StringType()), StructField("c", DoubleType())])
+    assert sch.merge_schemas(old, new).fieldNames() == ["b", "a", "c"]
+
+
+def test_diff_new_and_changed():
+    old = StructType([StructField("a", LongType()), StructField("o", StructType([StructField("x", LongType())]))])
+    new = StructType([StructField("a", DoubleType()), StructField("o", StructType([StructField("x", LongType()), StructField("y", StringType())])), StructField("z", StringType())])
+    d = sch.schema_diff(old, new)
+    assert d.only_in_current == [("o.y", "string"), ("z", "string")]
+    assert d.type_changed == [("a", "bigint", "double")]
+
+
+def test_drop_fields_nested():
+    s = StructType([StructField("a", LongType()), StructField("o", StructType([StructField("x", LongType()), StructField("y", LongType())]))])
+    assert sch.drop_fields(s, ["a", "o.y"]).simpleString() == "struct<o:struct<x:bigint>>"
+
+
+def test_conform_missing_null_and_quarantine(spark):
+    recs = _recs(spark, [{"id": 1, "n": "a"}, {"n": "b"}, {"id": "zz", "n": "c"}])
+    schema = StructType([StructField("id", LongType()), StructField("n", StringType())])
+    good, bad = sch.split_corrupt(sch.conform(recs, schema))
+    assert {(r.id, r.n) for r in good.collect()} == {(None, "b"), (1, "a")}
+    assert [json.loads(r[sch.CORRUPT])["id"] for r in bad.collect()] == ["zz"]
+
+
+def test_conform_with_merged_schema_loses_nothing(spark):
+    recs = _recs(spark, [{"id": 1}, {"id": 2.5}, {"id": "z"}])
+    good, bad = sch.split_corrupt(sch.conform(recs, sch.infer_schema(recs)))
+    assert bad.count() == 0
+    assert sorted(r.id for r in good.collect()) == ["1", "2.5", "z"]
