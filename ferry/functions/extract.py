@@ -104,5 +104,5 @@ def body_summary(
         .otherwise(F.lit("ok"))
         .alias("status"),
         total.alias("total"),
-        F.coalesce(F.size(recs), F.lit(0)).cast("bigint").alias("n_records"),
+        F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint").alias("n_records"),
     )

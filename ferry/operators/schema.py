@@ -51,12 +51,17 @@ _FRACTIONAL = (DoubleType, FloatType, DecimalType)
 # ---------------------------------------------------------------- census
 
 def census(records: DataFrame, record_col: str = "record") -> DataFrame:
-    """Distinct record shapes with their counts and one example each."""
+    """Distinct record shapes with their counts and one example each.
+
+    The shape is computed once per record; only the one kept example per
+    shape is serialised, after the (partial) aggregation.
+    """
     v = F.col(record_col)
-    return records.groupBy(F.schema_of_variant(v).alias("schema")).agg(
+    grouped = records.groupBy(F.schema_of_variant(v).alias("schema")).agg(
         F.count(F.lit(1)).alias("n"),
-        F.min(F.to_json(v)).alias("example"),
+        F.any_value(v).alias("_example"),
     )
+    return grouped.select("schema", "n", F.to_json("_example").alias("example"))
 
 
 # ------------------------------------------------------------- inference (G1)
@@ -64,8 +69,8 @@ def census(records: DataFrame, record_col: str = "record") -> DataFrame:
 def infer_schema(records: DataFrame, record_col: str = "record", max_examples: int = 2048) -> StructType:
     """G1: the merged Spark schema of all object records (see module doc)."""
     spark = records.sparkSession
-    objects = records.filter(F.schema_of_variant(F.col(record_col)).startswith("OBJECT"))
-    examples = census(objects, record_col).select("example").limit(max_examples + 1).collect()
+    shapes = census(records, record_col).filter(F.col("schema").startswith("OBJECT"))
+    examples = shapes.select("example").limit(max_examples + 1).collect()
     if not examples:
         return StructType([])
     if len(examples) <= max_examples:
@@ -73,6 +78,7 @@ def infer_schema(records: DataFrame, record_col: str = "record", max_examples: i
         inferred = spark.read.json(rdd).schema
     else:
         path = scratch_path(spark, "infer")
+        objects = records.filter(F.schema_of_variant(F.col(record_col)).startswith("OBJECT"))
         objects.select(F.to_json(F.col(record_col)).alias("value")).write.text(path)
         inferred = spark.read.json(path).schema
     return StructType([f for f in inferred.fields if f.name != CORRUPT])

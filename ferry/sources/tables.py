@@ -27,7 +27,11 @@ def existing_payload_schema(spark: SparkSession, table: str | None) -> StructTyp
     """The record schema already stored in a landed table (empty if none)."""
     if not table or not table_exists(spark, table):
         return StructType([])
-    schema = scan(spark, table).schema
+    if "/" in table or table.endswith(".parquet"):
+        # every load's footer counts: a later load may have added fields
+        schema = spark.read.option("mergeSchema", "true").parquet(table).schema
+    else:
+        schema = spark.read.table(table).schema
     if PAYLOAD in schema.fieldNames():
         dt = schema[PAYLOAD].dataType
         if isinstance(dt, StructType):

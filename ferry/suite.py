@@ -188,7 +188,7 @@ CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegmen
 
 def q_xml_records(spark, d):
     c = table(spark, d, "customer")
-    t = _typed(xml_pages(c, F.col("c_nationkey"), ["c_custkey"]), "item", "xml")
+    t = _typed(xml_pages(c, F.floor(F.col("c_custkey") / PAGE), ["c_custkey"]), "item", "xml")
     return t.select("page", "pos", *CUSTOMER_COLS)
 
 
@@ -345,9 +345,13 @@ SELECT l_returnflag, l_linestatus, sum(l_quantity) AS sum_qty, count(*) AS n_lin
 FROM lineitem GROUP BY l_returnflag, l_linestatus
 """
 SQL_WINDOW = """
-SELECT o_custkey, o_orderkey,
-       CAST(row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate, o_orderkey) AS BIGINT) AS rn
-FROM orders
+SELECT c_nationkey, c_custkey, revenue, rk FROM (
+  SELECT c_nationkey, c_custkey, revenue,
+         CAST(rank() OVER (PARTITION BY c_nationkey ORDER BY revenue DESC, c_custkey) AS BIGINT) AS rk
+  FROM (SELECT c.c_nationkey AS c_nationkey, c.c_custkey AS c_custkey, round(sum(o.o_totalprice), 2) AS revenue
+        FROM orders o JOIN customer c ON o.o_custkey = c.c_custkey
+        GROUP BY c.c_nationkey, c.c_custkey) per_customer
+) ranked WHERE rk <= 3
 """
 
 
@@ -460,7 +464,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "audit_reconcile": q_audit_reconcile,
     "sql_source_join": _sql(SQL_JOIN, ["orders", "customer", "nation"]),
     "sql_source_group": _sql(SQL_GROUP, ["lineitem"]),
-    "sql_source_window": _sql(SQL_WINDOW, ["orders"]),
+    "sql_source_window": _sql(SQL_WINDOW, ["orders", "customer"]),
     "chunk_array": q_chunk_array,
     "chunk_nested": q_chunk_nested,
     "chunk_xml": q_chunk_xml,
@@ -511,8 +515,8 @@ SELECT CAST(o_orderkey // 100 AS BIGINT) AS page, 'ok' AS status,
        (SELECT count(*) FROM orders) AS total, count(*) AS n_records
 FROM orders GROUP BY o_orderkey // 100""",
     "xml_records": """
-SELECT CAST(c_nationkey AS BIGINT) AS page,
-       CAST(row_number() OVER (PARTITION BY c_nationkey ORDER BY c_custkey) - 1 AS BIGINT) AS pos,
+SELECT CAST(c_custkey // 100 AS BIGINT) AS page,
+       CAST(row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS BIGINT) AS pos,
        c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment
 FROM customer""",
     "soap_records": """
