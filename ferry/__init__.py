@@ -12,6 +12,18 @@ Everything is a DataFrame transformation; the driver only sees scalars and
 small, bounded metadata (schemas, block counts).
 """
 
+import sys
+
 from ferry.config import ExchangeConfig
 
+# Functions of this package run on executors (mapInPandas, foreachBatch).
+# Pickling them by value means the Python workers need not import the
+# package, so nothing has to be shipped with --py-files for them to work.
+try:
+    from pyspark import cloudpickle as _cp
+
+    _cp.register_pickle_by_value(sys.modules[__name__])
+except Exception:  # pragma: no cover - older pyspark: ship the package instead
+    pass
+
 __all__ = ["ExchangeConfig"]

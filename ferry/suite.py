@@ -139,7 +139,10 @@ def _typed(bodies: DataFrame, data_field: str | None, fmt: str = "json", soap: b
 # ------------------------------------------------------------------ S1 F1 K4 K5 A1 L1
 
 def q_filter_table(spark, d):
-    return flows.view_to_table(spark, f"{d}/events.parquet", "events_raw", "value < 30")
+    """View over the scan (K5), filter (F1), materialised as a table (K4), read back."""
+    target = scratch_path(spark, "filtered")
+    flows.view_to_table(spark, f"{d}/events.parquet", "events_raw", "value < 30", target)
+    return tables.scan(spark, target)
 
 
 def q_row_count(spark, d):
@@ -247,9 +250,12 @@ DRIFT_OUT = ["event_id", "event_type", "k", "amount_cents", "code", "flag"]
 def q_conform_records(spark, d):
     ev = table(spark, d, "events")
     late = F.col("ts") >= F.lit(DRIFT_DATE).cast("timestamp_ntz")
+    # fields to drop come from a settings table keyed by table name
+    settings = spark.createDataFrame([("lake.events", "user_id"), ("lake.other", "event_type")], "table_name string, field_name string")
+    ignored = tables.ignore_fields(settings, "lake.events")
     # two loads with different record shapes, accumulated by name
-    a = _typed(drift_pages(ev.filter(~late)), "data.items", ignore=["user_id"])
-    b = _typed(drift_pages(ev.filter(late)), "data.items", ignore=["user_id"])
+    a = _typed(drift_pages(ev.filter(~late)), "data.items", ignore=ignored)
+    b = _typed(drift_pages(ev.filter(late)), "data.items", ignore=ignored)
     return tables.union_all_by_name([a, b]).select(*DRIFT_OUT)
 
 
@@ -274,6 +280,11 @@ def q_envelope(spark, d):
     )
 
 
+def q_rows_as_json(spark, d):
+    c = table(spark, d, "customer").select("c_custkey", "c_name", "c_nationkey", "c_mktsegment")
+    return env.rows_as_json(c).select(F.col("json"))
+
+
 # ------------------------------------------------------------------ K1 K2 G5 M4 F2
 
 def _inbound_cfg(source_id: str) -> ExchangeConfig:
@@ -299,6 +310,16 @@ def q_schema_evolution_append(spark, d):
     return sink.read_table(spark, path).select("data_payload.*", "load_id").select(*DRIFT_OUT, "load_id")
 
 
+def q_schema_audit(spark, d):
+    """The audit rows written when later records bring new fields."""
+    ev = table(spark, d, "events")
+    before = ev.filter(F.col("ts") < F.lit(DRIFT_DATE).cast("timestamp_ntz"))
+    old = sch.infer_schema(extract.extract_records(drift_pages(before), "data.items"))
+    new = sch.merge_schemas(old, sch.infer_schema(extract.extract_records(drift_pages(ev), "data.items")))
+    rows = sch.schema_audit_rows(spark, "lake.events", sch.schema_diff(old, new), ["user_id"], LOAD_TS)
+    return rows.select("table_name", "field_path", "new_type", "change")
+
+
 def q_incremental_load(spark, d):
     register_views(spark, d, ["events"])
     q = ("SELECT event_id, ts, user_id, event_type, value FROM events "
@@ -413,14 +434,29 @@ def q_chunk_single(spark, d):
     return b.select("batch_num", F.from_json("body", s.schema).alias("r")).select("batch_num", "r.*")
 
 
+def accept_json_body(batch_num: int, body: str) -> None:
+    """A receiver that accepts a batch only if its body is a non-empty JSON array."""
+    import json
+
+    items = json.loads(body)
+    if not isinstance(items, list) or not items:
+        raise ValueError(f"batch {batch_num}: not a JSON array of records")
+
+
+def q_deliver_batches(spark, d):
+    """Every batch of ``orders`` handed to a receiver on the executors."""
+    o = table(spark, d, "orders")
+    _, b = flows.outbound_batches(o, _out_cfg("array_dict", PAGE), ["o_orderkey"], unique=True)
+    return delivery.deliver(b, accept_json_body)
+
+
 def q_outbound_resume(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     idx = chunking.global_index(o, ["o_orderdate", "o_orderkey"], unique=True)
     batches = chunking.collect_batches(idx, 50)
     # the earlier run delivered every batch that ends before the checkpoint
-    delivered = batches.filter(
-        F.array_max(F.transform("items", lambda x: x["o_orderdate"])) < F.lit(RESUME_DATE).cast("timestamp_ntz")
-    ).select("batch_num", F.lit(True).alias("ok"))
+    ends = idx.groupBy(chunking.batch_number(F.col("rn"), 50).alias("batch_num")).agg(F.max("o_orderdate").alias("mx"))
+    delivered = ends.filter(F.col("mx") < F.lit(RESUME_DATE).cast("timestamp_ntz")).select("batch_num", F.lit(True).alias("ok"))
     return delivery.pending_batches(batches, delivered).select("batch_num", "n")
 
 
@@ -457,8 +493,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "conform_records": q_conform_records,
     "blank_to_null": q_blank_to_null,
     "envelope": q_envelope,
+    "rows_as_json": q_rows_as_json,
     "append_idempotent": q_append_idempotent,
     "schema_evolution_append": q_schema_evolution_append,
+    "schema_audit": q_schema_audit,
     "incremental_load": q_incremental_load,
     "audit_latest": q_audit_latest,
     "audit_reconcile": q_audit_reconcile,
@@ -469,6 +507,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_nested": q_chunk_nested,
     "chunk_xml": q_chunk_xml,
     "chunk_single": q_chunk_single,
+    "deliver_batches": q_deliver_batches,
     "outbound_resume": q_outbound_resume,
     "stream_ingest": q_stream_ingest,
 }
@@ -562,6 +601,22 @@ SELECT sha256(concat_ws(':', 'crm', '{LOAD_TS}', CAST(c_custkey // 100 AS VARCHA
        CAST(row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS BIGINT) AS pos,
        'load-1' AS load_id
 FROM customer""",
+    "rows_as_json": """
+SELECT CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey,
+                     'c_mktsegment': c_mktsegment}) AS VARCHAR) AS json
+FROM customer""",
+    "schema_audit": f"""
+SELECT 'lake.events' AS table_name, path AS field_path, type AS new_type, 'added' AS change FROM (
+  SELECT DISTINCT CASE event_type WHEN 'click' THEN 'k' WHEN 'purchase' THEN 'amount_cents'
+                                  WHEN 'error' THEN 'code' WHEN 'signup' THEN 'flag' END AS path,
+                  CASE event_type WHEN 'click' THEN 'bigint' WHEN 'purchase' THEN 'bigint'
+                                  WHEN 'error' THEN 'string' WHEN 'signup' THEN 'boolean' END AS type
+  FROM events WHERE {_DRIFT_LATE} AND event_type <> 'view') WHERE path IS NOT NULL
+UNION ALL
+SELECT DISTINCT 'lake.events', 'user_id', CAST(NULL AS VARCHAR), 'ignored' FROM events""",
+    "deliver_batches": """
+SELECT CAST((rn - 1) // 100 + 1 AS BIGINT) AS batch_num, count(*) AS n, TRUE AS ok, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1""",
     "append_idempotent": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "schema_evolution_append": f"""
 SELECT event_id, event_type, {_DRIFT_COLS},
