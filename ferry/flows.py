@@ -24,7 +24,7 @@ from pyspark.sql.types import StructType
 
 from ferry.config import ExchangeConfig
 from ferry.functions import encode, envelope as env, extract
-from ferry.operators import audit, chunking, delivery, schema as sch, sink
+from ferry.operators import audit, chunking, delivery, evolve, schema as sch, sink
 from ferry.plans import paging
 from ferry.sources import pages, tables
 
@@ -123,16 +123,26 @@ def load_landed(
     ignore: Sequence[str] = (),
     schema_audit_path: str | None = None,
     quarantine_path: str | None = None,
+    on_type_change: str = "fail",
 ) -> LoadResult:
-    """Landed bodies -> typed, enveloped rows in the load's partition."""
+    """Landed bodies -> typed, enveloped rows in the load's partition.
+
+    ``on_type_change``: ``"fail"`` raises ``SchemaConflict`` when a stored
+    field would change type; ``"widen"`` first rewrites the stored rows with
+    the widened type (see ``ferry.operators.evolve``).
+    """
+    if on_type_change not in ("fail", "widen"):
+        raise ValueError("on_type_change must be 'fail' or 'widen'")
     records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap)
     existing = tables.existing_payload_schema(spark, table_path)
     inferred = sch.infer_schema(records)
     current = sch.drop_fields(sch.merge_schemas(existing, inferred), ignore)
     diff = sch.schema_diff(existing, current)
-    if diff.type_changed:
-        raise SchemaConflict(f"stored fields would change type: {diff.type_changed}")
     ts = load_ts or _now().isoformat(sep=" ")
+    if diff.type_changed:
+        if on_type_change == "fail":
+            raise SchemaConflict(f"stored fields would change type: {diff.type_changed}")
+        evolve.widen_table(spark, table_path, current)
     if schema_audit_path and (diff.only_in_current or ignore):
         sch.schema_audit_rows(spark, table_path, diff, list(ignore), ts).write.mode("append").parquet(schema_audit_path)
     typed = sch.conform(records, current)

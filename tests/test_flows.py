@@ -117,14 +117,32 @@ def test_schema_evolution_and_audit(spark, tmp):
         flows.load_landed(spark, cfg, b3, f"{tmp}/table", "L3", TS, "u")
 
 
-def test_quarantine_keeps_bad_records(spark, tmp):
+def test_type_widening_rewrites_stored_rows(spark, tmp):
+    cfg = _cfg()
+    b1 = spark.createDataFrame([(0, json.dumps({"data": {"items": [{"id": 1, "o": {"v": 1}, "tag": 5}]}}))], "page long, body string")
+    b2 = spark.createDataFrame([(0, json.dumps({"data": {"items": [{"id": 2.5, "o": {"v": 2, "w": "x"}, "tag": "t"}]}}))], "page long, body string")
+    flows.load_landed(spark, cfg, b1, f"{tmp}/table", "L1", TS, "u")
+    before = _table(spark, tmp).select("surrogate_key_id").first()[0]
+    r = flows.load_landed(spark, cfg, b2, f"{tmp}/table", "L2", TS, "u", on_type_change="widen")
+    assert ("id", "bigint", "double") in r.diff["type_changed"]
+    t = _table(spark, tmp)
+    assert t.schema["data_payload"].dataType.simpleString() == "struct<id:double,o:struct<v:bigint,w:string>,tag:string>"
+    rows = {r.load_id: (r.id, r.v, r.w, r.tag) for r in t.select("load_id", "data_payload.id", "data_payload.o.v", "data_payload.o.w", "data_payload.tag").collect()}
+    assert rows == {"L1": (1.0, 1, None, "5"), "L2": (2.5, 2, "x", "t")}
+    assert t.filter("load_id = 'L1'").select("surrogate_key_id").first()[0] == before
+    assert not [p for p in os.listdir(tmp) if ".widen-" in p or ".old-" in p]
+
+
+def test_object_for_scalar_field_widens_to_string_not_quarantine(spark, tmp):
     cfg = _cfg()
     b1 = spark.createDataFrame([(0, json.dumps({"data": {"items": [{"id": 1}]}}))], "page long, body string")
     flows.load_landed(spark, cfg, b1, f"{tmp}/table", "L1", TS, "u")
-    # id is stored as BIGINT; a record whose id is an object cannot be typed
     b2 = spark.createDataFrame([(0, json.dumps({"data": {"items": [{"id": {"z": 1}}, {"id": 3}]}}))], "page long, body string")
     with pytest.raises(flows.SchemaConflict):
-        flows.load_landed(spark, cfg, b2, f"{tmp}/table", "L2", TS, "u", quarantine_path=f"{tmp}/q")
+        flows.load_landed(spark, cfg, b2, f"{tmp}/table", "L2", TS, "u")
+    r = flows.load_landed(spark, cfg, b2, f"{tmp}/table", "L2", TS, "u", quarantine_path=f"{tmp}/q", on_type_change="widen")
+    assert r.quarantined == 0 and r.target_count == 2
+    assert sorted(x.id for x in _table(spark, tmp).select("data_payload.id").collect()) == ["1", "3", '{"z":1}']
 
 
 def _decoded(folder):
