@@ -33,13 +33,17 @@ def ingest_landed_stream(
     user: str | None = None,
     ignore: Sequence[str] = (),
     max_files_per_trigger: int | None = None,
+    batch_partitions: int | None = None,
     available_now: bool = True,
     processing_time: str | None = None,
 ):
     """Start the stream; with ``available_now`` it drains what is there and returns.
 
     Otherwise the running ``StreamingQuery`` is returned (triggered every
-    ``processing_time``).
+    ``processing_time``). Each micro-batch is hash-partitioned on ``page``
+    into ``batch_partitions`` (default: the cluster's cores): a batch of a few
+    files would otherwise be parsed by a few tasks, one body holding a whole
+    page of records.
     """
     from ferry.flows import load_landed
 
@@ -48,8 +52,11 @@ def ingest_landed_stream(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.parquet(source_dir)
 
+    parts = int(batch_partitions or spark.sparkContext.defaultParallelism)
+
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        load_landed(batch.sparkSession, cfg, batch, table_path, f"{load_prefix}-{batch_id}", load_ts, user, ignore)
+        spread = batch.repartition(parts, "page")
+        load_landed(batch.sparkSession, cfg, spread, table_path, f"{load_prefix}-{batch_id}", load_ts, user, ignore)
 
     ckpt = checkpoint_location or os.path.join(scratch_path(spark, "stream-ckpt"))
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
