@@ -65,6 +65,7 @@ def land_all_pages(
     landing_path: str,
     load_id: str,
     parallelism: int | None = None,
+    concurrency: int = 1,
 ) -> tuple[int | None, int]:
     """Count request, plan and waves of fetch+land. Returns (total, planned pages)."""
     done = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).cache()
@@ -86,7 +87,7 @@ def land_all_pages(
             for w, lo in enumerate(range(0, n, wave)):
                 plan = paging.plan_pages(spark, int(total), size, cfg.pagination_type, first_page=lo)
                 plan = paging.remaining_pages(plan.filter(F.col("page") < lo + wave), done)
-                pages.land(pages.fetch_pages(plan, fetch, parallelism), landing_path, cfg.source_id, load_id, w)
+                pages.land(pages.fetch_pages(plan, fetch, parallelism, concurrency), landing_path, cfg.source_id, load_id, w)
             return int(total), n
         # No total announced: fetch waves until a page comes back short.
         lo, w = 0, 0
@@ -96,7 +97,7 @@ def land_all_pages(
             if cfg.pagination_type == paging.LIMIT_OFFSET:
                 plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
             plan = paging.remaining_pages(plan, done)
-            pages.land(pages.fetch_pages(plan, fetch, parallelism), landing_path, cfg.source_id, load_id, w)
+            pages.land(pages.fetch_pages(plan, fetch, parallelism, concurrency), landing_path, cfg.source_id, load_id, w)
             got = extract.body_summary(
                 pages.read_bodies(spark, landing_path, cfg.source_id, load_id, dedupe=False).filter(
                     (F.col("page") >= lo) & (F.col("page") < lo + wave)
@@ -181,6 +182,8 @@ def run_inbound(
     schema_audit_path: str | None = None,
     quarantine_path: str | None = None,
     parallelism: int | None = None,
+    concurrency: int = 1,
+    on_type_change: str = "fail",
 ) -> LoadResult:
     """API pages -> landed bodies -> typed table; returns the run's counters."""
     if cfg.dataflow != "Inbound":
@@ -189,9 +192,10 @@ def run_inbound(
     load_id = run.audit_id
     total, n_pages = None, 0
     try:
-        total, n_pages = land_all_pages(spark, cfg, fetch, landing_path, load_id, parallelism)
+        total, n_pages = land_all_pages(spark, cfg, fetch, landing_path, load_id, parallelism, concurrency)
         bodies = pages.read_bodies(spark, landing_path, cfg.source_id, load_id)
-        res = load_landed(spark, cfg, bodies, table_path, load_id, load_ts, user, ignore, schema_audit_path, quarantine_path)
+        res = load_landed(spark, cfg, bodies, table_path, load_id, load_ts, user, ignore, schema_audit_path,
+                          quarantine_path, on_type_change)
         res.total_obj_count = n_pages
         res.loaded_obj_count = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).count()
         res.source_count = int(total) if total is not None else res.target_count + res.quarantined
@@ -254,6 +258,7 @@ def run_outbound(
     unique: bool = False,
     n_blocks: int | None = None,
     parallelism: int | None = None,
+    concurrency: int = 1,
 ) -> LoadResult:
     """Query -> batches -> ``send``; resumes by skipping delivered batches."""
     if cfg.dataflow != "Outbound":
@@ -276,7 +281,7 @@ def run_outbound(
         if res.source_count:
             obs = Observation("ferry_delivery")
             (
-                delivery.deliver(todo, send, parallelism=parallelism)
+                delivery.deliver(todo, send, parallelism=parallelism, concurrency=concurrency)
                 .withColumn("audit_id", F.lit(run.audit_id))
                 .withColumn("delivered_at", F.current_timestamp())
                 .observe(obs, F.count(F.lit(1)).alias("sent"), F.sum(F.when(F.col("ok"), 1).otherwise(0)).alias("ok"))

@@ -11,6 +11,7 @@ to pass to the receiving API.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
 import pandas as pd
@@ -25,27 +26,39 @@ def deliver(
     send: Callable[[int, str], object],
     body_col: str = "body",
     parallelism: int | None = None,
+    concurrency: int = 1,
 ) -> DataFrame:
     """Run ``send`` for every batch; returns ``(batch_num, n, ok, error)`` lazily.
 
-    ``parallelism`` caps concurrent requests (rate limits) by repartitioning.
+    ``parallelism`` caps the number of tasks (rate limits) by repartitioning;
+    ``concurrency`` sends that many requests at a time inside each task.
     """
     src = batches.select("batch_num", "n", F.col(body_col).alias("body"))
     if parallelism:
         src = src.repartition(int(parallelism), "batch_num")
+    workers = max(1, int(concurrency))
+
+    def one(item: tuple) -> tuple[bool, str | None]:
+        b, body = item
+        try:
+            send(int(b), body)
+            return True, None
+        except Exception as e:  # recorded per batch, see module doc
+            return False, f"{type(e).__name__}: {e}"[:1000]
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            ok, err = [], []
-            for b, body in zip(pdf["batch_num"], pdf["body"]):
-                try:
-                    send(int(b), body)
-                    ok.append(True)
-                    err.append(None)
-                except Exception as e:  # recorded per batch, see module doc
-                    ok.append(False)
-                    err.append(f"{type(e).__name__}: {e}"[:1000])
-            yield pd.DataFrame({"batch_num": pdf["batch_num"], "n": pdf["n"], "ok": ok, "error": err})
+        pool = ThreadPoolExecutor(workers) if workers > 1 else None
+        try:
+            for pdf in frames:
+                items = list(zip(pdf["batch_num"], pdf["body"]))
+                res = list(pool.map(one, items)) if pool else [one(i) for i in items]
+                yield pd.DataFrame({
+                    "batch_num": pdf["batch_num"], "n": pdf["n"],
+                    "ok": [r[0] for r in res], "error": pd.Series([r[1] for r in res], dtype=object),
+                })
+        finally:
+            if pool:
+                pool.shutdown()
 
     return src.mapInPandas(run, DELIVERY_SCHEMA)
 

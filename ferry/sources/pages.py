@@ -16,6 +16,7 @@ are the resume point of the next run.
 
 from __future__ import annotations
 
+from concurrent.futures import ThreadPoolExecutor
 from datetime import datetime, timezone
 from typing import Callable, Iterator
 
@@ -45,25 +46,40 @@ def _plain(v):
     return v
 
 
-def fetch_pages(plan: DataFrame, fetch: Callable[[dict], str | None], parallelism: int | None = None) -> DataFrame:
+def fetch_pages(
+    plan: DataFrame,
+    fetch: Callable[[dict], str | None],
+    parallelism: int | None = None,
+    concurrency: int = 1,
+) -> DataFrame:
     """Run ``fetch`` once per plan row on the executors -> ``(page, body)``.
 
-    ``parallelism`` caps concurrent requests (rate limits) by repartitioning the
-    plan; by default the plan's own partitioning is kept.
+    ``parallelism`` caps the number of tasks (rate limits) by repartitioning the
+    plan; by default the plan's own partitioning is kept. ``concurrency`` runs
+    that many requests at a time inside each task (requests wait on the
+    network, not the CPU); results keep the plan's order.
     """
     cols = [c for c in plan.columns if c != "is_last"]
     src = plan.select(*cols)
     if parallelism:
-        src = src.repartition(int(parallelism))
+        src = src.repartition(int(parallelism), "page")
+    workers = max(1, int(concurrency))
+
+    def one(rec: dict) -> str | None:
+        req = {k: _plain(v) for k, v in rec.items()}
+        req["kind"] = "page"
+        return fetch(req)
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for pdf in frames:
-            bodies = []
-            for rec in pdf.to_dict("records"):
-                req = {k: _plain(v) for k, v in rec.items()}
-                req["kind"] = "page"
-                bodies.append(fetch(req))
-            yield pd.DataFrame({"page": pdf["page"].astype("int64"), "body": pd.Series(bodies, dtype=object)})
+        pool = ThreadPoolExecutor(workers) if workers > 1 else None
+        try:
+            for pdf in frames:
+                recs = pdf.to_dict("records")
+                bodies = list(pool.map(one, recs)) if pool else [one(r) for r in recs]
+                yield pd.DataFrame({"page": pdf["page"].astype("int64"), "body": pd.Series(bodies, dtype=object)})
+        finally:
+            if pool:
+                pool.shutdown()
 
     return src.mapInPandas(run, BODY_SCHEMA)
 

@@ -50,6 +50,17 @@ def test_inbound_loads_every_row_once(spark, tmp):
     assert latest.status == "Success" and latest.target_count == len(recs)
 
 
+def test_inbound_concurrent_fetch_and_reconcile(spark, tmp):
+    recs = _orders(spark)
+    cfg = _cfg()
+    res = flows.run_inbound(spark, cfg, FakeApi(recs, 100), load_ts=TS, user="u", parallelism=3, concurrency=4, **_paths(tmp))
+    assert res.target_count == len(recs)
+    from ferry.plans import paging
+    plan = paging.plan_pages(spark, len(recs), 100, "limit-offset")
+    rec = flows.landed_reconciliation(spark, cfg, plan, f"{tmp}/table", res.load_id).collect()
+    assert len(rec) == 15 and {r.status for r in rec} == {"ok"}
+
+
 def test_inbound_page_index_and_unpaged(spark, tmp):
     recs = _orders(spark)[:250]
     flows.run_inbound(spark, _cfg(pagination_type="pageindex-size"), FakeApi(recs, 100), load_ts=TS, user="u", **_paths(tmp))
@@ -160,7 +171,7 @@ def test_outbound_formats(spark, tmp, fmt):
     cfg = ExchangeConfig(source_id="lake", destination_id="api", dataflow="Outbound", api_dataformat=fmt,
                          api_limit=3, source_query="SELECT s_suppkey, s_name FROM supplier")
     res = flows.run_outbound(spark, cfg, Recorder(sent), audit_path=f"{tmp}/audit", delivery_path=f"{tmp}/log",
-                             order_by=["s_suppkey"], unique=True)
+                             order_by=["s_suppkey"], unique=True, concurrency=3)
     got = _decoded(sent)
     n = 10
     assert res.source_count == n and res.target_count == n
