@@ -125,6 +125,7 @@ def load_landed(
     schema_audit_path: str | None = None,
     quarantine_path: str | None = None,
     on_type_change: str = "fail",
+    max_records_per_file: int | None = None,
 ) -> LoadResult:
     """Landed bodies -> typed, enveloped rows in the load's partition.
 
@@ -149,7 +150,7 @@ def load_landed(
     typed = sch.conform(records, current)
     good, bad = sch.split_corrupt(typed)
     rows = env.envelope(env.blank_to_null(good), cfg.source_id, load_id, ts, user)
-    written = sink.write_partitions(rows, table_path)
+    written = sink.write_partitions(rows, table_path, max_records_per_file=max_records_per_file)
     if written == 0:
         sink.drop_partition(spark, table_path, {"source_id": cfg.source_id, "load_id": load_id})
     quarantined = 0
@@ -184,6 +185,7 @@ def run_inbound(
     parallelism: int | None = None,
     concurrency: int = 1,
     on_type_change: str = "fail",
+    max_records_per_file: int | None = None,
 ) -> LoadResult:
     """API pages -> landed bodies -> typed table; returns the run's counters."""
     if cfg.dataflow != "Inbound":
@@ -195,7 +197,7 @@ def run_inbound(
         total, n_pages = land_all_pages(spark, cfg, fetch, landing_path, load_id, parallelism, concurrency)
         bodies = pages.read_bodies(spark, landing_path, cfg.source_id, load_id)
         res = load_landed(spark, cfg, bodies, table_path, load_id, load_ts, user, ignore, schema_audit_path,
-                          quarantine_path, on_type_change)
+                          quarantine_path, on_type_change, max_records_per_file)
         res.total_obj_count = n_pages
         res.loaded_obj_count = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).count()
         res.source_count = int(total) if total is not None else res.target_count + res.quarantined
@@ -313,3 +315,25 @@ def view_to_table(spark: SparkSession, source: str, view_name: str, predicate: s
     if target:
         sink.materialize(out, target)
     return out
+
+
+# ------------------------------------------------------------------ dispatch
+
+def execute(
+    spark: SparkSession,
+    cfg: ExchangeConfig,
+    *,
+    fetch: Callable[[dict], str | None] | None = None,
+    send: Callable[[int, str], object] | None = None,
+    **kwargs,
+) -> LoadResult:
+    """Run the flow the configuration names (``dataflow``): Inbound or Outbound."""
+    if cfg.dataflow == "Inbound":
+        if fetch is None:
+            raise ValueError("an Inbound flow needs a fetch callable")
+        return run_inbound(spark, cfg, fetch, **kwargs)
+    if cfg.dataflow == "Outbound":
+        if send is None:
+            raise ValueError("an Outbound flow needs a send callable")
+        return run_outbound(spark, cfg, send, **kwargs)
+    raise ValueError(f"unknown dataflow {cfg.dataflow!r}")

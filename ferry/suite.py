@@ -450,6 +450,17 @@ def q_deliver_batches(spark, d):
     return delivery.deliver(b, accept_json_body)
 
 
+def q_outbound_flow(spark, d):
+    """X2 end to end: SQL source -> batches -> receiver -> delivery log, audited."""
+    register_views(spark, d, ["orders"])
+    cfg = ExchangeConfig(source_id="orders", destination_id="api", dataflow="Outbound", api_dataformat="array_dict",
+                         api_limit=PAGE, source_query="SELECT * FROM orders")
+    root = scratch_path(spark, "outbound")
+    flows.execute(spark, cfg, send=accept_json_body, audit_path=f"{root}/audit", delivery_path=f"{root}/log",
+                  order_by=["o_orderkey"], unique=True)
+    return spark.read.parquet(f"{root}/log").select("batch_num", "n", "ok", "error")
+
+
 def q_outbound_resume(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     idx = chunking.global_index(o, ["o_orderdate", "o_orderkey"], unique=True)
@@ -508,6 +519,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_xml": q_chunk_xml,
     "chunk_single": q_chunk_single,
     "deliver_batches": q_deliver_batches,
+    "outbound_flow": q_outbound_flow,
     "outbound_resume": q_outbound_resume,
     "stream_ingest": q_stream_ingest,
 }
@@ -616,6 +628,9 @@ UNION ALL
 SELECT DISTINCT 'lake.events', 'user_id', CAST(NULL AS VARCHAR), 'ignored' FROM events""",
     "deliver_batches": """
 SELECT CAST((rn - 1) // 100 + 1 AS BIGINT) AS batch_num, count(*) AS n, TRUE AS ok, CAST(NULL AS VARCHAR) AS error
+FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1""",
+    "outbound_flow": """
+SELECT CAST((rn - 1) // 100 + 1 AS BIGINT) AS batch_num, count(*) AS n, TRUE AS ok, CAST(NULL AS VARCHAR) AS error
 FROM (SELECT row_number() OVER (ORDER BY o_orderkey) AS rn FROM orders) GROUP BY 1""",
     "append_idempotent": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
     "schema_evolution_append": f"""

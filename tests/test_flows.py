@@ -237,6 +237,14 @@ def test_audit_open_close_resume(spark, tmp):
     assert audit.read_audit(spark, p).count() == 5  # append-only
 
 
+def test_execute_dispatch(spark, tmp):
+    with pytest.raises(ValueError):
+        flows.execute(spark, _cfg(), send=print)
+    out = ExchangeConfig(source_id="a", dataflow="Outbound", api_dataformat="dict", source_query="SELECT 1 AS x")
+    with pytest.raises(ValueError):
+        flows.execute(spark, out, fetch=print)
+
+
 def test_config_validation():
     with pytest.raises(ValueError):
         ExchangeConfig(source_id="s", dataflow="Sideways")
