@@ -97,7 +97,16 @@ class ExchangeConfig:
 
     @property
     def wave_pages(self) -> int:
-        """Pages fetched and landed per Spark job (flush rule)."""
+        """Pages fetched and landed per Spark job (flush rule: df-limit rows)."""
         if not self.pagination_type or not self.df_limit or not self.page_size:
             return 64
         return max(1, -(-int(self.df_limit) // int(self.page_size)))
+
+    def wave_size(self, cores: int) -> int:
+        """Pages per wave on a cluster with ``cores`` task slots.
+
+        At least the flush rule's page count, and at least four pages per core
+        so a wave keeps every slot busy and a large source is not cut into a
+        huge number of tiny jobs. A wave is the unit lost on failure.
+        """
+        return max(self.wave_pages, 4 * max(1, int(cores)))

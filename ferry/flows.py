@@ -80,13 +80,13 @@ def land_all_pages(
                 pages.fetch_count(spark, fetch), cfg.data_field, cfg.count_field, cfg.response_format, cfg.soap
             ).first()
             total = summary["total"] if cfg.count_field else summary["n_records"]
-        wave = cfg.wave_pages
+        wave = cfg.wave_size(spark.sparkContext.defaultParallelism)
         size = int(cfg.page_size)
         if total is not None:
             n = paging.page_count(int(total), size)
             for w, lo in enumerate(range(0, n, wave)):
-                plan = paging.plan_pages(spark, int(total), size, cfg.pagination_type, first_page=lo)
-                plan = paging.remaining_pages(plan.filter(F.col("page") < lo + wave), done)
+                plan = paging.plan_pages(spark, int(total), size, cfg.pagination_type, first_page=lo, end_page=lo + wave)
+                plan = paging.remaining_pages(plan, done)
                 pages.land(pages.fetch_pages(plan, fetch, parallelism, concurrency), landing_path, cfg.source_id, load_id, w)
             return int(total), n
         # No total announced: fetch waves until a page comes back short.
@@ -147,6 +147,7 @@ def load_landed(
         evolve.widen_table(spark, table_path, current)
     if schema_audit_path and (diff.only_in_current or ignore):
         sch.schema_audit_rows(spark, table_path, diff, list(ignore), ts).write.mode("append").parquet(schema_audit_path)
+    sink.save_schema(spark, table_path, current)
     typed = sch.conform(records, current)
     good, bad = sch.split_corrupt(typed)
     rows = env.envelope(env.blank_to_null(good), cfg.source_id, load_id, ts, user)

@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DataType, StringType, StructType
 
-from ferry.operators.sink import PARTITION_COLUMNS, read_table
+from ferry.operators.sink import PARTITION_COLUMNS, read_table, save_schema
 
 PAYLOAD = "data_payload"
 
@@ -63,6 +63,7 @@ def widen_table(spark: SparkSession, path: str, payload_type: StructType) -> Non
     base = path.rstrip("/")
     tmp, old = f"{base}.widen-{tag}", f"{base}.old-{tag}"
     widened(read_table(spark, base), payload_type).write.partitionBy(*PARTITION_COLUMNS).parquet(tmp)
+    save_schema(spark, tmp, payload_type)  # moves with the data in the swap below
     P = jvm.org.apache.hadoop.fs.Path
     fs = P(base).getFileSystem(conf)
     if not fs.rename(P(base), P(old)):

@@ -9,11 +9,13 @@ come back NULL in older rows.
 
 from __future__ import annotations
 
+import json
 import re
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 PARTITION_COLUMNS = ("source_id", "load_id")
 _SAFE = re.compile(r"^[A-Za-z0-9_.\-]+$")
@@ -61,6 +63,28 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return bool(target.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(target))
 
 
+SCHEMA_DIR = "_ferry_schema"  # "_" prefix: skipped by Spark's file listing
+
+
+def save_schema(spark: SparkSession, path: str, payload: StructType) -> None:
+    """Store the payload schema beside the table (one small JSON text file).
+
+    Written before the data of a load, so it is always a superset of the
+    stored types; the next load reads it instead of merging every footer.
+    """
+    spark.createDataFrame([(payload.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
+        f"{path.rstrip('/')}/{SCHEMA_DIR}"
+    )
+
+
+def load_schema(spark: SparkSession, path: str) -> StructType | None:
+    target = f"{path.rstrip('/')}/{SCHEMA_DIR}"
+    if not path_exists(spark, target):
+        return None
+    rows = spark.read.text(target).collect()
+    return StructType.fromJson(json.loads(rows[0]["value"])) if rows else None
+
+
 def read_table(spark: SparkSession, path: str) -> DataFrame:
     """Read a landed table with schema merging across loads."""
     return spark.read.option("mergeSchema", "true").parquet(path)

@@ -55,18 +55,23 @@ def plan_pages(
     kind: str | None,
     first_page: int = 0,
     num_partitions: int | None = None,
+    end_page: int | None = None,
 ) -> DataFrame:
     """P1/P2/P5 for one source whose total is known on the driver (a scalar).
 
-    ``spark.range`` spreads the plan over ``num_partitions`` tasks without a
-    shuffle, so the fetch that follows is parallel from the first stage.
+    Pages ``[first_page, end_page)`` (default: to the last page). ``spark.range``
+    spreads exactly those pages over ``num_partitions`` tasks (default: the
+    cluster's cores) without a shuffle, so the fetch that follows is parallel
+    from the first stage.
     """
     if kind is None:
         return spark.range(0, 1, 1, 1).select(F.col("id").alias("page"), F.lit(True).alias("is_last"))
     n = page_count(total, size)
-    parts = num_partitions or max(1, min(n - first_page, spark.sparkContext.defaultParallelism))
+    lo = max(first_page, 0)
+    hi = n if end_page is None else min(end_page, n)
+    parts = num_partitions or max(1, min(hi - lo, spark.sparkContext.defaultParallelism))
     page = F.col("id")
-    return spark.range(max(first_page, 0), n, 1, max(parts, 1)).select(
+    return spark.range(lo, max(hi, lo), 1, max(parts, 1)).select(
         page.alias("page"),
         *_request_columns(page, F.lit(int(total)).cast("bigint"), size, kind),
         (page == F.lit(n - 1)).alias("is_last"),

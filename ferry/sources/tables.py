@@ -28,7 +28,12 @@ def existing_payload_schema(spark: SparkSession, table: str | None) -> StructTyp
     if not table or not table_exists(spark, table):
         return StructType([])
     if "/" in table or table.endswith(".parquet"):
-        # every load's footer counts: a later load may have added fields
+        from ferry.operators.sink import load_schema
+
+        stored = load_schema(spark, table)
+        if stored is not None:
+            return stored
+        # no stored schema: every load's footer counts (a later load may have added fields)
         schema = spark.read.option("mergeSchema", "true").parquet(table).schema
     else:
         schema = spark.read.table(table).schema

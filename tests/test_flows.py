@@ -81,13 +81,15 @@ def test_inbound_without_count_field_stops_on_short_page(spark, tmp):
 def test_failed_page_then_rerun_is_exactly_once(spark, tmp):
     recs = _orders(spark)
     marker = f"{tmp}/healed"
-    api = FakeApi(recs, 100, fail_pages={11}, fail_marker=marker)
+    api = FakeApi(recs, 50, fail_pages={20}, fail_marker=marker)
+    cfg = _cfg(page_size=50)
+    assert cfg.wave_size(spark.sparkContext.defaultParallelism) == 16  # 30 pages: waves 0-15, 16-29
     with pytest.raises(Exception):
-        flows.run_inbound(spark, _cfg(), api, load_ts=TS, user="u", **_paths(tmp))
+        flows.run_inbound(spark, cfg, api, load_ts=TS, user="u", **_paths(tmp))
     first = audit.latest_runs(audit.read_audit(spark, f"{tmp}/audit")).first()
-    assert first.status == "Failed" and first.loaded_obj_count == 9  # waves of 3 pages: 0-8 landed
+    assert first.status == "Failed" and first.loaded_obj_count == 16  # the first wave stays landed
     open(marker, "w").close()
-    res = flows.run_inbound(spark, _cfg(), api, load_ts=TS, user="u", **_paths(tmp))
+    res = flows.run_inbound(spark, cfg, api, load_ts=TS, user="u", **_paths(tmp))
     assert res.audit_id == first.audit_id  # the failed run is resumed, not restarted
     t = _table(spark, tmp)
     assert t.count() == len(recs) and t.select("data_payload.o_orderkey").distinct().count() == len(recs)
@@ -95,7 +97,8 @@ def test_failed_page_then_rerun_is_exactly_once(spark, tmp):
     pages.land(pages.fetch_pages(spark.range(0, 1).withColumnRenamed("id", "page").select(
         "page", F.lit(0).cast("bigint").alias("offset"), F.lit(100).cast("bigint").alias("limit")), api),
         f"{tmp}/landing", "orders", first.audit_id, 99)
-    assert pages.read_bodies(spark, f"{tmp}/landing", "orders", first.audit_id).count() == 15
+    assert pages.landed(spark, f"{tmp}/landing", "orders", first.audit_id).count() == 31
+    assert pages.read_bodies(spark, f"{tmp}/landing", "orders", first.audit_id).count() == 30
 
 
 def test_rerun_of_a_load_replaces_it(spark, tmp):
@@ -119,6 +122,7 @@ def test_schema_evolution_and_audit(spark, tmp):
     flows.load_landed(spark, cfg, b1, f"{tmp}/table", "L1", TS, "u", schema_audit_path=f"{tmp}/sa")
     r2 = flows.load_landed(spark, cfg, b2, f"{tmp}/table", "L2", TS, "u", schema_audit_path=f"{tmp}/sa")
     assert ("extra", "struct<y:bigint>") in r2.diff["only_in_current"]
+    assert sink.load_schema(spark, f"{tmp}/table") == r2.schema  # stored beside the table, read next time
     rows = {r.id: r.y for r in _table(spark, tmp).select("data_payload.id", "data_payload.extra.y").collect()}
     assert rows == {1: None, 2: 1}
     changes = spark.read.parquet(f"{tmp}/sa").filter("change = 'added'").select("field_path").collect()

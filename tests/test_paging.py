@@ -73,3 +73,10 @@ def test_remaining_pages_anti_join(spark):
     plan = paging.plan_pages(spark, 500, 100, paging.LIMIT_OFFSET)
     landed = spark.createDataFrame([(0,), (2,), (2,)], "page long")
     assert sorted(r["page"] for r in paging.remaining_pages(plan, landed).collect()) == [1, 3, 4]
+
+
+def test_wave_plan_is_spread_over_tasks(spark):
+    plan = paging.plan_pages(spark, 10_000_000, 100, paging.LIMIT_OFFSET, first_page=5000, end_page=5016)
+    assert plan.rdd.getNumPartitions() == min(16, spark.sparkContext.defaultParallelism)
+    per_task = plan.rdd.glom().map(len).collect()
+    assert sum(per_task) == 16 and max(per_task) - min(per_task) <= 1
