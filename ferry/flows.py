@@ -58,6 +58,19 @@ def _now() -> datetime:
 
 # ------------------------------------------------------------------ inbound
 
+def _fetch_tasks(plan: DataFrame, n_pages: int, parallelism: int | None) -> DataFrame:
+    """Spread a wave's plan over fetch tasks after the resume anti-join.
+
+    AQE would coalesce the join's small output (a few thousand plan rows)
+    into one partition, i.e. one task fetching the whole wave; a repartition
+    to an explicit count is never coalesced. ``parallelism`` caps the tasks
+    (rate limits), else one per core.
+    """
+    cores = plan.sparkSession.sparkContext.defaultParallelism
+    tasks = max(1, min(int(parallelism or cores), max(n_pages, 1)))
+    return plan.repartition(tasks, "page")
+
+
 def land_all_pages(
     spark: SparkSession,
     cfg: ExchangeConfig,
@@ -69,9 +82,14 @@ def land_all_pages(
 ) -> tuple[int | None, int]:
     """Count request, plan and waves of fetch+land. Returns (total, planned pages)."""
     done = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).cache()
+    # Materialise the resume set before planning. Left lazy and empty, AQE
+    # re-plans the anti-join on its first use and the wave's fetch collapses
+    # into a single task; a fresh load skips the anti-join altogether.
+    n_done = done.count()
+    skip = (lambda plan: plan) if n_done == 0 else (lambda plan: paging.remaining_pages(plan, done))
     try:
         if cfg.pagination_type is None:
-            if done.count() == 0:
+            if n_done == 0:
                 pages.land(pages.fetch_pages(paging.plan_pages(spark, 0, None, None), fetch), landing_path, cfg.source_id, load_id, 0)
             return None, 1
         total = None
@@ -86,8 +104,8 @@ def land_all_pages(
             n = paging.page_count(int(total), size)
             for w, lo in enumerate(range(0, n, wave)):
                 plan = paging.plan_pages(spark, int(total), size, cfg.pagination_type, first_page=lo, end_page=lo + wave)
-                plan = paging.remaining_pages(plan, done)
-                pages.land(pages.fetch_pages(plan, fetch, parallelism, concurrency), landing_path, cfg.source_id, load_id, w)
+                plan = _fetch_tasks(skip(plan), min(wave, n - lo), parallelism)
+                pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, w)
             return int(total), n
         # No total announced: fetch waves until a page comes back short.
         lo, w = 0, 0
@@ -96,8 +114,8 @@ def land_all_pages(
             plan = plan.select(F.col("id").alias("page"), *paging._request_columns(F.col("id"), F.lit(None).cast("bigint"), size, cfg.pagination_type))
             if cfg.pagination_type == paging.LIMIT_OFFSET:
                 plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
-            plan = paging.remaining_pages(plan, done)
-            pages.land(pages.fetch_pages(plan, fetch, parallelism, concurrency), landing_path, cfg.source_id, load_id, w)
+            plan = _fetch_tasks(skip(plan), wave, parallelism)
+            pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, w)
             got = extract.body_summary(
                 pages.read_bodies(spark, landing_path, cfg.source_id, load_id, dedupe=False).filter(
                     (F.col("page") >= lo) & (F.col("page") < lo + wave)
