@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import re
+import uuid
 from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -66,23 +67,41 @@ def path_exists(spark: SparkSession, path: str) -> bool:
 SCHEMA_DIR = "_ferry_schema"  # "_" prefix: skipped by Spark's file listing
 
 
+def _fs(spark: SparkSession, path: str):
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    return jvm, p, p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+
+
 def save_schema(spark: SparkSession, path: str, payload: StructType) -> None:
-    """Store the payload schema beside the table (one small JSON text file).
+    """Store the payload schema beside the table (one small JSON file).
 
     Written before the data of a load, so it is always a superset of the
     stored types; the next load reads it instead of merging every footer.
+    Written to a temporary name and renamed, so a reader never sees half a file.
     """
-    spark.createDataFrame([(payload.json(),)], "value string").coalesce(1).write.mode("overwrite").text(
-        f"{path.rstrip('/')}/{SCHEMA_DIR}"
-    )
+    jvm, target, fs = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_DIR}/schema.json")
+    tmp = jvm.org.apache.hadoop.fs.Path(f"{path.rstrip('/')}/{SCHEMA_DIR}/.schema-{uuid.uuid4().hex}.json")
+    out = fs.create(tmp, True)
+    try:
+        out.write(bytearray(payload.json().encode("utf-8")))
+    finally:
+        out.close()
+    fs.delete(target, False)
+    if not fs.rename(tmp, target):
+        raise RuntimeError(f"could not store the schema of {path}")
 
 
 def load_schema(spark: SparkSession, path: str) -> StructType | None:
-    target = f"{path.rstrip('/')}/{SCHEMA_DIR}"
-    if not path_exists(spark, target):
+    jvm, target, fs = _fs(spark, f"{path.rstrip('/')}/{SCHEMA_DIR}/schema.json")
+    if not fs.exists(target):
         return None
-    rows = spark.read.text(target).collect()
-    return StructType.fromJson(json.loads(rows[0]["value"])) if rows else None
+    stream = fs.open(target)
+    try:
+        text = jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+    return StructType.fromJson(json.loads(text))
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
