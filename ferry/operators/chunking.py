@@ -51,7 +51,10 @@ def global_index_with_count(
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    blocks = int(n_blocks or spark.sparkContext.defaultParallelism)
+    # Default: at least one block per input split (file splits are sized by
+    # spark.sql.files.maxPartitionBytes), so blocks grow with the data's
+    # parallelism rather than with the data; capped by MAX_BLOCKS.
+    blocks = int(n_blocks or min(MAX_BLOCKS, max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())))
     if not 1 <= blocks <= MAX_BLOCKS:
         raise ValueError(f"n_blocks must be in [1, {MAX_BLOCKS}]")
     order = _order_columns(df, order_by, unique)

@@ -80,10 +80,19 @@ def infer_schema(records: DataFrame, record_col: str = "record", max_examples: i
         path = scratch_path(spark, "infer")
         objects = records.filter(F.schema_of_variant(F.col(record_col)).startswith("OBJECT"))
         objects.select(F.to_json(F.col(record_col)).alias("value")).write.text(path)
-        inferred = spark.read.json(path).schema
+        try:
+            inferred = spark.read.json(path).schema
+        finally:
+            _delete(spark, path)
     return StructType([f for f in inferred.fields if f.name != CORRUPT])
 
 
+def _delete(spark: SparkSession, path: str) -> None:
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+
+
 # ----------------------------------------------------------------- merge
 
 def merge_types(a: DataType, b: DataType) -> DataType:
