@@ -35,8 +35,16 @@ def checkpoint_root(spark: SparkSession) -> str:
     gets a private temporary folder (tests); a cluster without one is an error,
     because a machine-local folder would not survive the loss of an executor.
     """
-    sc = spark.sparkContext
-    root = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    try:
+        sc = spark.sparkContext
+    except Exception:  # a remote (Connect) session has no SparkContext here
+        sc = None
+    if sc is None:
+        if not root:
+            raise RuntimeError("spark.checkpoint.dir is unset: point it at a folder shared by the cluster")
+        return root.rstrip("/")
+    root = root or sc.getConf().get("spark.checkpoint.dir", None)
     if not root:
         current = sc.getCheckpointDir()
         if current:
