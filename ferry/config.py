@@ -42,6 +42,8 @@ class ExchangeConfig:
     xml_item: str = "item"
     # incremental
     adhoc_start_date: str | None = None
+    # landing: at least this many pages per fetch task in a wave (one file each)
+    min_pages_per_task: int = 32
     extra: Mapping[str, Any] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
@@ -105,8 +107,10 @@ class ExchangeConfig:
     def wave_size(self, cores: int) -> int:
         """Pages per wave on a cluster with ``cores`` task slots.
 
-        At least the flush rule's page count, and at least four pages per core
-        so a wave keeps every slot busy and a large source is not cut into a
-        huge number of tiny jobs. A wave is the unit lost on failure.
+        At least the flush rule's page count, and at least
+        ``min_pages_per_task`` pages per core: a wave keeps every slot busy,
+        each task lands one file of a useful size (not one tiny file per
+        handful of pages), and a large source is not cut into a huge number of
+        small jobs. A wave is the unit lost on failure.
         """
-        return max(self.wave_pages, 4 * max(1, int(cores)))
+        return max(self.wave_pages, max(1, int(self.min_pages_per_task)) * max(1, int(cores)))

@@ -82,7 +82,7 @@ def test_failed_page_then_rerun_is_exactly_once(spark, tmp):
     recs = _orders(spark)
     marker = f"{tmp}/healed"
     api = FakeApi(recs, 50, fail_pages={20}, fail_marker=marker)
-    cfg = _cfg(page_size=50)
+    cfg = _cfg(page_size=50, min_pages_per_task=4)
     assert cfg.wave_size(spark.sparkContext.defaultParallelism) == 16  # 30 pages: waves 0-15, 16-29
     with pytest.raises(Exception):
         flows.run_inbound(spark, cfg, api, load_ts=TS, user="u", **_paths(tmp))
@@ -259,6 +259,7 @@ def test_config_validation():
     c = ExchangeConfig.from_dict({"source-id": "a", "pagination-type": "limit-offset", "params": {"limit": 50},
                                   "url": "http://x/service?wsdl", "response-format": "xml", "df-limit": 120})
     assert c.page_size == 50 and c.soap and c.wave_pages == 3
+    assert c.wave_size(8) == 256 and c.with_(df_limit=100_000).wave_size(8) == 2000
 
 
 def test_stream_ingest_matches_batch(spark, tmp):
