@@ -40,10 +40,10 @@ def ingest_landed_stream(
     """Start the stream; with ``available_now`` it drains what is there and returns.
 
     Otherwise the running ``StreamingQuery`` is returned (triggered every
-    ``processing_time``). Each micro-batch is hash-partitioned on ``page``
-    into ``batch_partitions`` (default: the cluster's cores): a batch of a few
-    files would otherwise be parsed by a few tasks, one body holding a whole
-    page of records.
+    ``processing_time``). A micro-batch with fewer input files than
+    ``batch_partitions`` (default: the cluster's cores) is hash-partitioned on
+    ``page`` first: a batch of a few files would otherwise be parsed by a few
+    tasks, one body holding a whole page of records.
     """
     from ferry.flows import load_landed
 
@@ -55,7 +55,8 @@ def ingest_landed_stream(
     parts = int(batch_partitions or spark.sparkContext.defaultParallelism)
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        spread = batch.repartition(parts, "page")
+        # a large micro-batch already spans many file splits: no extra shuffle
+        spread = batch.repartition(parts, "page") if len(batch.inputFiles()) < parts else batch
         load_landed(batch.sparkSession, cfg, spread, table_path, f"{load_prefix}-{batch_id}", load_ts, user, ignore)
 
     ckpt = checkpoint_location or os.path.join(scratch_path(spark, "stream-ckpt"))
