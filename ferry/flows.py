@@ -93,11 +93,11 @@ def land_all_pages(
                 pages.land(pages.fetch_pages(paging.plan_pages(spark, 0, None, None), fetch), landing_path, cfg.source_id, load_id, 0)
             return None, 1
         total = None
-        if cfg.count_field or cfg.response_format == "xml":
+        if cfg.count_field:  # JSON or XML: the total is a field of the count response
             summary = extract.body_summary(
                 pages.fetch_count(spark, fetch), cfg.data_field, cfg.count_field, cfg.response_format, cfg.soap
             ).first()
-            total = summary["total"] if cfg.count_field else summary["n_records"]
+            total = summary["total"]
         wave = cfg.wave_size(spark.sparkContext.defaultParallelism)
         size = int(cfg.page_size)
         if total is not None:

@@ -78,6 +78,15 @@ def test_inbound_without_count_field_stops_on_short_page(spark, tmp):
     assert _table(spark, tmp).count() == 530
 
 
+def test_inbound_paged_xml_without_count_field(spark, tmp):
+    recs = [{k: v for k, v in r.items() if k != "o_orderdate"} for r in _orders(spark)[:250]]
+    cfg = _cfg(response_format="xml", data_field="item", count_field=None)
+    res = flows.run_inbound(spark, cfg, FakeApi(recs, 100, fmt="xml"), load_ts=TS, user="u", **_paths(tmp))
+    t = _table(spark, tmp)
+    assert res.target_count == 250 == t.count()
+    assert sorted(r.o_orderkey for r in t.select("data_payload.o_orderkey").collect()) == [r["o_orderkey"] for r in recs]
+
+
 def test_failed_page_then_rerun_is_exactly_once(spark, tmp):
     recs = _orders(spark)
     marker = f"{tmp}/healed"
