@@ -107,24 +107,28 @@ def land_all_pages(
                 plan = _fetch_tasks(skip(plan), min(wave, n - lo), parallelism)
                 pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, w)
             return int(total), n
-        # No total announced: fetch waves until a page comes back short.
-        lo, w = 0, 0
+        # No total announced: fetch waves until a page comes back short. Waves
+        # start at one page per core and double up to the full wave size, so
+        # the requests sent past the end stay below the pages already read.
+        cores = spark.sparkContext.defaultParallelism
+        lo, w, step = 0, 0, max(1, min(wave, cores))
         while True:
-            plan = spark.range(lo, lo + wave, 1, max(1, min(wave, spark.sparkContext.defaultParallelism)))
+            plan = spark.range(lo, lo + step, 1, max(1, min(step, cores)))
             plan = plan.select(F.col("id").alias("page"), *paging._request_columns(F.col("id"), F.lit(None).cast("bigint"), size, cfg.pagination_type))
             if cfg.pagination_type == paging.LIMIT_OFFSET:
                 plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
-            plan = _fetch_tasks(skip(plan), wave, parallelism)
+            plan = _fetch_tasks(skip(plan), step, parallelism)
             pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, w)
             got = extract.body_summary(
                 pages.read_bodies(spark, landing_path, cfg.source_id, load_id, dedupe=False).filter(
-                    (F.col("page") >= lo) & (F.col("page") < lo + wave)
+                    (F.col("page") >= lo) & (F.col("page") < lo + step)
                 ),
                 cfg.data_field, None, cfg.response_format, cfg.soap,
             ).agg(F.min("n_records").alias("m"), F.count(F.lit(1)).alias("k")).first()
-            lo, w = lo + wave, w + 1
-            if got["k"] < wave or (got["m"] or 0) < size:
+            lo, w = lo + step, w + 1
+            if got["k"] < step or (got["m"] or 0) < size:
                 break
+            step = min(step * 2, wave)
         n_landed = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).count()
         return None, n_landed
     finally:

@@ -73,9 +73,11 @@ def test_inbound_page_index_and_unpaged(spark, tmp):
 
 def test_inbound_without_count_field_stops_on_short_page(spark, tmp):
     recs = _orders(spark)[:530]
-    flows.run_inbound(spark, _cfg(count_field=None, df_limit=200), FakeApi(recs, 100, count_field=None),
-                      load_ts=TS, user="u", **_paths(tmp))
+    res = flows.run_inbound(spark, _cfg(count_field=None, df_limit=200), FakeApi(recs, 100, count_field=None),
+                            load_ts=TS, user="u", **_paths(tmp))
     assert _table(spark, tmp).count() == 530
+    # probing waves of 4 then 8 pages (4 cores): 12 pages asked for 6 real ones, not a full 128-page wave
+    assert res.loaded_obj_count == 12
 
 
 def test_inbound_paged_xml_without_count_field(spark, tmp):
