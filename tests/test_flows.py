@@ -260,6 +260,22 @@ def test_execute_dispatch(spark, tmp):
         flows.execute(spark, out, fetch=print)
 
 
+def test_execute_with_dictionary_config(spark, tmp):
+    recs = _orders(spark)[:330]
+    conf = {
+        "source-id": "orders", "destination-id": "lake", "dataflow": "Inbound",
+        "pagination-type": "pageindex-size", "body": {"pageIndex": 1, "pageSize": 50},
+        "response-format": "json", "data-field": "data.items", "count-field": "total",
+        "catalog-name": "main", "schema-name": "raw", "table-name": "orders", "df-limit": 500,
+    }
+    cfg = ExchangeConfig.from_dict(conf)
+    assert cfg.table_name == "main.raw.orders" and cfg.page_size == 50
+    res = flows.execute(spark, cfg, fetch=FakeApi(recs), load_ts=TS, user="u", **_paths(tmp))
+    assert res.target_count == 330 and res.total_obj_count == 7
+    latest = audit.latest_runs(audit.read_audit(spark, f"{tmp}/audit")).first()
+    assert (latest.status, latest.source_count, latest.total_obj_count, latest.target_count) == ("Success", 330, 7, 330)
+
+
 def test_config_validation():
     with pytest.raises(ValueError):
         ExchangeConfig(source_id="s", dataflow="Sideways")
