@@ -114,7 +114,7 @@ def land_all_pages(
         lo, w, step = 0, 0, max(1, min(wave, cores))
         while True:
             plan = spark.range(lo, lo + step, 1, max(1, min(step, cores)))
-            plan = plan.select(F.col("id").alias("page"), *paging._request_columns(F.col("id"), F.lit(None).cast("bigint"), size, cfg.pagination_type))
+            plan = plan.select(F.col("id").alias("page"), *paging.request_columns(F.col("id"), F.lit(None).cast("bigint"), size, cfg.pagination_type))
             if cfg.pagination_type == paging.LIMIT_OFFSET:
                 plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
             plan = _fetch_tasks(skip(plan), step, parallelism)
@@ -186,6 +186,8 @@ def load_landed(
             .parquet(quarantine_path)
         )
         quarantined = int(obs.get.get("rows", 0) or 0)
+        if quarantined == 0:  # a clean rerun must not leave the earlier run's rejects
+            sink.drop_partition(spark, quarantine_path, {"load_id": load_id})
     return LoadResult(
         audit_id=load_id, load_id=load_id, target_count=written, quarantined=quarantined,
         schema=current, diff=diff.as_dict(),

@@ -37,7 +37,8 @@ def n_pages_col(total: Column, size: int) -> Column:
     return F.when(total > 0, F.floor((total + F.lit(size - 1)) / F.lit(size))).otherwise(F.lit(0)).cast("bigint")
 
 
-def _request_columns(page: Column, total: Column, size: int, kind: str | None) -> list[Column]:
+def request_columns(page: Column, total: Column, size: int, kind: str | None) -> list[Column]:
+    """The request fields of a page: offset/limit, pageIndex/pageSize, or none."""
     if kind == LIMIT_OFFSET:
         offset = page * F.lit(size)
         return [offset.alias("offset"), F.least(F.lit(size).cast("bigint"), total - offset).alias("limit")]
@@ -73,7 +74,7 @@ def plan_pages(
     page = F.col("id")
     return spark.range(lo, max(hi, lo), 1, max(parts, 1)).select(
         page.alias("page"),
-        *_request_columns(page, F.lit(int(total)).cast("bigint"), size, kind),
+        *request_columns(page, F.lit(int(total)).cast("bigint"), size, kind),
         (page == F.lit(n - 1)).alias("is_last"),
     )
 
@@ -110,7 +111,7 @@ def expand_plan(
     return pages.select(
         *keys,
         page.cast("bigint").alias("page"),
-        *_request_columns(page, F.col("_total"), size, kind),
+        *request_columns(page, F.col("_total"), size, kind),
         (page == F.col("_n") - 1).alias("is_last"),
     )
 
