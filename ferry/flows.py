@@ -316,7 +316,8 @@ def run_outbound(
             )
         log_all = spark.read.parquet(delivery_path).filter((F.col("audit_id") == run.audit_id) & F.col("ok")) if res.source_count else None
         if log_all is not None:
-            agg = log_all.agg(F.countDistinct("batch_num").alias("b"), F.sum("n").alias("rows")).first()
+            per_batch = log_all.groupBy("batch_num").agg(F.max("n").alias("n"))  # a re-sent batch counts once
+            agg = per_batch.agg(F.count(F.lit(1)).alias("b"), F.sum("n").alias("rows")).first()
             res.loaded_obj_count = int(agg["b"] or 0)
             res.target_count = int(agg["rows"] or 0)
         if res.loaded_obj_count < res.total_obj_count:
