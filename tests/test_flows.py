@@ -171,6 +171,20 @@ def test_object_for_scalar_field_widens_to_string_not_quarantine(spark, tmp):
     assert sorted(x.id for x in _table(spark, tmp).select("data_payload.id").collect()) == ["1", "3", '{"z":1}']
 
 
+def test_clean_rerun_clears_quarantine(spark, tmp):
+    from ferry.operators import schema as sch
+
+    cfg = _cfg()
+    bad = spark.createDataFrame([(0, json.dumps({"data": {"items": [{"id": 1}]}}))], "page long, body string")
+    # a quarantined row from an earlier attempt of load L1
+    spark.createDataFrame([(0, 0, '{"id":"x"}', "L1")], "page long, pos long, record string, load_id string") \
+        .write.partitionBy("load_id").parquet(f"{tmp}/q")
+    r = flows.load_landed(spark, cfg, bad, f"{tmp}/table", "L1", TS, "u", quarantine_path=f"{tmp}/q")
+    assert r.quarantined == 0
+    assert not os.path.exists(f"{tmp}/q/load_id=L1")
+    assert sch.CORRUPT == "_corrupt_record"
+
+
 def _decoded(folder):
     out = []
     for p in sorted(glob.glob(f"{folder}/batch-*")):
