@@ -7,13 +7,30 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import mixing, quality, sharding, url_filter
+from ferry.llm import mixing, packing, quality, sharding, url_filter, warc
+from ferry.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All pages written as a segmented archive and read back."""
+    path = scratch_path(spark, "warc")
+    warc.write_warc(_table(spark, sf_dir, "pages"), path)
+    back = warc.read_warc(spark, path)
+    payload = F.col("payload")
+    return back.select(
+        F.col("page_id").cast("bigint").alias("page_id"),
+        F.coalesce(F.octet_length(payload), F.col("payload_bytes")).cast("bigint").alias("payload_bytes"),
+        F.coalesce(warc.base32_sha1(payload), F.col("header_digest")).alias("payload_digest"),
+        F.col("type").alias("record_type"),
+        F.col("refers_to").cast("bigint").alias("refers_to"),
+        "status",
+    )
+
+
 def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and the verdict of the current policy for every document."""
     rows = quality.ledger(_table(spark, sf_dir, "documents"))
@@ -37,6 +54,13 @@ def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.url_verdicts(pages, url_filter.spam_listed(pages)).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op8_minimum_slack_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every piece of every document with its place in a packed sequence."""
+    pieces = packing.tokenise(_table(spark, sf_dir, "documents"))
+    placed = packing.place(pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids"))
+    return placed.select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
+
+
 def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All documents in eight contiguous shards of near-equal bytes."""
     placed = sharding.byte_shards(_table(spark, sf_dir, "documents"), 8)
@@ -47,9 +71,11 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_warc_round_trip": op1_warc_round_trip,
     "op4_quality_ledger": op4_quality_ledger,
     "op6_mix_sources": op6_mix_sources,
     "op7_url_verdicts": op7_url_verdicts,
+    "op8_minimum_slack_packing": op8_minimum_slack_packing,
     "op9_byte_shards": op9_byte_shards,
 }
 
@@ -58,6 +84,14 @@ _BLANKS = "' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)"
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
 ORACLE_SQL: dict[str, str] = {
+    "op1_warc_round_trip": """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html, sha1(coalesce(html, '')) AS hex FROM pages),
+d AS (SELECT *, array_to_string(list_transform(range(0, 32), lambda i: substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567',
+        1 + ((CAST('0x' || substr(hex, CAST(5 * (i // 4) + 1 AS BIGINT), 5) AS BIGINT) >> (15 - 5 * (i % 4))) & 31), 1)), '') AS digest,
+        min(page_id) OVER (PARTITION BY html) AS first FROM p)
+SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, digest AS payload_digest,
+       CASE WHEN first IS NOT NULL AND page_id IS DISTINCT FROM first THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN page_id IS DISTINCT FROM first THEN first END AS refers_to, 'ok' AS status FROM d""",
     "op4_quality_ledger": rf"""
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: length(translate(l, {_BLANKS}, '')) > 0) AS ls
