@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import mixing, packing, quality, sharding, url_filter, warc
+from ferry.llm import mixing, packing, quality, sharding, substring_dedup, url_filter, warc
 from ferry.session import scratch_path
 
 
@@ -31,6 +31,12 @@ def op1_warc_round_trip(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every passage that is removed because an earlier document, or the same one before, holds it."""
+    spans = substring_dedup.find_repeats(_table(spark, sf_dir, "documents"))
+    return spans.select("doc_id", "start", "length", "n_units", "n_words", F.col("kept_in").alias("kept_in_doc_id"))
+
+
 def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and the verdict of the current policy for every document."""
     rows = quality.ledger(_table(spark, sf_dir, "documents"))
@@ -72,6 +78,7 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
+    "op2_repeated_passages": op2_repeated_passages,
     "op4_quality_ledger": op4_quality_ledger,
     "op6_mix_sources": op6_mix_sources,
     "op7_url_verdicts": op7_url_verdicts,
