@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import mixing, packing, quality, sharding, substring_dedup, url_filter, warc
+from ferry.llm import minhash_forest, mixing, packing, quality, sharding, substring_dedup, url_filter, warc
 from ferry.session import scratch_path
 
 
@@ -37,6 +37,12 @@ def op2_repeated_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spans.select("doc_id", "start", "length", "n_units", "n_words", F.col("kept_in").alias("kept_in_doc_id"))
 
 
+def op3_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document with its component of near duplicates: three words a shingle, similarity 0.85 or more."""
+    found = minhash_forest.near_duplicates(_table(spark, sf_dir, "documents"), words=3, percent=85)
+    return found.select("doc_id", "n_shingles", "component_id", "kept")
+
+
 def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measurements, failure bits and the verdict of the current policy for every document."""
     rows = quality.ledger(_table(spark, sf_dir, "documents"))
@@ -79,6 +85,7 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_repeated_passages": op2_repeated_passages,
+    "op3_minhash_forest": op3_minhash_forest,
     "op4_quality_ledger": op4_quality_ledger,
     "op6_mix_sources": op6_mix_sources,
     "op7_url_verdicts": op7_url_verdicts,
