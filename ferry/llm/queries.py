@@ -7,7 +7,8 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import minhash_forest, mixing, packing, quality, sharding, substring_dedup, url_filter, warc
+from ferry.llm import hnsw, minhash_forest, mixing, packing, quality, sharding, substring_dedup, url_filter, warc
+from ferry.llm.common import written
 from ferry.session import scratch_path
 
 
@@ -54,6 +55,13 @@ def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The five nearest found for every vector whose id is divisible by 50, among all others."""
+    rows = written(hnsw.clean(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "ann-rows")
+    queries = rows.filter(F.col("vec_id") % 50 == 0).withColumnRenamed("vec_id", "query_id")
+    return hnsw.search(hnsw.build_index(rows, k=5), queries, k=5)
+
+
 def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
     """How many words the mix takes of every document, with its source's size and target."""
     plan = mixing.plan_mix(_table(spark, sf_dir, "documents"))
@@ -87,6 +95,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeated_passages": op2_repeated_passages,
     "op3_minhash_forest": op3_minhash_forest,
     "op4_quality_ledger": op4_quality_ledger,
+    "op5_hnsw_neighbours": op5_hnsw_neighbours,
     "op6_mix_sources": op6_mix_sources,
     "op7_url_verdicts": op7_url_verdicts,
     "op8_minimum_slack_packing": op8_minimum_slack_packing,
