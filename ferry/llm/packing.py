@@ -24,7 +24,10 @@ than id and text are not read.
 
 from __future__ import annotations
 
+import json
 import os
+import re
+from array import array
 from collections import Counter
 from typing import Iterator
 
@@ -40,36 +43,70 @@ CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Encoded words a task remembers; the memory is emptied when full.
-CACHE_WORDS = 200_000
+CACHE_WORDS = 300_000
 _ROWS = 512
 
 
+#: Printable ASCII and the letters of Latin-1, none of which the tokenizer's normal form changes, between blanks.
+_PLAIN = re.compile(r"[ \n!-~À-ÖØ-öø-ÿ]*")
+_PLAIN_CHARACTERS = [chr(c) for c in range(0x21, 0x100) if _PLAIN.fullmatch(chr(c))]
+# Fixed values of the tokenizer file: its pattern, and the same for lower-case texts of those characters.
+_PATTERN = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+_PLAIN_SPLIT = re.compile(r"'s|'t|'re|'ve|'m|'ll|'d|[a-zß-öø-ÿ]+|[0-9]|[^a-zß-öø-ÿ0-9 \n]+")
+#: What every special token of the file begins with.
+_SPECIAL = "<|"
+
+
+class _Encoded(dict):
+    """Ids of strings, encoded on first use."""
+
+    def __init__(self, encode):
+        super().__init__()
+        self._encode = encode
+
+    def __missing__(self, part: str) -> bytes:
+        data = self[part] = array("I", self._encode(part)).tobytes()
+        return data
+
+
 class WordEncoder:
     """Token ids as little-endian 32-bit integers, remembering each word's ids.
 
-    The tokenizer never joins anything across a space or a line feed (both are
-    dropped), so a text's ids are those of its space-separated parts in turn.
+    The tokenizer joins nothing across the words of its own pattern, so a
+    text's ids are those of its words in turn. A text of plain characters is
+    lower-cased and split here, and its words go straight to the tokenizer's
+    model. Any other text, or any of a tokenizer with another pattern, is cut at spaces and line feeds, which the tokenizer
+    drops, and the parts go through the whole tokenizer.
     """
 
     def __init__(self, path: str, cache_words: int = CACHE_WORDS):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        self._tokenizer = Tokenizer.from_file(path)
-        self._cache: dict[str, bytes] = {}
+        from tokenizers import Tokenizer, pre_tokenizers
+
+        tokenizer = Tokenizer.from_file(path)
+        with open(path, encoding="utf-8") as f:
+            self._known = _PATTERN in str(json.load(f)["pre_tokenizer"]).replace("\\\\", "\\")
+        model = tokenizer.model
+        to_bytes = pre_tokenizers.ByteLevel(add_prefix_space=False, use_regex=False)
+        level = {ord(c): to_bytes.pre_tokenize_str(c)[0][0] for c in _PLAIN_CHARACTERS}
+        self._words = _Encoded(lambda word: [t.id for t in model.tokenize(word.translate(level))])
+        self._parts = _Encoded(lambda part: tokenizer.encode(part, add_special_tokens=False).ids)
         self._limit = cache_words
 
+    def _plain(self, text: str) -> bytes | None:
+        if self._known and _PLAIN.fullmatch(text) and _SPECIAL not in text:
+            return b"".join(map(self._words.__getitem__, _PLAIN_SPLIT.findall(text.lower())))
+        return None
+
     def encode(self, text: str) -> bytes:
-        parts = text.replace("\n", " ").split(" ")
-        cache = self._cache
-        new = [p for p in set(parts) if p not in cache]
-        if new:
-            if len(cache) + len(new) > self._limit:
+        out = self._plain(text)
+        if out is None:
+            parts = text.replace("\n", " ").split(" ")
+            out = b"".join(self._parts[p] if (ids := self._plain(p)) is None else ids for p in parts)
+        for cache in (self._words, self._parts):
+            if len(cache) > self._limit:
                 cache.clear()
-                new = list(set(parts))
-            for part, enc in zip(new, self._tokenizer.encode_batch(new, add_special_tokens=False)):
-                cache[part] = np.asarray(enc.ids, dtype="<u4").tobytes()
-        return b"".join(map(cache.__getitem__, parts))
+        return out
 
 
 def _tokenizer_path(path: str | None) -> str:

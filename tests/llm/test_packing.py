@@ -2,6 +2,7 @@
 
 import zlib
 from collections import Counter, defaultdict
+from functools import lru_cache
 
 import numpy as np
 import public_tokenizers
@@ -21,14 +22,27 @@ def tokenizer():
     return Tokenizer.from_file(PATH)
 
 
+@lru_cache
+def both_encoders():
+    return Tokenizer.from_file(PATH), packing.WordEncoder(PATH, cache_words=8)
+
+
 @settings(max_examples=200, deadline=None)
 @given(st.text(alphabet=st.one_of(st.sampled_from(" \n\t\r\x0b\x1c  ́̈'seEÉßΣς.1|"), st.characters(exclude_categories=["Cs"])), max_size=60))
 def test_ids_by_word_equal_ids_of_the_whole_text(text):
-    whole = Tokenizer.from_file(PATH) if not hasattr(test_ids_by_word_equal_ids_of_the_whole_text, "t") else test_ids_by_word_equal_ids_of_the_whole_text.t
-    test_ids_by_word_equal_ids_of_the_whole_text.t = whole
-    encoder = packing.WordEncoder(PATH, cache_words=8)
-    got = np.frombuffer(encoder.encode(text), dtype="<u4").tolist()
-    assert got == whole.encode(text, add_special_tokens=False).ids
+    whole, encoder = both_encoders()
+    assert np.frombuffer(encoder.encode(text), dtype="<u4").tolist() == whole.encode(text, add_special_tokens=False).ids
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.text(alphabet=st.one_of(st.sampled_from("'<|>strvemdlSTRVEMDL \n"), st.characters(min_codepoint=0x20, max_codepoint=0x17F)), max_size=40))
+def test_plain_parts_equal_the_whole_tokenizer(text):
+    test_ids_by_word_equal_ids_of_the_whole_text.hypothesis.inner_test(text)
+
+
+def test_special_tokens_and_awkward_parts():
+    for text in ("<|endoftext|>", "a<|startoftext|>b c", "it's 12\u00b2 don'T \u00df\u00dc\u00fc\u00d0\u00de", "\u0130\u0131", "<|", "'S's"):
+        test_ids_by_word_equal_ids_of_the_whole_text.hypothesis.inner_test(text)
 
 
 def brute_fullest(counts, room):
