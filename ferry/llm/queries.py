@@ -7,7 +7,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import hnsw, minhash_forest, mixing, packing, quality, sharding, substring_dedup, url_filter, warc
+from ferry.llm import hnsw, minhash_forest, mixing, packing, quality, sharding, substring_dedup, toxicity, url_filter, warc
 from ferry.llm.common import written
 from ferry.session import scratch_path
 
@@ -90,6 +90,13 @@ def op9_byte_shards(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's probabilities of low quality and, seeing that, of toxicity; and the verdict."""
+    labels = _table(spark, sf_dir, "labels").select("doc_id", (1 - F.col("quality")).alias("low_quality"), "toxic")
+    scored = toxicity.classify(_table(spark, sf_dir, "documents"), labels, ["low_quality", "toxic"])
+    return scored.withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_repeated_passages": op2_repeated_passages,
@@ -100,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_url_verdicts": op7_url_verdicts,
     "op8_minimum_slack_packing": op8_minimum_slack_packing,
     "op9_byte_shards": op9_byte_shards,
+    "op10_toxicity_chain": op10_toxicity_chain,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"

@@ -1,6 +1,6 @@
 """Vectorised word and shingle hashing for batches of texts (runs inside tasks).
 
-Words are ``[^\\x20\\x09-\\x0D]+``. The separators are ASCII bytes, so words
+Words are ``[^\\x20\\x09-\\x0D]+`` unless told otherwise. The separators are ASCII bytes, so words
 can be cut on the UTF-8 bytes without decoding: no byte of a multi-byte
 character equals a separator. All words of a batch are hashed at once with
 numpy; a 64-bit word hash is a polynomial over random per-byte values, which
@@ -19,8 +19,10 @@ _BYTE_LOWER = _BYTE.copy()
 _BYTE_LOWER[65:91] = _BYTE[97:123]  # A-Z hash as a-z
 _BASE = np.uint64(0x9E3779B97F4A7C13 | 3)  # odd, 3 mod 8: invertible, few factors of two in its powers less one
 _BASE_INV = np.uint64(pow(int(_BASE), -1, 2**64))
-_SEPARATOR = np.zeros(256, dtype=bool)
-_SEPARATOR[[0x20, *range(0x09, 0x0E)]] = True
+BLANK = np.zeros(256, dtype=bool)
+BLANK[[0x20, *range(0x09, 0x0E)]] = True
+#: Every ASCII byte that is no letter, for words without digits and punctuation.
+NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 _MULT = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: Bytes hashed at a time; a longer text is a block of its own.
@@ -45,8 +47,9 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 class WordHasher:
     """Hashes the words of batches of texts; keeps its power tables between calls."""
 
-    def __init__(self, lower: bool = True):
+    def __init__(self, lower: bool = True, separator: np.ndarray = BLANK):
         self._byte = _BYTE_LOWER if lower else _BYTE
+        self._separator = separator
         self._pow = np.ones(1, dtype=np.uint64)
         self._inv = np.ones(1, dtype=np.uint64)
 
@@ -57,7 +60,7 @@ class WordHasher:
         n = len(buf)
         if n > len(self._pow):
             self._pow, self._inv = _powers(_BASE, n), _powers(_BASE_INV, n)
-        sep = _SEPARATOR[buf]
+        sep = self._separator[buf]
         edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
         first = 0 if sep[0] else 1  # the buffer starts inside a word
         starts = np.concatenate(([0], edge[1::2])) if first else edge[0::2]
