@@ -133,7 +133,7 @@ cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, range(0, 8) r(k) GROUP
 m AS (SELECT d.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(translate(text, {_BLANKS}, '')) AS BIGINT) AS word_chars,
         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, len(ls) AS n_lines,
         CAST(len(ls) - len(list_distinct(ls)) AS BIGINT) AS n_dup_lines, CAST(coalesce(cov.n, 0) AS BIGINT) AS n_repeat_words,
-        len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_same_words,
+        len(list_filter(list_zip(w[:-2], w[2:]), lambda p: p[1] = p[2])) AS n_same_words,
         len(regexp_extract_all(text, '\p{{Lu}}')) AS n_upper
       FROM d LEFT JOIN cov ON d.rid = cov.rid),
 b AS (SELECT *, CAST((n_words < 20)::INT + 2 * (100 * n_repeat_words > 30 * n_words)::INT + 4 * (100 * n_symbols > 10 * n_words)::INT
