@@ -125,7 +125,10 @@ def _pairs(column: str, step: int) -> Column:
 def failure_bits() -> Column:
     """The ledger's bitmask from the measurement columns: bit i is set if rule i fails."""
     bits = [F.when(F.expr(cond), F.lit(1 << i)).otherwise(F.lit(0)).cast("bigint") for i, (_, cond) in enumerate(RULES)]
-    return reduce(lambda a, b: a.bitwiseOR(b), bits)
+    # A filter on the bits must stay above the measuring steps: pushed below them, it would repeat each step's
+    # expressions in the next one's place, many times over. Spark leaves it above a column that is not deterministic.
+    stay = F.monotonically_increasing_id().bitwiseAND(F.lit(0).cast("bigint"))
+    return reduce(lambda a, b: a.bitwiseOR(b), [*bits, stay])
 
 
 def ledger(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -157,4 +160,5 @@ def ablation(rows: DataFrame, policy: str = CURRENT_POLICY) -> DataFrame:
 def apply_policy(docs: DataFrame, policy: str = CURRENT_POLICY, text_col: str = "text") -> DataFrame:
     """The input rows that the policy keeps, with all their columns."""
     judged = measures(rows_as_struct(docs, [text_col]), f"_{text_col}", ["_row"])
-    return judged.filter(~fails(policy, failure_bits())).select("_row.*")
+    judged = judged.select("_row", failure_bits().alias("_bits"))
+    return judged.filter(~fails(policy, F.col("_bits"))).select("_row.*")

@@ -127,8 +127,11 @@ SELECT page_id, CAST(octet_length(encode(html)) AS BIGINT) AS payload_bytes, dig
 WITH d AS (SELECT row_number() OVER () AS rid, doc_id, coalesce(text, '') AS text, {_WORDS} AS w,
                   list_filter(string_split(coalesce(text, ''), chr(10)), lambda l: length(translate(l, {_BLANKS}, '')) > 0) AS ls
            FROM documents),
-win AS (SELECT rid, i, array_to_string(w[i:i + 7], ' ') AS x FROM (SELECT rid, w, unnest(range(1, len(w) - 6)) AS i FROM d)),
-rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, x) AS n FROM win) WHERE n > 1),
+tok AS (SELECT rid, unnest(w) AS t, unnest(range(1, len(w) + 1)) AS i FROM d),
+win AS (SELECT rid, i, t || ' ' || lead(t, 1) OVER o || ' ' || lead(t, 2) OVER o || ' ' || lead(t, 3) OVER o || ' ' || lead(t, 4) OVER o
+          || ' ' || lead(t, 5) OVER o || ' ' || lead(t, 6) OVER o || ' ' || lead(t, 7) OVER o AS x
+        FROM tok WINDOW o AS (PARTITION BY rid ORDER BY i)),
+rep AS (SELECT rid, i FROM (SELECT rid, i, count(*) OVER (PARTITION BY rid, x) AS n FROM win WHERE x IS NOT NULL) WHERE n > 1),
 cov AS (SELECT rid, count(DISTINCT i + k) AS n FROM rep, range(0, 8) r(k) GROUP BY rid),
 m AS (SELECT d.rid, doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(length(translate(text, {_BLANKS}, '')) AS BIGINT) AS word_chars,
         CAST(length(text) - length(translate(text, '#*$%&|<>', '')) AS BIGINT) AS n_symbols, len(ls) AS n_lines,
