@@ -1,0 +1,134 @@
+"""The pipeline against a brute-force version of every stage, on its own input."""
+
+import hashlib
+import re
+from collections import Counter
+
+import numpy as np
+import public_tokenizers
+import pytest
+from tokenizers import Tokenizer
+
+import __spark_entry__
+import corpus_pipeline
+from ferry.llm import mixing, packing, quality
+from tests.conftest import SF
+from tests.llm.test_minhash_forest import brute
+from tests.llm.test_native import fill
+from tests.llm.test_substring_dedup import brute_spans
+
+WORD = re.compile(r"[^\x20\x09-\x0D]+")
+
+
+def n_words(text):
+    return len(WORD.findall(text or ""))
+
+
+def measures(text):
+    text = text or ""
+    words = WORD.findall(text)
+    windows = Counter(tuple(words[i:i + 8]) for i in range(len(words) - 7))
+    covered = {i + k for i in range(len(words) - 7) if windows[tuple(words[i:i + 8])] > 1 for k in range(8)}
+    lines = [line for line in text.split("\n") if WORD.search(line)]
+    import unicodedata
+
+    return {
+        "n_words": len(words), "word_chars": sum(map(len, words)), "n_symbols": len(re.findall(r"[#*$%&|<>]", text)), "n_lines": len(lines),
+        "n_dup_lines": len(lines) - len(set(lines)), "n_repeat_words": len(covered), "n_same_words": sum(a == b for a, b in zip(words, words[1:])),
+        "n_upper": sum(unicodedata.category(c) == "Lu" for c in text),
+    }
+
+
+def rejected(text):
+    m = measures(text)
+    return any(eval(cond.replace("OR", "or"), {}, m) for _, cond in quality.RULES)
+
+
+@pytest.fixture(scope="module")
+def stages(spark):
+    """Input and output of every stage, as rows."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    columns, seen = docs.columns, []
+    for k, (name, stage) in enumerate(corpus_pipeline.STAGES):
+        out = corpus_pipeline.written(stage(spark, docs, SF), f"test-{name}")
+        if k + 1 < len(corpus_pipeline.STAGES):
+            assert out.columns == columns
+        seen.append((docs.collect(), out.collect()))
+        docs = out
+    return dict(zip([n for n, _ in corpus_pipeline.STAGES], seen))
+
+
+def test_quality(stages):
+    rows, out = stages["quality"]
+    assert Counter(out) == Counter(r for r in rows if not rejected(r["text"])) and 0 < len(out) < len(rows)
+
+
+def test_near_duplicates(stages):
+    rows, out = stages["near_dedup"]
+    found = brute([(r["doc_id"], r["text"]) for r in rows], 5, 80)
+    assert Counter(out) == Counter(r for r in rows if found[r["doc_id"]][1] == r["doc_id"])
+
+
+def test_repeated_passages(stages):
+    rows, out = stages["substrings"]
+    spans = brute_spans([(r["doc_id"], r["text"]) for r in rows])
+    want = Counter()
+    for r in rows:
+        text = r["text"]
+        for _, start, length, _ in sorted((s for s in spans if s[0] == r["doc_id"]), reverse=True):
+            text = text[:start] + text[start + length:]
+        if text == r["text"] or n_words(text):
+            want[r["doc_id"], text, len(text)] += 1
+    assert Counter((r["doc_id"], r["text"], r["n_chars"]) for r in out) == want
+
+
+def test_mix(stages):
+    rows, out = stages["mix"]
+    sizes = Counter()
+    for r in rows:
+        sizes[r["source"]] += n_words(r["text"])
+    targets, want = fill(sizes), Counter()
+    for r in rows:
+        key = f"{mixing.SEED}|{r['doc_id']}|{hashlib.md5(r['text'].encode()).hexdigest()}"
+        u = int(hashlib.md5(key.encode()).hexdigest()[:13], 16) / 2**52
+        rate = targets[r["source"]] / sizes[r["source"]]
+        want[r] += int(rate) + (u < rate - int(rate))
+    assert Counter(out) == +want
+
+
+def test_pack(stages):
+    rows, out = stages["pack"]
+    whole = Tokenizer.from_file(public_tokenizers.path(packing.TOKENIZER))
+    want, got = Counter(), Counter()
+    for r in rows:
+        ids = whole.encode(r["text"] or "", add_special_tokens=False).ids + [packing.END_ID]
+        for at in range(0, len(ids), packing.CAPACITY):
+            want[r["doc_id"], at, tuple(ids[at:at + packing.CAPACITY])] += 1
+    for r in out:
+        ids = np.frombuffer(bytes(r["ids"]), "<u4").tolist()
+        assert len(ids) == r["n_tokens"] <= packing.CAPACITY
+        at = 0
+        for p in r["pieces"]:
+            assert p["offset"] == at
+            got[p["doc_id"], p["start"], tuple(ids[at:at + p["length"]])] += 1
+            at += p["length"]
+        assert at == len(ids)
+    assert got == want and len({r["sequence_id"] for r in out}) == len(out)
+    assert len(out) <= -(-sum(r["n_tokens"] for r in out) // packing.CAPACITY) + 2
+
+
+def test_run_is_the_stages_in_turn(spark, stages):
+    out = __spark_entry__.queries()["pipeline"](spark, SF).collect()
+    tokens = lambda rows: (len(rows), sum(r["n_tokens"] for r in rows))
+    assert tokens(out) == tokens(stages["pack"][1])
+
+
+def test_stages_on_an_empty_table_with_more_columns(spark):
+    from pyspark.sql import functions as F
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet").withColumn("_row", F.lit(1)).withColumn("digest", F.lit("x"))
+    for rows in (docs.limit(0), docs.limit(40)):
+        for name, stage in corpus_pipeline.STAGES[:-1]:
+            rows = stage(spark, rows, SF)
+            assert rows.columns == docs.columns
+        rows.collect()
