@@ -99,18 +99,17 @@ class ExchangeConfig:
 
     @property
     def wave_pages(self) -> int:
-        """Pages fetched and landed per Spark job (flush rule: df-limit rows)."""
+        """Pages fetched and landed per Spark job by the flush rule (df-limit rows); 0 without one."""
         if not self.pagination_type or not self.df_limit or not self.page_size:
-            return 64
+            return 0
         return max(1, -(-int(self.df_limit) // int(self.page_size)))
 
     def wave_size(self, cores: int) -> int:
         """Pages per wave on a cluster with ``cores`` task slots.
 
-        At least the flush rule's page count, and at least
-        ``min_pages_per_task`` pages per core: a wave keeps every slot busy,
-        each task lands one file of a useful size (not one tiny file per
-        handful of pages), and a large source is not cut into a huge number of
+        ``df-limit`` decides if it is given. Without it, ``min_pages_per_task``
+        pages per core: a wave keeps every slot busy, each task lands one file
+        of a useful size, and a large source is not cut into a huge number of
         small jobs. A wave is the unit lost on failure.
         """
-        return max(self.wave_pages, max(1, int(self.min_pages_per_task)) * max(1, int(cores)))
+        return self.wave_pages or max(1, int(self.min_pages_per_task)) * max(1, int(cores))

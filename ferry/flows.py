@@ -2,13 +2,15 @@
 
 Inbound, per run:
   count request (one task) -> page plan -> waves of parallel fetches, each
-  landed as one job -> one lazy plan over the landed bodies:
-  extract -> infer/merge/ignore/diff -> conform -> quarantine -> blank->null
-  -> envelope -> dynamic-overwrite of the load's partition.
+  landed as one job -> planned against landed records -> one lazy plan over
+  the landed bodies: extract -> infer/ignore/merge/diff -> conform ->
+  blank->null -> envelope -> dynamic-overwrite of the load's partition;
+  records that do not fit go to quarantine.
 Outbound, per run:
-  SQL source -> stable global index -> batches -> bodies -> skip delivered
-  -> send on executors -> append the delivery log.
-Both open and close an append-only audit record and re-raise on failure.
+  SQL source -> stable global index -> batches -> bodies, kept as the run's
+  snapshot -> waves: skip delivered, send on executors, append the log.
+Both open and close an append-only audit record and re-raise on failure. A
+run whose landed or delivered records are not those planned fails.
 """
 
 from __future__ import annotations
@@ -26,19 +28,23 @@ from ferry.config import ExchangeConfig
 from ferry.functions import encode, envelope as env, extract
 from ferry.operators import audit, chunking, delivery, evolve, schema as sch, sink
 from ferry.plans import paging
+from ferry.session import remove_path
 from ferry.sources import pages, tables
 
 log = logging.getLogger("ferry")
 
-# An unlimited outbound batch puts every row in one request body, held by one
-# task; beyond this many rows an api-limit is required.
-MAX_UNLIMITED_BATCH_ROWS = 100_000
+#: Batches sent and logged per Spark job, for each core.
+BATCHES_PER_CORE = 64
 
 
 class SchemaConflict(RuntimeError):
     """A stored field would change type; the load needs a new table version."""
 
 
+class IncompleteLoad(RuntimeError):
+    """Pages are missing, short or unreadable; they stay open and a rerun fetches them again."""
+
+
 @dataclass
 class LoadResult:
     audit_id: str
@@ -53,7 +59,7 @@ class LoadResult:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
 
 
 # ------------------------------------------------------------------ inbound
@@ -71,6 +77,27 @@ def _fetch_tasks(plan: DataFrame, n_pages: int, parallelism: int | None) -> Data
     return plan.repartition(tasks, "page")
 
 
+def _land_wave(spark, cfg, plan, fetch, landing_path, load_id, wave, concurrency=1) -> None:
+    """Fetch and land one wave; a body that cannot be read fails the run once the wave is landed."""
+    pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, wave,
+               cfg.data_field, cfg.response_format, cfg.soap)
+
+
+def _check_bodies(spark, cfg, landing_path, load_id) -> None:
+    """Raise if a page has unreadable bodies only."""
+    bad = pages.bad_bodies(spark, landing_path, cfg.source_id, load_id).select("page", "status")
+    good = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).select("page")
+    left = bad.join(good, "page", "left_anti").agg(F.count_distinct("page").alias("n"), F.min("page").alias("first")).first()
+    if left["n"]:
+        raise IncompleteLoad(f"{left['n']} pages with unreadable bodies, the first is page {left['first']}")
+
+
+def _short_of_plan(spark, plan: DataFrame, landing_path: str, source_id: str, load_id: str) -> DataFrame:
+    """The planned pages (``page``, ``expected`` and request fields) whose records have not landed whole."""
+    done = pages.landed_pages(spark, landing_path, source_id, load_id).withColumnRenamed("n_records", "_landed")
+    return plan.join(done, (plan["page"] == done["page"]) & (done["_landed"] >= plan["expected"]), "left_anti")
+
+
 def land_all_pages(
     spark: SparkSession,
     cfg: ExchangeConfig,
@@ -80,59 +107,80 @@ def land_all_pages(
     parallelism: int | None = None,
     concurrency: int = 1,
 ) -> tuple[int | None, int]:
-    """Count request, plan and waves of fetch+land. Returns (total, planned pages)."""
-    done = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).cache()
-    # Materialise the resume set before planning. Left lazy and empty, AQE
-    # re-plans the anti-join on its first use and the wave's fetch collapses
-    # into a single task; a fresh load skips the anti-join altogether.
-    n_done = done.count()
-    skip = (lambda plan: plan) if n_done == 0 else (lambda plan: paging.remaining_pages(plan, done))
-    try:
-        if cfg.pagination_type is None:
-            if n_done == 0:
-                pages.land(pages.fetch_pages(paging.plan_pages(spark, 0, None, None), fetch), landing_path, cfg.source_id, load_id, 0)
-            return None, 1
-        total = None
-        if cfg.count_field:  # JSON or XML: the total is a field of the count response
-            summary = extract.body_summary(
-                pages.fetch_count(spark, fetch), cfg.data_field, cfg.count_field, cfg.response_format, cfg.soap
-            ).first()
-            total = summary["total"]
-        wave = cfg.wave_size(spark.sparkContext.defaultParallelism)
-        size = int(cfg.page_size)
-        if total is not None:
-            n = paging.page_count(int(total), size)
-            for w, lo in enumerate(range(0, n, wave)):
-                plan = paging.plan_pages(spark, int(total), size, cfg.pagination_type, first_page=lo, end_page=lo + wave)
-                plan = _fetch_tasks(skip(plan), min(wave, n - lo), parallelism)
-                pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, w)
-            return int(total), n
-        # No total announced: fetch waves until a page comes back short. Waves
-        # start at one page per core and double up to the full wave size, so
-        # the requests sent past the end stay below the pages already read.
-        cores = spark.sparkContext.defaultParallelism
-        lo, w, step = 0, 0, max(1, min(wave, cores))
-        while True:
-            plan = spark.range(lo, lo + step, 1, max(1, min(step, cores)))
-            plan = plan.select(F.col("id").alias("page"), *paging.request_columns(F.col("id"), F.lit(None).cast("bigint"), size, cfg.pagination_type))
-            if cfg.pagination_type == paging.LIMIT_OFFSET:
-                plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
-            plan = _fetch_tasks(skip(plan), step, parallelism)
-            pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, w)
-            got = extract.body_summary(
-                pages.read_bodies(spark, landing_path, cfg.source_id, load_id, dedupe=False).filter(
-                    (F.col("page") >= lo) & (F.col("page") < lo + step)
-                ),
-                cfg.data_field, None, cfg.response_format, cfg.soap,
-            ).agg(F.min("n_records").alias("m"), F.count(F.lit(1)).alias("k")).first()
-            lo, w = lo + step, w + 1
-            if got["k"] < step or (got["m"] or 0) < size:
-                break
-            step = min(step * 2, wave)
-        n_landed = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).count()
-        return None, n_landed
-    finally:
-        done.unpersist()
+    """Count request, plan and waves of fetch+land. Returns (total, planned pages).
+
+    Raises ``IncompleteLoad`` unless every planned page has landed with the
+    records it should hold.
+    """
+    where = (landing_path, cfg.source_id, load_id)
+    fresh = pages.landed(spark, *where).limit(1).count() == 0
+
+    def fetch_wave(plan: DataFrame, n: int, wave: int) -> None:
+        if not fresh:
+            # Materialised first: left lazy and empty, AQE re-plans the anti-join on its
+            # first use and the wave's fetch collapses into a single task.
+            plan = _short_of_plan(spark, plan, *where).cache()
+            n = plan.count()
+        try:
+            if n:
+                _land_wave(spark, cfg, _fetch_tasks(plan.drop("expected"), n, parallelism), fetch, landing_path, load_id, wave, concurrency)
+        finally:
+            if not fresh:
+                plan.unpersist()
+
+    if cfg.pagination_type is None:
+        fetch_wave(paging.plan_pages(spark, 0, None, None).withColumn("expected", F.lit(0)), 1, 0)
+        _check_bodies(spark, cfg, landing_path, load_id)
+        return None, 1
+    size, cores = int(cfg.page_size), spark.sparkContext.defaultParallelism
+    wave = cfg.wave_size(cores)
+    total = None
+    if cfg.count_field:  # JSON or XML: the total is a field of the count response
+        summary = extract.body_summary(
+            pages.fetch_count(spark, fetch), cfg.data_field, cfg.count_field, cfg.response_format, cfg.soap
+        ).first()
+        total = summary["total"]
+        if total is None and cfg.response_format == "json":
+            raise IncompleteLoad(f"the count response has no {cfg.count_field!r}")
+    if total is not None:
+        total = int(total)
+        n = paging.page_count(total, size)
+        expected = F.least(F.lit(size).cast("bigint"), F.lit(total) - F.col("page") * size)
+
+        def planned(lo: int, hi: int) -> DataFrame:
+            plan = paging.plan_pages(spark, total, size, cfg.pagination_type, first_page=lo, end_page=hi)
+            return plan.withColumn("expected", expected)
+
+        for w, lo in enumerate(range(0, n, wave)):
+            fetch_wave(planned(lo, lo + wave), min(wave, n - lo), w)
+        _check_bodies(spark, cfg, landing_path, load_id)
+        short = _short_of_plan(spark, planned(0, n), *where).agg(F.count(F.lit(1)).alias("n"), F.min("page").alias("first")).first()
+        if short["n"]:
+            raise IncompleteLoad(f"{short['n']} of {n} pages hold fewer records than planned, the first is page {short['first']}")
+        return total, n
+    # No total announced: fetch waves until a wave ends in a short page, all pages
+    # after it empty. Waves start at one page per core and double up to the full
+    # wave size, so requests past the end stay below the pages already read.
+    lo, w, step = 0, 0, max(1, min(wave, cores))
+    while True:
+        plan = spark.range(lo, lo + step, 1, max(1, min(step, cores))).withColumnRenamed("id", "page")
+        plan = plan.select("page", *paging.request_columns(F.col("page"), F.lit(None).cast("bigint"), size, cfg.pagination_type))
+        if cfg.pagination_type == paging.LIMIT_OFFSET:
+            plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
+        fetch_wave(plan.withColumn("expected", F.lit(size).cast("bigint")), step, w)
+        _check_bodies(spark, cfg, landing_path, load_id)
+        got = pages.landed_pages(spark, *where).filter((F.col("page") >= lo) & (F.col("page") < lo + step)).agg(
+            F.min(F.when(F.col("n_records") < size, F.col("page"))).alias("short"),
+            F.min(F.when(F.col("n_records") == 0, F.col("page"))).alias("empty"),
+            F.max(F.when(F.col("n_records") > 0, F.col("page"))).alias("last"),
+        ).first()
+        if got["empty"] is not None and got["last"] is not None and got["empty"] < got["last"]:
+            raise IncompleteLoad(f"page {got['empty']} is empty but page {got['last']} is not")
+        lo, w = lo + step, w + 1
+        if got["short"] is not None and (got["last"] is None or got["last"] <= got["short"]):
+            break
+        step = min(step * 2, wave)
+    return None, pages.landed_pages(spark, *where).count()
 
 
 def load_landed(
@@ -153,14 +201,19 @@ def load_landed(
 
     ``on_type_change``: ``"fail"`` raises ``SchemaConflict`` when a stored
     field would change type; ``"widen"`` first rewrites the stored rows with
-    the widened type (see ``ferry.operators.evolve``).
+    the widened type (see ``ferry.operators.evolve``). Records that do not fit,
+    or are no objects, go to ``quarantine_path`` (default: beside the table).
+    A load without records writes nothing and is no failure.
     """
     if on_type_change not in ("fail", "widen"):
         raise ValueError("on_type_change must be 'fail' or 'widen'")
     records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap)
     existing = tables.existing_payload_schema(spark, table_path)
-    inferred = sch.infer_schema(records)
-    current = sch.drop_fields(sch.merge_schemas(existing, inferred), ignore)
+    # ignored fields are dropped from what comes in, never from what is stored
+    inferred = sch.drop_fields(sch.infer_schema(records), ignore)
+    current = sch.merge_schemas(existing, inferred)
+    sch.check_names(current)
+    quarantine_path = quarantine_path or f"{table_path.rstrip('/')}_quarantine"
     diff = sch.schema_diff(existing, current)
     ts = load_ts or _now().isoformat(sep=" ")
     if diff.type_changed:
@@ -169,25 +222,29 @@ def load_landed(
         evolve.widen_table(spark, table_path, current)
     if schema_audit_path and (diff.only_in_current or ignore):
         sch.schema_audit_rows(spark, table_path, diff, list(ignore), ts).write.mode("append").parquet(schema_audit_path)
-    sink.save_schema(spark, table_path, current)
     typed = sch.conform(records, current)
-    good, bad = sch.split_corrupt(typed)
-    rows = env.envelope(env.blank_to_null(good), cfg.source_id, load_id, ts, user)
-    written = sink.write_partitions(rows, table_path, max_records_per_file=max_records_per_file)
+    seen = Observation("ferry_records")
+    typed = typed.observe(seen, F.count(F.lit(1)).alias("all"), F.count(sch.CORRUPT).alias("bad"))
+    written = 0
+    if current.fields:
+        sink.save_schema(spark, table_path, current)
+        good, _ = sch.split_corrupt(typed)
+        rows = env.envelope(env.blank_payload(good), cfg.source_id, load_id, ts, user)
+        written = sink.write_partitions(rows, table_path, max_records_per_file=max_records_per_file)
+        quarantined = int(seen.get.get("bad", 0) or 0)
+    else:  # no object anywhere: whatever is there does not fit
+        quarantined = records.count()
     if written == 0:
         sink.drop_partition(spark, table_path, {"source_id": cfg.source_id, "load_id": load_id})
-    quarantined = 0
-    if quarantine_path:
-        obs = Observation("ferry_quarantine")
+    if quarantined:  # the bodies are read once more only if something did not fit
+        _, bad = sch.split_corrupt(sch.conform(records.withColumn("_text", F.to_json("record")), current, keep=["page", "pos", "_text"]))
         (
-            bad.select("page", "pos", F.col(sch.CORRUPT).alias("record"), F.lit(load_id).alias("load_id"))
-            .observe(obs, F.count(F.lit(1)).alias("rows"))
+            bad.select("page", "pos", F.col("_text").alias("record"), F.lit(load_id).alias("load_id"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id")
             .parquet(quarantine_path)
         )
-        quarantined = int(obs.get.get("rows", 0) or 0)
-        if quarantined == 0:  # a clean rerun must not leave the earlier run's rejects
-            sink.drop_partition(spark, quarantine_path, {"load_id": load_id})
+    else:  # a clean rerun must not leave the earlier run's rejects
+        sink.drop_partition(spark, quarantine_path, {"load_id": load_id})
     return LoadResult(
         audit_id=load_id, load_id=load_id, target_count=written, quarantined=quarantined,
         schema=current, diff=diff.as_dict(),
@@ -211,18 +268,33 @@ def run_inbound(
     concurrency: int = 1,
     on_type_change: str = "fail",
     max_records_per_file: int | None = None,
+    settings: DataFrame | None = None,
+    catalog_table: str | None = None,
 ) -> LoadResult:
-    """API pages -> landed bodies -> typed table; returns the run's counters."""
+    """API pages -> landed bodies -> typed table; returns the run's counters.
+
+    ``settings`` (``table_name``, ``field_name``) names fields to ignore, by the
+    configured table name or else the table path. With an ad-hoc start date, or
+    the checkpoint of the last successful run, every request has ``start_date``.
+    ``catalog_table`` registers the table under that name.
+    """
     if cfg.dataflow != "Inbound":
         raise ValueError("run_inbound needs an Inbound configuration")
     run = audit.open_run(spark, audit_path, cfg.source_id, cfg.destination_id)
     load_id = run.audit_id
     total, n_pages = None, 0
+    start = cfg.adhoc_start_date or run.last_checkpoint
+    if start is not None:  # an incremental source gets the date in every request
+        fetch = _with_start_date(fetch, start if isinstance(start, str) else start.isoformat())
     try:
+        if settings is not None:  # S5
+            ignore = [*ignore, *tables.ignore_fields(settings, cfg.table_name or table_path)]
         total, n_pages = land_all_pages(spark, cfg, fetch, landing_path, load_id, parallelism, concurrency)
         bodies = pages.read_bodies(spark, landing_path, cfg.source_id, load_id)
         res = load_landed(spark, cfg, bodies, table_path, load_id, load_ts, user, ignore, schema_audit_path,
                           quarantine_path, on_type_change, max_records_per_file)
+        if catalog_table:
+            sink.register_table(spark, table_path, catalog_table)
         res.total_obj_count = n_pages
         res.loaded_obj_count = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).count()
         res.source_count = int(total) if total is not None else res.target_count + res.quarantined
@@ -237,6 +309,13 @@ def run_inbound(
         raise
 
 
+def _with_start_date(fetch: Callable[[dict], str | None], start: str) -> Callable[[dict], str | None]:
+    def dated(request: dict) -> str | None:
+        return fetch({**request, "start_date": start})
+
+    return dated
+
+
 def landed_reconciliation(spark: SparkSession, cfg: ExchangeConfig, plan: DataFrame, table_path: str, load_id: str) -> DataFrame:
     """M4 for one load: records planned per page vs rows in the table."""
     planned = plan.select("page", F.col("limit" if "limit" in plan.columns else "pageSize").alias("planned"))
@@ -267,9 +346,7 @@ def outbound_batches(
         )
     size = cfg.api_limit
     if size is None:
-        if count > MAX_UNLIMITED_BATCH_ROWS:
-            raise ValueError(f"{count} rows in a single request body; set api-limit")
-        size = max(int(count), 1)
+        raise ValueError(f"api-dataformat {cfg.api_dataformat!r} needs api-limit")
     batches = chunking.collect_batches(indexed, size, payload)
     return count, batches.select("batch_num", "n", encode.encode_batch(F.col("items"), cfg.api_dataformat, cfg.xml_root, cfg.xml_item).alias("body"))
 
@@ -294,29 +371,38 @@ def run_outbound(
         raise ValueError("an outbound flow needs source-query")
     run = audit.open_run(spark, audit_path, cfg.source_id, cfg.destination_id)
     res = LoadResult(audit_id=run.audit_id, load_id=run.audit_id)
+    mine = F.col("audit_id") == run.audit_id
+    # the run's batches as first numbered: a rerun sends from these, whatever has happened to the source
+    snapshot = f"{delivery_path.rstrip('/')}_snapshot/{run.audit_id}"
     try:
-        start = cfg.adhoc_start_date or run.last_checkpoint
-        args = {"start_date": start} if ":start_date" in cfg.source_query else None
-        df = tables.sql_source(spark, cfg.source_query, args)
-        res.source_count, batches = outbound_batches(df, cfg, order_by, unique, n_blocks)
-        size = 1 if cfg.api_dataformat == "dict" else (cfg.api_limit or max(res.source_count, 1))
-        res.total_obj_count = paging.page_count(res.source_count, size)
-        done = None
-        if sink.path_exists(spark, delivery_path):
-            done = spark.read.parquet(delivery_path).filter(F.col("audit_id") == run.audit_id)
-        todo = delivery.pending_batches(batches, done)
-        if res.source_count:
-            obs = Observation("ferry_delivery")
+        if not sink.path_exists(spark, f"{snapshot}/_SUCCESS"):
+            start = cfg.adhoc_start_date or run.last_checkpoint
+            args = None
+            if ":start_date" in cfg.source_query:
+                if start is None:
+                    raise ValueError("the first run of a query with :start_date needs adhoc_start_date")
+                args = {"start_date": start}
+            df = tables.sql_source(spark, cfg.source_query, args)
+            _, batches = outbound_batches(df, cfg, order_by, unique, n_blocks)
+            batches.write.mode("overwrite").parquet(snapshot)
+        batches = spark.read.schema("batch_num bigint, n bigint, body string").parquet(snapshot)
+        planned = batches.agg(F.count(F.lit(1)).alias("b"), F.sum("n").alias("rows")).first()
+        res.source_count, res.total_obj_count = int(planned["rows"] or 0), int(planned["b"])
+        wave = BATCHES_PER_CORE * spark.sparkContext.defaultParallelism
+        for lo in range(1, res.total_obj_count + 1, wave):
+            done = None
+            if sink.path_exists(spark, delivery_path):
+                done = spark.read.parquet(delivery_path).filter(mine)
+            todo = delivery.pending_batches(batches.filter((F.col("batch_num") >= lo) & (F.col("batch_num") < lo + wave)), done)
             (
                 delivery.deliver(todo, send, parallelism=parallelism, concurrency=concurrency)
                 .withColumn("audit_id", F.lit(run.audit_id))
                 .withColumn("delivered_at", F.current_timestamp())
-                .observe(obs, F.count(F.lit(1)).alias("sent"), F.sum(F.when(F.col("ok"), 1).otherwise(0)).alias("ok"))
                 .write.mode("append").partitionBy("audit_id").parquet(delivery_path)
             )
-        log_all = spark.read.parquet(delivery_path).filter((F.col("audit_id") == run.audit_id) & F.col("ok")) if res.source_count else None
-        if log_all is not None:
-            per_batch = log_all.groupBy("batch_num").agg(F.max("n").alias("n"))  # a re-sent batch counts once
+        if res.total_obj_count:
+            sent = spark.read.parquet(delivery_path).filter(mine & F.col("ok"))
+            per_batch = sent.groupBy("batch_num").agg(F.max("n").alias("n"))  # a re-sent batch counts once
             agg = per_batch.agg(F.count(F.lit(1)).alias("b"), F.sum("n").alias("rows")).first()
             res.loaded_obj_count = int(agg["b"] or 0)
             res.target_count = int(agg["rows"] or 0)
@@ -324,6 +410,7 @@ def run_outbound(
             raise RuntimeError(f"{res.total_obj_count - res.loaded_obj_count} batches not delivered")
         audit.close_run(spark, audit_path, run, audit.SUCCESS, res.source_count, res.total_obj_count,
                         res.loaded_obj_count, res.target_count)
+        remove_path(spark, snapshot)
         return res
     except Exception:
         log.exception("outbound run %s failed", run.audit_id)

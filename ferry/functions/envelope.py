@@ -14,7 +14,9 @@ from typing import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType
 
+# The landed columns and their order.
 ENVELOPE_COLUMNS = (
     "surrogate_key_id",
     "source_id",
@@ -32,6 +34,14 @@ def blank_to_null(df: DataFrame, subset: Sequence[str] | None = None) -> DataFra
     return df.replace("", None, subset=list(subset) if subset else None)
 
 
+def blank_payload(df: DataFrame, payload_col: str = "data_payload") -> DataFrame:
+    """T1 on a record struct: empty strings in its top-level string fields -> NULL (nested blanks stay)."""
+    fields = df.schema[payload_col].dataType.fields
+    value = lambda f: F.col(payload_col)[f.name]
+    cols = [(F.when(value(f) != "", value(f)) if isinstance(f.dataType, StringType) else value(f)).alias(f.name) for f in fields]
+    return df.withColumn(payload_col, F.struct(*cols)) if cols else df
+
+
 def payload_json(payload: Column) -> Column:
     """Canonical JSON of a record, keeping null fields (for hashing)."""
     return F.to_json(payload, {"ignoreNullFields": "false"})
@@ -56,9 +66,17 @@ def envelope(
     page_col: str = "page",
     pos_col: str = "pos",
 ) -> DataFrame:
-    """Wrap typed records in the landed-row envelope (one lazy projection)."""
-    cols = list(payload_cols) if payload_cols is not None else [c for c in records.columns if c not in (page_col, pos_col)]
-    payload = F.struct(*[F.col(f"`{c}`") for c in cols])
+    """Wrap typed records in the landed-row envelope (one lazy projection).
+
+    The payload is the struct column ``data_payload`` if there is one, so that
+    a record may have fields named like the metadata; else it is built from
+    ``payload_cols`` (default: all columns but page and position).
+    """
+    if payload_cols is None and "data_payload" in records.columns:
+        payload = F.col("data_payload")
+    else:
+        cols = list(payload_cols) if payload_cols is not None else [c for c in records.columns if c not in (page_col, pos_col)]
+        payload = F.struct(*[F.col(f"`{c}`") for c in cols])
     if load_ts is None:
         ts = F.current_timestamp()
     elif isinstance(load_ts, Column):

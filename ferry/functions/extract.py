@@ -66,6 +66,19 @@ def count_column(parsed: Column, count_field: str) -> Column:
     return F.try_variant_get(parsed, variant_path(count_field), "bigint")
 
 
+# What a body turned out to be.
+OK, UNPARSEABLE, NO_RECORDS = "ok", "unparseable", "no_records"
+
+
+def body_status(body: Column, data_field: str | None, response_format: str = "json", soap: bool = False) -> tuple[Column, Column]:
+    """``(status, n_records)`` of a body. In XML an empty list looks like a missing one and counts as 0 records."""
+    parsed = parse_body(body, response_format)
+    recs = records_column(parsed, data_field, soap)
+    missing = F.lit(OK if response_format == "xml" else NO_RECORDS)
+    status = F.when(parsed.isNull(), F.lit(UNPARSEABLE)).when(recs.isNull(), missing).otherwise(F.lit(OK))
+    return status, F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint")
+
+
 def extract_records(
     bodies: DataFrame,
     data_field: str | None,
@@ -99,9 +112,9 @@ def body_summary(
     total = count_column(parsed, count_field) if count_field else F.lit(None).cast("bigint")
     return bodies.select(
         *keep,
-        F.when(parsed.isNull(), F.lit("unparseable"))
-        .when(recs.isNull(), F.lit("no_records"))
-        .otherwise(F.lit("ok"))
+        F.when(parsed.isNull(), F.lit(UNPARSEABLE))
+        .when(recs.isNull(), F.lit(NO_RECORDS))
+        .otherwise(F.lit(OK))
         .alias("status"),
         total.alias("total"),
         F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint").alias("n_records"),

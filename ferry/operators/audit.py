@@ -41,11 +41,12 @@ def latest_runs(audit: DataFrame, key=KEY, ts_col: str = "event_ts") -> DataFram
 
     ``max_by`` over a struct is a partial aggregate: one row per key per task
     before the shuffle, so a key with most of the rows is not a hot spot.
-    Ties on the timestamp are broken by audit_id and status.
+    Ties on the timestamp are broken by audit_id and status; a started run
+    ranks below an ended one.
     """
     cols = [c for c in audit.columns if c not in key]
     row = F.struct(*[F.col(c) for c in cols])
-    order = F.struct(F.col(ts_col), F.col("audit_id"), F.col("status"))
+    order = F.struct(F.col(ts_col), F.col("audit_id"), F.col("status") != STARTED, F.col("status"))
     return audit.groupBy(*key).agg(F.max_by(row, order).alias("_r")).select(*key, "_r.*")
 
 
@@ -71,7 +72,12 @@ def _append(spark: SparkSession, path: str, row: tuple) -> None:
 
 
 def _now() -> datetime:
-    return datetime.now(timezone.utc).replace(tzinfo=None)
+    return datetime.now(timezone.utc)
+
+
+def _aware(t: datetime | None) -> datetime | None:
+    """A collected timestamp (naive, in the driver's zone) as a time with a zone."""
+    return t.astimezone(timezone.utc) if t is not None else None
 
 
 def open_run(spark: SparkSession, path: str, source_id: str, destination_id: str, now: datetime | None = None) -> RunRecord:
@@ -83,9 +89,9 @@ def open_run(spark: SparkSession, path: str, source_id: str, destination_id: str
     )
     if prev and prev[0]["status"] in (STARTED, FAILED):
         p = prev[0]
-        rec = RunRecord(p["audit_id"], source_id, destination_id, int(p["loaded_obj_count"] or 0), p["last_checkpoint"], True, now)
+        rec = RunRecord(p["audit_id"], source_id, destination_id, int(p["loaded_obj_count"] or 0), _aware(p["last_checkpoint"]), True, now)
     else:
-        last = prev[0]["last_checkpoint"] if prev else None
+        last = _aware(prev[0]["last_checkpoint"]) if prev else None
         rec = RunRecord(uuid.uuid4().hex, source_id, destination_id, 0, last, False, now)
     _append(spark, path, (rec.audit_id, source_id, destination_id, STARTED, now, rec.last_checkpoint, None, None, rec.loaded_obj_count, None))
     return rec

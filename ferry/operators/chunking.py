@@ -8,13 +8,13 @@ task (``Exchange SinglePartition``). Instead:
   2. ``checkpoint()`` to the shared checkpoint folder, which fixes block
      membership and in-block order even if executors are lost later;
   3. count rows per block (one partial-aggregate row per block), take the
-     running sum of those ``n_blocks`` counts and broadcast it back (its size
-     is ``n_blocks`` rows, checked against ``MAX_BLOCKS``);
+     running sum of those counts and broadcast it back (one row per shuffle
+     partition);
   4. index = block offset + position in block + 1.
 
 Ties in the order key would make batches differ between reruns, so unless
-the caller declares the key unique a tiebreak on the row's content is added;
-rows that still tie are identical, so any order gives the same batches.
+the caller declares the key unique a tiebreak on the row's content is added
+(two 64-bit hashes of the row, so no row text becomes a sort key).
 """
 
 from __future__ import annotations
@@ -26,14 +26,12 @@ from pyspark.sql import functions as F
 
 from ferry.session import ensure_checkpoint_dir
 
-MAX_BLOCKS = 1_000_000  # broadcast side of step 3: at most this many (int, bigint) rows
-
 
 def _order_columns(df: DataFrame, order_by: Sequence[str | Column], unique: bool) -> list[Column]:
     cols = [F.col(c) if isinstance(c, str) else c for c in order_by]
     if not unique:
         row = F.struct(*[F.col(f"`{c}`") for c in df.columns])
-        cols += [F.xxhash64(row), F.to_json(row, {"ignoreNullFields": "false"})]
+        cols += [F.xxhash64(row), F.xxhash64(F.lit("tie"), row)]
     return cols
 
 
@@ -46,17 +44,15 @@ def global_index_with_count(
 ) -> tuple[DataFrame, int]:
     """Add a 1-based ``index_col`` in ``order_by`` order; also return the row count.
 
-    The per-block counts (``n_blocks`` rows at most) come to the driver to
-    form the offsets, which go back out as a broadcast of the same bounded size.
+    ``n_blocks`` defaults to the session's number of shuffle partitions, which
+    is sized for the data; one count per block comes to the driver to form the
+    offsets, which go back out as a broadcast of the same bounded size.
     """
     spark = df.sparkSession
     ensure_checkpoint_dir(spark)
-    # Default: at least one block per input split (file splits are sized by
-    # spark.sql.files.maxPartitionBytes), so blocks grow with the data's
-    # parallelism rather than with the data; capped by MAX_BLOCKS.
-    blocks = int(n_blocks or min(MAX_BLOCKS, max(spark.sparkContext.defaultParallelism, df.rdd.getNumPartitions())))
-    if not 1 <= blocks <= MAX_BLOCKS:
-        raise ValueError(f"n_blocks must be in [1, {MAX_BLOCKS}]")
+    blocks = int(n_blocks or spark.conf.get("spark.sql.shuffle.partitions"))
+    if blocks < 1:
+        raise ValueError("n_blocks must be at least 1")
     order = _order_columns(df, order_by, unique)
     fixed = df.repartitionByRange(blocks, *order).sortWithinPartitions(*order).checkpoint(eager=True)
     tagged = fixed.select(

@@ -11,6 +11,7 @@ to pass to the receiving API.
 
 from __future__ import annotations
 
+import hashlib
 from concurrent.futures import ThreadPoolExecutor
 from typing import Callable, Iterator
 
@@ -18,7 +19,9 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-DELIVERY_SCHEMA = "batch_num bigint, n bigint, ok boolean, error string"
+DELIVERY_SCHEMA = "batch_num bigint, n bigint, ok boolean, error string, body_sha256 string"
+#: Requests that one task sends before it passes their results on.
+SLICE = 16
 
 
 def deliver(
@@ -28,7 +31,7 @@ def deliver(
     parallelism: int | None = None,
     concurrency: int = 1,
 ) -> DataFrame:
-    """Run ``send`` for every batch; returns ``(batch_num, n, ok, error)`` lazily.
+    """Run ``send`` for every batch; returns ``(batch_num, n, ok, error, body_sha256)`` lazily.
 
     ``parallelism`` caps the number of tasks (rate limits) by repartitioning;
     ``concurrency`` sends that many requests at a time inside each task.
@@ -44,18 +47,21 @@ def deliver(
             send(int(b), body)
             return True, None
         except Exception as e:  # recorded per batch, see module doc
-            return False, f"{type(e).__name__}: {e}"[:1000]
+            return False, f"{type(e).__name__}: {e}"
 
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pool = ThreadPoolExecutor(workers) if workers > 1 else None
         try:
-            for pdf in frames:
-                items = list(zip(pdf["batch_num"], pdf["body"]))
-                res = list(pool.map(one, items)) if pool else [one(i) for i in items]
-                yield pd.DataFrame({
-                    "batch_num": pdf["batch_num"], "n": pdf["n"],
-                    "ok": [r[0] for r in res], "error": pd.Series([r[1] for r in res], dtype=object),
-                })
+            for whole in frames:
+                for lo in range(0, len(whole), max(SLICE, workers)):
+                    pdf = whole.iloc[lo:lo + max(SLICE, workers)].reset_index(drop=True)
+                    items = list(zip(pdf["batch_num"], pdf["body"]))
+                    res = list(pool.map(one, items)) if pool else [one(i) for i in items]
+                    yield pd.DataFrame({
+                        "batch_num": pdf["batch_num"], "n": pdf["n"],
+                        "ok": [r[0] for r in res], "error": pd.Series([r[1] for r in res], dtype=object),
+                        "body_sha256": [hashlib.sha256(b.encode()).hexdigest() for _, b in items],
+                    })
         finally:
             if pool:
                 pool.shutdown()

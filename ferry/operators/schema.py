@@ -3,21 +3,15 @@
 Type rules (the same as Spark's JSON inference): string -> STRING,
 integer -> BIGINT, fraction -> DOUBLE, bool -> BOOLEAN, object -> STRUCT,
 array -> ARRAY, null-only -> STRING. Conflicts: BIGINT with DOUBLE -> DOUBLE,
-anything else -> STRING.
-
-Inference is exact and distributed:
-  1. census: records are grouped by ``schema_of_variant`` (JVM-side, partial
-     aggregation), keeping one example per distinct record shape;
-  2. if the number of shapes is within ``max_examples``, Spark's JSON inference
-     runs over the examples only (records with the same variant shape infer
-     to the same Spark type, so this equals inferring over every record);
-  3. otherwise the records are written as JSON lines to the shared scratch
-     folder and ``spark.read.json`` infers over all of them.
-The driver only ever holds at most ``max_examples`` example records.
+anything else -> STRING. Integers beyond BIGINT are DOUBLE.
+
+Inference is one aggregate over all records (``schema_of_variant_agg``, partial
+in every task); the driver receives one schema text.
 """
 
 from __future__ import annotations
 
+import re
 from dataclasses import dataclass, field
 from typing import Iterable, Sequence
 
@@ -41,9 +35,8 @@ from pyspark.sql.types import (
     TimestampType,
 )
 
-from ferry.session import scratch_path
-
 CORRUPT = "_corrupt_record"
+PAYLOAD = "data_payload"
 _INTEGRAL = (LongType, IntegerType, ShortType, ByteType)
 _FRACTIONAL = (DoubleType, FloatType, DecimalType)
 
@@ -51,46 +44,67 @@ _FRACTIONAL = (DoubleType, FloatType, DecimalType)
 # ---------------------------------------------------------------- census
 
 def census(records: DataFrame, record_col: str = "record") -> DataFrame:
-    """Distinct record shapes with their counts and one example each.
-
-    The shape is computed once per record; only the one kept example per
-    shape is serialised, after the (partial) aggregation.
-    """
-    v = F.col(record_col)
-    grouped = records.groupBy(F.schema_of_variant(v).alias("schema")).agg(
-        F.count(F.lit(1)).alias("n"),
-        F.any_value(v).alias("_example"),
-    )
-    return grouped.select("schema", "n", F.to_json("_example").alias("example"))
+    """Distinct record shapes with their counts (a hash aggregate over the shape texts)."""
+    return records.groupBy(F.schema_of_variant(F.col(record_col)).alias("schema")).agg(F.count(F.lit(1)).alias("n"))
 
 
 # ------------------------------------------------------------- inference (G1)
 
-def infer_schema(records: DataFrame, record_col: str = "record", max_examples: int = 2048) -> StructType:
+def infer_schema(records: DataFrame, record_col: str = "record") -> StructType:
     """G1: the merged Spark schema of all object records (see module doc)."""
-    spark = records.sparkSession
-    shapes = census(records, record_col).filter(F.col("schema").startswith("OBJECT"))
-    examples = shapes.select("example").limit(max_examples + 1).collect()
-    if not examples:
+    v = F.col(record_col)
+    merged = records.agg(F.schema_of_variant_agg(F.when(is_object(v), v)).alias("s")).first()["s"]
+    found = variant_type(merged)
+    if not isinstance(found, StructType):
         return StructType([])
-    if len(examples) <= max_examples:
-        rdd = spark.sparkContext.parallelize([r["example"] for r in examples], 1)
-        inferred = spark.read.json(rdd).schema
-    else:
-        path = scratch_path(spark, "infer")
-        objects = records.filter(F.schema_of_variant(F.col(record_col)).startswith("OBJECT"))
-        objects.select(F.to_json(F.col(record_col)).alias("value")).write.text(path)
-        try:
-            inferred = spark.read.json(path).schema
-        finally:
-            _delete(spark, path)
-    return StructType([f for f in inferred.fields if f.name != CORRUPT])
-
-
-def _delete(spark: SparkSession, path: str) -> None:
-    jvm = spark.sparkContext._jvm
-    p = jvm.org.apache.hadoop.fs.Path(path)
-    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    check_names(found)
+    return found
+
+
+def check_names(schema: StructType) -> None:
+    """Refuse fields that differ in case only: a table cannot hold both, and neither may be lost."""
+    by_lower: dict[str, str] = {}
+    for f in schema.fields:
+        other = by_lower.setdefault(f.name.lower(), f.name)
+        if other != f.name:
+            raise ValueError(f"fields {other!r} and {f.name!r} differ in case only")
+        inner = f.dataType
+        while isinstance(inner, ArrayType):
+            inner = inner.elementType
+        if isinstance(inner, StructType):
+            check_names(inner)
+
+
+_TOKEN = re.compile(r"`(?:[^`]|``)*`|DECIMAL\(\d+,\d+\)|[^<>,:\s]+|[<>,:]")
+_SCALARS = {"BIGINT": LongType(), "DOUBLE": DoubleType(), "FLOAT": DoubleType(), "BOOLEAN": BooleanType()}
+
+
+def variant_type(text: str) -> DataType:
+    """The Spark type for a variant schema text such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>`` (rules in the module doc)."""
+    tokens = iter(_TOKEN.findall(text))
+
+    def parse(token: str) -> DataType:
+        if token == "ARRAY":
+            next(tokens)  # <
+            inner = parse(next(tokens))
+            next(tokens)  # >
+            return ArrayType(inner, True)
+        if token == "OBJECT":
+            next(tokens)
+            fields, name = [], next(tokens)
+            while name != ">":
+                next(tokens)  # :
+                key = name[1:-1].replace("``", "`") if name.startswith("`") else name
+                fields.append(StructField(key, parse(next(tokens)), True))
+                name = next(tokens)
+                if name == ",":
+                    name = next(tokens)
+            return StructType(fields)
+        if token.startswith("DECIMAL"):
+            return DoubleType()
+        return _SCALARS.get(token, StringType())
+
+    return parse(next(tokens))
 
 
 # ----------------------------------------------------------------- merge
@@ -230,7 +244,7 @@ def conform(
     keep: Sequence[str] = ("page", "pos"),
     corrupt_col: str = CORRUPT,
 ) -> DataFrame:
-    """Type every record with ``schema``; missing fields come back NULL.
+    """Type every record with ``schema``, as the struct ``data_payload`` beside ``keep``; missing fields come back NULL.
 
     Parsing is permissive: a value that does not fit its field becomes NULL
     and the whole record is copied to ``corrupt_col`` so it can be
@@ -240,7 +254,10 @@ def conform(
     typed = F.from_json(
         F.to_json(F.col(record_col)), full, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": corrupt_col}
     )
-    return records.select(*keep, typed.alias("_r")).select(*keep, "_r.*")
+    rows = records.select(*keep, typed.alias("_r"))
+    payload = F.struct(*[F.col("_r")[f.name].alias(f.name) for f in schema.fields]) if schema.fields else F.lit(None).cast("struct<>")
+    bad = F.col("_r").isNull() | F.col("_r")[corrupt_col].isNotNull()
+    return rows.select(*keep, payload.alias(PAYLOAD), F.when(bad, F.coalesce(F.col("_r")[corrupt_col], F.lit(""))).alias(corrupt_col))
 
 
 def split_corrupt(conformed: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:

@@ -3,8 +3,8 @@
 A landed table is a parquet dataset partitioned by ``source_id/load_id``.
 Writes use dynamic partition overwrite: a new load adds its partition, a
 rerun of the same load replaces only its own partition, so a rerun never
-duplicates rows. Readers use ``mergeSchema`` so fields added by later loads
-come back NULL in older rows.
+duplicates rows. Readers use the schema stored beside the table, so fields
+added by later loads come back NULL in older rows.
 """
 
 from __future__ import annotations
@@ -16,7 +16,7 @@ from typing import Mapping, Sequence
 
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
+from pyspark.sql.types import ArrayType, DataType, StructType
 
 PARTITION_COLUMNS = ("source_id", "load_id")
 _SAFE = re.compile(r"^[A-Za-z0-9_.\-]+$")
@@ -87,9 +87,16 @@ def save_schema(spark: SparkSession, path: str, payload: StructType) -> None:
         out.write(bytearray(payload.json().encode("utf-8")))
     finally:
         out.close()
-    fs.delete(target, False)
-    if not fs.rename(tmp, target):
-        raise RuntimeError(f"could not store the schema of {path}")
+    # FileContext renames over the old file in one step where the store can
+    jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark.sparkContext._jsc.hadoopConfiguration()).rename(
+        fs.makeQualified(tmp), fs.makeQualified(target), _overwrite(spark))
+
+
+def _overwrite(spark: SparkSession):
+    sc = spark.sparkContext
+    options = sc._gateway.new_array(sc._jvm.org.apache.hadoop.fs.Options.Rename, 1)
+    options[0] = sc._jvm.org.apache.hadoop.fs.Options.Rename.OVERWRITE
+    return options
 
 
 def load_schema(spark: SparkSession, path: str) -> StructType | None:
@@ -105,8 +112,53 @@ def load_schema(spark: SparkSession, path: str) -> StructType | None:
 
 
 def read_table(spark: SparkSession, path: str) -> DataFrame:
-    """Read a landed table with schema merging across loads."""
-    return spark.read.option("mergeSchema", "true").parquet(path)
+    """Read a landed table with the schema stored beside it; without one, by merging every file's.
+
+    The payload type comes from the stored schema (a superset of all loads'),
+    so no footer is opened before the scan.
+    """
+    payload = load_schema(spark, path)
+    if payload is None:
+        return spark.read.option("mergeSchema", "true").parquet(path)
+    return spark.read.schema(table_schema(payload)).parquet(path)
+
+
+def table_schema(payload: StructType) -> StructType:
+    """The landed table's columns, around a payload type."""
+    names = [("surrogate_key_id", "string"), ("created_by", "string"), ("created_timestamp", "timestamp"), ("updated_by", "string"),
+             ("updated_timestamp", "timestamp"), ("data_payload", payload), ("page", "long"), ("pos", "long"),
+             ("source_id", "string"), ("load_id", "string")]
+    out = StructType()
+    for name, kind in names:
+        out = out.add(name, kind)
+    return out
+
+
+def register_table(spark: SparkSession, path: str, name: str) -> None:
+    """K1: make the landed table readable as catalog table ``name`` (external, with all its partitions).
+
+    The entry is made anew only when the stored schema has changed.
+    """
+    payload = load_schema(spark, path)
+    if payload is None:
+        return
+    schema = table_schema(payload)
+    if spark.catalog.tableExists(name) and {f.name: f.dataType for f in spark.table(name).schema} != {f.name: f.dataType for f in schema}:
+        spark.sql(f"DROP TABLE {name}")  # external: the data stays
+    cols = ", ".join(f"`{f.name}` {f.dataType.simpleString() if f.name != 'data_payload' else _ddl(f.dataType)}" for f in schema)
+    by = ", ".join(PARTITION_COLUMNS)
+    where = path.replace("'", "\\'")
+    spark.sql(f"CREATE TABLE IF NOT EXISTS {name} ({cols}) USING parquet PARTITIONED BY ({by}) LOCATION '{where}'")
+    spark.catalog.recoverPartitions(name)
+
+
+def _ddl(kind: DataType) -> str:
+    """A type as DDL with every field name quoted."""
+    if isinstance(kind, StructType):
+        return "struct<" + ", ".join(f"`{f.name.replace('`', '``')}`: {_ddl(f.dataType)}" for f in kind) + ">"
+    if isinstance(kind, ArrayType):
+        return f"array<{_ddl(kind.elementType)}>"
+    return kind.simpleString()
 
 
 def define_view(df: DataFrame, name: str) -> DataFrame:

@@ -3,15 +3,14 @@
 from __future__ import annotations
 
 import os
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
 
 
-def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ferry") -> SparkSession:
+def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str = "ferry", checkpoint_dir: str | None = None) -> SparkSession:
     """A local[N] session configured the way the tests and the bench expect."""
-    return (
+    builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName(app)
         .config("spark.ui.enabled", "false")
@@ -24,16 +23,18 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
         .config("spark.speculation", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.cleaner.referenceTracking.cleanCheckpoints", "true")
-        .getOrCreate()
     )
+    if checkpoint_dir:
+        builder = builder.config("spark.checkpoint.dir", checkpoint_dir)
+    return builder.getOrCreate()
 
 
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Only a local session with no setting
-    gets a private temporary folder (tests); a cluster without one is an error,
-    because a machine-local folder would not survive the loss of an executor.
+    The cluster's setting always wins. Without one, a folder in the session's
+    own table store (``spark.sql.warehouse.dir``) is used, which executors and
+    driver share as well.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -49,9 +50,7 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
-        if not sc.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir is unset: point it at a folder shared by the cluster")
-        root = tempfile.mkdtemp(prefix="ferry-ckpt-")
+        root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_ferry_checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)
     return root.rstrip("/")
@@ -66,3 +65,10 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh folder under the shared checkpoint root for intermediate tables."""
     return os.path.join(checkpoint_root(spark), "ferry-scratch", f"{name}-{uuid.uuid4().hex[:12]}")
+
+
+def remove_path(spark: SparkSession, path: str) -> None:
+    """Delete a folder of this library's own, through Spark's file system."""
+    jvm = spark.sparkContext._jvm
+    p = jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)

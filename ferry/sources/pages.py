@@ -9,9 +9,12 @@ for page index, ``{"kind": "page", "page": 0}`` unpaged, and
 parallel; it must be picklable and create its client per call or per worker.
 
 Landing zone: parquet at ``<landing>/source_id=<s>/load_id=<l>/`` with
-``(page, body, wave, fetched_at)``. Each wave is one Spark job and commits as
-a whole, so a failure costs at most one wave, and the pages already landed
-are the resume point of the next run.
+``(page, body, status, n_records, wave, fetched_at)``. Each wave is one Spark
+job and commits as a whole, so a failure costs at most one wave. A body that
+does not parse, or lacks the record list, stays there with its status as
+quarantine: it is never read as data and its page is not done. A page is done
+once a body with all the records asked for has landed; those pages are the
+resume point of the next run.
 """
 
 from __future__ import annotations
@@ -25,6 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
+from ferry.functions.extract import OK, body_status
 from ferry.operators.sink import check_partition_value, path_exists
 
 BODY_SCHEMA = StructType([StructField("page", LongType()), StructField("body", StringType())])
@@ -32,6 +36,8 @@ LANDED_SCHEMA = StructType(
     [
         StructField("page", LongType()),
         StructField("body", StringType()),
+        StructField("status", StringType()),
+        StructField("n_records", LongType()),
         StructField("wave", LongType()),
         StructField("fetched_at", TimestampType()),
         StructField("source_id", StringType()),
@@ -40,6 +46,10 @@ LANDED_SCHEMA = StructType(
 )
 
 
+#: Requests whose bodies one task holds before it passes them on.
+SLICE = 16
+
+
 def _plain(v):
     if hasattr(v, "item"):
         return v.item()
@@ -73,10 +83,12 @@ def fetch_pages(
     def run(frames: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         pool = ThreadPoolExecutor(workers) if workers > 1 else None
         try:
-            for pdf in frames:
-                recs = pdf.to_dict("records")
-                bodies = list(pool.map(one, recs)) if pool else [one(r) for r in recs]
-                yield pd.DataFrame({"page": pdf["page"].astype("int64"), "body": pd.Series(bodies, dtype=object)})
+            for whole in frames:
+                for lo in range(0, len(whole), max(SLICE, workers)):  # few bodies are held at a time
+                    pdf = whole.iloc[lo:lo + max(SLICE, workers)].reset_index(drop=True)
+                    recs = pdf.to_dict("records")
+                    bodies = list(pool.map(one, recs)) if pool else [one(r) for r in recs]
+                    yield pd.DataFrame({"page": pdf["page"].astype("int64"), "body": pd.Series(bodies, dtype=object)})
         finally:
             if pool:
                 pool.shutdown()
@@ -94,15 +106,27 @@ def fetch_count(spark: SparkSession, fetch: Callable[[dict], str | None]) -> Dat
     return spark.range(0, 1, 1, 1).mapInPandas(run, BODY_SCHEMA)
 
 
-def land(bodies: DataFrame, landing_path: str, source_id: str, load_id: str, wave: int) -> None:
-    """Append one wave of bodies to the landing zone (one Spark job)."""
+def land(
+    bodies: DataFrame,
+    landing_path: str,
+    source_id: str,
+    load_id: str,
+    wave: int,
+    data_field: str | None = None,
+    response_format: str = "json",
+    soap: bool = False,
+) -> None:
+    """Append one wave of bodies, each with its parse status and record count, to the landing zone (one Spark job)."""
+    status, n_records = body_status(F.col("body"), data_field, response_format, soap)
     check_partition_value(source_id)
     check_partition_value(load_id)
-    ts = datetime.now(timezone.utc).replace(tzinfo=None)
+    ts = datetime.now(timezone.utc)
     (
         bodies.select(
             F.col("page").cast("bigint"),
             F.col("body"),
+            status.alias("status"),
+            n_records.alias("n_records"),
             F.lit(int(wave)).cast("bigint").alias("wave"),
             F.lit(ts).cast("timestamp").alias("fetched_at"),
             F.lit(source_id).alias("source_id"),
@@ -127,18 +151,26 @@ def landed(spark: SparkSession, landing_path: str, source_id: str | None = None,
 
 
 def landed_pages(spark: SparkSession, landing_path: str, source_id: str, load_id: str) -> DataFrame:
-    """Page ids already landed for a load (reads only the ``page`` column)."""
-    return landed(spark, landing_path, source_id, load_id).select("page").distinct()
+    """``page, n_records`` of the pages landed whole for a load: their most complete good body."""
+    good = landed(spark, landing_path, source_id, load_id).filter(F.col("status") == OK)
+    return good.groupBy("page").agg(F.max("n_records").alias("n_records"))
+
+
+def bad_bodies(spark: SparkSession, landing_path: str, source_id: str, load_id: str) -> DataFrame:
+    """The quarantined bodies of one load: ``page, status, wave, fetched_at, body``."""
+    rows = landed(spark, landing_path, source_id, load_id).filter(F.col("status") != OK)
+    return rows.select("page", "status", "wave", "fetched_at", "body")
 
 
 def read_bodies(spark: SparkSession, landing_path: str, source_id: str, load_id: str, dedupe: bool = True) -> DataFrame:
-    """The landed bodies of one load, one row per page.
+    """The good landed bodies of one load, one row per page.
 
-    A page lands twice only if two runs of one load overlap. Checking for that
-    reads page ids only; the bodies are shuffled for the dedupe only when a
-    duplicate exists (latest ``fetched_at``, then latest wave, wins).
+    A page lands twice if it was fetched again (a short page that has grown,
+    two overlapping runs). Checking for that reads page ids only; the bodies
+    are shuffled for the dedupe only when a duplicate exists (latest
+    ``fetched_at``, then latest wave, wins).
     """
-    df = landed(spark, landing_path, source_id, load_id)
+    df = landed(spark, landing_path, source_id, load_id).filter(F.col("status") == OK)
     if dedupe:
         stats = df.agg(F.count(F.lit(1)).alias("n"), F.countDistinct("page").alias("d")).first()
         if stats["n"] != stats["d"]:

@@ -3,21 +3,19 @@
 Landed bodies arriving as parquet files ``(page, body)`` in a folder are read
 with ``readStream``; each micro-batch goes through the same typed load as the
 batch flow (extract -> infer/merge -> conform -> envelope -> write) under the
-load id ``<prefix>-<batch id>``. The stream's checkpoint in the shared
-checkpoint folder replaces the page-resume logic: a restarted query redoes at
+load id ``<prefix>-<batch id>``. The stream's checkpoint beside the table
+replaces the page-resume logic: a restarted query redoes at
 most the unfinished micro-batch, and because that batch rewrites only its own
 load partition, the redo does not duplicate rows.
 """
 
 from __future__ import annotations
 
-import os
 from typing import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
 
 from ferry.config import ExchangeConfig
-from ferry.session import scratch_path
 from ferry.sources.pages import BODY_SCHEMA
 
 
@@ -32,6 +30,8 @@ def ingest_landed_stream(
     load_ts: str | None = None,
     user: str | None = None,
     ignore: Sequence[str] = (),
+    quarantine_path: str | None = None,
+    on_type_change: str = "fail",
     max_files_per_trigger: int | None = None,
     batch_partitions: int | None = None,
     available_now: bool = True,
@@ -40,10 +40,10 @@ def ingest_landed_stream(
     """Start the stream; with ``available_now`` it drains what is there and returns.
 
     Otherwise the running ``StreamingQuery`` is returned (triggered every
-    ``processing_time``). A micro-batch with fewer input files than
-    ``batch_partitions`` (default: the cluster's cores) is hash-partitioned on
-    ``page`` first: a batch of a few files would otherwise be parsed by a few
-    tasks, one body holding a whole page of records.
+    ``processing_time``). ``checkpoint_location`` defaults to a folder beside
+    the table, so a restarted stream goes on with the same batch ids. With
+    ``batch_partitions``, each micro-batch is spread over so many tasks before
+    parsing, for sources that land a few large files at a time.
     """
     from ferry.flows import load_landed
 
@@ -52,14 +52,12 @@ def ingest_landed_stream(
         reader = reader.option("maxFilesPerTrigger", int(max_files_per_trigger))
     stream = reader.parquet(source_dir)
 
-    parts = int(batch_partitions or spark.sparkContext.defaultParallelism)
-
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        # a large micro-batch already spans many file splits: no extra shuffle
-        spread = batch.repartition(parts, "page") if len(batch.inputFiles()) < parts else batch
-        load_landed(batch.sparkSession, cfg, spread, table_path, f"{load_prefix}-{batch_id}", load_ts, user, ignore)
+        rows = batch.repartition(int(batch_partitions), "page") if batch_partitions else batch
+        load_landed(batch.sparkSession, cfg, rows, table_path, f"{load_prefix}-{batch_id}", load_ts, user, ignore,
+                    quarantine_path=quarantine_path, on_type_change=on_type_change)
 
-    ckpt = checkpoint_location or os.path.join(scratch_path(spark, "stream-ckpt"))
+    ckpt = checkpoint_location or f"{table_path.rstrip('/')}_checkpoint/{load_prefix}"
     writer = stream.writeStream.foreachBatch(per_batch).option("checkpointLocation", ckpt)
     if available_now:
         q = writer.trigger(availableNow=True).start()

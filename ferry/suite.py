@@ -63,6 +63,7 @@ def json_pages(
     data_field: str = "data.items",
     count_field: str | None = "total",
     cols: Sequence[str] | None = None,
+    only: Callable[[Column], Column] | None = None,
 ) -> DataFrame:
     """``(page, body)``: records of each page as ``{"total": N, "data": {"items": [...]}}``.
 
@@ -70,7 +71,7 @@ def json_pages(
     """
     cols = list(cols or df.columns)
     grouped = df.groupBy(page.alias("page")).agg(_sorted_items(order, cols).alias("_items"))
-    body = encode.nest_at(data_field, F.col("_items"))
+    body = encode.nest_at(data_field, F.filter("_items", only) if only else F.col("_items"))
     if count_field:
         body = body.withField(count_field, df.select(F.count(F.lit(1))).scalar())
     return grouped.select(F.col("page").cast("bigint"), F.to_json(body).alias("body"))
@@ -133,7 +134,7 @@ def _typed(bodies: DataFrame, data_field: str | None, fmt: str = "json", soap: b
     recs = extract.extract_records(bodies, data_field, fmt, soap, keep=keep)
     schema = sch.drop_fields(sch.infer_schema(recs), ignore)
     good, _ = sch.split_corrupt(sch.conform(recs, schema, keep=[*keep, "pos"]))
-    return good.withColumn("pos", F.col("pos").cast("bigint"))
+    return good.select(*[c for c in keep if c not in schema.fieldNames()], F.col("pos").cast("bigint").alias("pos"), "data_payload.*")
 
 
 # ------------------------------------------------------------------ S1 F1 K4 K5 A1 L1
@@ -185,6 +186,24 @@ def q_json_total(spark, d):
     return s.select("page", "status", "total", "n_records")
 
 
+def q_xml_total(spark, d):
+    """Records per XML body."""
+    c = table(spark, d, "customer")
+    s = extract.body_summary(xml_pages(c, F.floor(F.col("c_custkey") / PAGE), ["c_custkey"]), "item", None, "xml")
+    return s.select("page", "status", "n_records")
+
+
+def q_land_and_read(spark, d):
+    """S3: bodies landed in two waves, one page twice, then read once and extracted."""
+    where = (scratch_path(spark, "landing"), "orders", "load-1")
+    bodies = orders_pages(spark, d)
+    for wave, rows in enumerate((F.col("page") % 2 == 0, F.col("page") % 2 == 1, F.col("page") == 0)):
+        pages.land(bodies.filter(rows), *where, wave, "data.items")
+    t = _typed(pages.read_bodies(spark, *where), "data.items")
+    return t.select("page", "pos", *[c for c in ORDER_COLS if c != "o_orderdate"],
+                    F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
+
+
 NATION_COLS = ["n_nationkey", "n_name", "n_regionkey"]
 CUSTOMER_COLS = ["c_custkey", "c_name", "c_nationkey", "c_acctbal", "c_mktsegment"]
 
@@ -233,7 +252,7 @@ def _drift_recs(spark, d):
 
 
 def q_schema_census(spark, d):
-    return sch.census(_drift_recs(spark, d)).select("schema", "n")
+    return sch.census(_drift_recs(spark, d))
 
 
 def q_schema_diff(spark, d):
@@ -310,6 +329,16 @@ def q_schema_evolution_append(spark, d):
     return sink.read_table(spark, path).select("data_payload.*", "load_id").select(*DRIFT_OUT, "load_id")
 
 
+def q_catalog_table_load(spark, d):
+    """K1: a load registered in the catalog and read back by name."""
+    path = scratch_path(spark, "catalog")
+    name = f"ferry_customer_{path[-12:]}"
+    bodies = json_pages(table(spark, d, "customer"), F.floor(F.col("c_custkey") / PAGE), ["c_custkey"])
+    flows.load_landed(spark, _inbound_cfg("crm"), bodies, path, "load-1", LOAD_TS, LOADER)
+    sink.register_table(spark, path, name)
+    return spark.read.table(name).filter(F.col("load_id") == "load-1").select("data_payload.*").select(*CUSTOMER_COLS)
+
+
 def q_schema_audit(spark, d):
     """The audit rows written when later records bring new fields."""
     ev = table(spark, d, "events")
@@ -347,7 +376,8 @@ def q_audit_reconcile(spark, d):
     o = table(spark, d, "orders")
     totals = o.agg(F.count(F.lit(1)).alias("total"))
     planned = paging.expand_plan(totals, PAGE, paging.LIMIT_OFFSET).select("page", F.col("limit").alias("planned"))
-    bodies = json_pages(o.filter(F.col("o_orderstatus") != "P"), F.floor(F.col("o_orderkey") / PAGE), ["o_orderkey"])
+    # every order is read; a page's body leaves out those with status P, so pages come back short
+    bodies = json_pages(o, F.floor(F.col("o_orderkey") / PAGE), ["o_orderkey"], only=lambda r: r["o_orderstatus"] != "P")
     got = extract.body_summary(bodies, "data.items").select("page", F.col("n_records").alias("landed"))
     return audit.reconcile(planned, got)
 
@@ -447,7 +477,7 @@ def q_deliver_batches(spark, d):
     """Every batch of ``orders`` handed to a receiver on the executors."""
     o = table(spark, d, "orders")
     _, b = flows.outbound_batches(o, _out_cfg("array_dict", PAGE), ["o_orderkey"], unique=True)
-    return delivery.deliver(b, accept_json_body)
+    return delivery.deliver(b, accept_json_body).drop("body_sha256")
 
 
 def q_outbound_flow(spark, d):
@@ -461,6 +491,17 @@ def q_outbound_flow(spark, d):
     return spark.read.parquet(f"{root}/log").select("batch_num", "n", "ok", "error")
 
 
+def q_delivery_digest(spark, d):
+    """The digest of every body that the receiver got."""
+    register_views(spark, d, ["customer"])
+    cfg = ExchangeConfig(source_id="customer", destination_id="api", dataflow="Outbound", api_dataformat="array_dict",
+                         api_limit=PAGE, source_query="SELECT c_custkey, c_name, c_nationkey, c_mktsegment FROM customer")
+    root = scratch_path(spark, "digest")
+    flows.execute(spark, cfg, send=accept_json_body, audit_path=f"{root}/audit", delivery_path=f"{root}/log",
+                  order_by=["c_custkey"], unique=True)
+    return spark.read.parquet(f"{root}/log").select("batch_num", "n", "body_sha256")
+
+
 def q_outbound_resume(spark, d):
     o = table(spark, d, "orders").select("o_orderkey", "o_orderdate", "o_totalprice")
     idx = chunking.global_index(o, ["o_orderdate", "o_orderkey"], unique=True)
@@ -477,7 +518,7 @@ def q_stream_ingest(spark, d):
     from ferry.streaming.ingest import ingest_landed_stream
 
     src = scratch_path(spark, "stream-src")
-    orders_pages(spark, d).repartition(3, "page").write.parquet(src)
+    orders_pages(spark, d).write.parquet(src)
     path = scratch_path(spark, "stream-table")
     ingest_landed_stream(spark, _inbound_cfg("orders"), src, path, load_prefix="s", load_ts=LOAD_TS, user=LOADER,
                          max_files_per_trigger=1)
@@ -494,6 +535,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "json_nested_records": q_json_nested_records,
     "json_props": q_json_props,
     "json_total": q_json_total,
+    "xml_total": q_xml_total,
+    "land_and_read": q_land_and_read,
     "xml_records": q_xml_records,
     "soap_records": q_soap_records,
     "page_plan_offset": q_page_plan_offset,
@@ -507,6 +550,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "rows_as_json": q_rows_as_json,
     "append_idempotent": q_append_idempotent,
     "schema_evolution_append": q_schema_evolution_append,
+    "catalog_table_load": q_catalog_table_load,
     "schema_audit": q_schema_audit,
     "incremental_load": q_incremental_load,
     "audit_latest": q_audit_latest,
@@ -520,6 +564,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_single": q_chunk_single,
     "deliver_batches": q_deliver_batches,
     "outbound_flow": q_outbound_flow,
+    "delivery_digest": q_delivery_digest,
     "outbound_resume": q_outbound_resume,
     "stream_ingest": q_stream_ingest,
 }
@@ -565,6 +610,19 @@ FROM orders""",
 SELECT CAST(o_orderkey // 100 AS BIGINT) AS page, 'ok' AS status,
        (SELECT count(*) FROM orders) AS total, count(*) AS n_records
 FROM orders GROUP BY o_orderkey // 100""",
+    "xml_total": """
+SELECT CAST(c_custkey // 100 AS BIGINT) AS page, 'ok' AS status, count(*) AS n_records FROM customer GROUP BY 1""",
+    "land_and_read": """
+SELECT CAST(o_orderkey // 100 AS BIGINT) AS page,
+       CAST(row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS BIGINT) AS pos,
+       o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderpriority, o_orderdate
+FROM orders""",
+    "catalog_table_load": "SELECT c_custkey, c_name, CAST(c_nationkey AS BIGINT) AS c_nationkey, c_acctbal, c_mktsegment FROM customer",
+    "delivery_digest": """
+SELECT batch_num, count(*) AS n, sha256('[' || string_agg(j, ',' ORDER BY rn) || ']') AS body_sha256 FROM (
+  SELECT rn, CAST((rn - 1) // 100 + 1 AS BIGINT) AS batch_num,
+         CAST(to_json({'c_custkey': c_custkey, 'c_name': c_name, 'c_nationkey': c_nationkey, 'c_mktsegment': c_mktsegment}) AS VARCHAR) AS j
+  FROM (SELECT *, row_number() OVER (ORDER BY c_custkey) AS rn FROM customer)) GROUP BY batch_num""",
     "xml_records": """
 SELECT CAST(c_custkey // 100 AS BIGINT) AS page,
        CAST(row_number() OVER (PARTITION BY c_custkey // 100 ORDER BY c_custkey) - 1 AS BIGINT) AS pos,

@@ -10,10 +10,10 @@ SF01 = "/root/testdata/sf0.01"
 
 
 @pytest.fixture(scope="session")
-def spark():
+def spark(tmp_path_factory):
     from ferry.session import local_session, ensure_checkpoint_dir
 
-    s = local_session(4, shuffle_partitions=4, app="ferry-tests")
+    s = local_session(4, shuffle_partitions=4, app="ferry-tests", checkpoint_dir=str(tmp_path_factory.mktemp("checkpoints")))
     s.sparkContext.setLogLevel("ERROR")
     ensure_checkpoint_dir(s)
     yield s

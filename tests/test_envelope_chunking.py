@@ -58,5 +58,5 @@ def test_encoders(spark):
 
 def test_pending_batches(spark):
     b = spark.createDataFrame([(1, 2, "x"), (2, 2, "y"), (3, 1, "z")], "batch_num long, n long, body string")
-    log = spark.createDataFrame([(1, 2, True, None), (2, 2, False, "err")], delivery.DELIVERY_SCHEMA)
+    log = spark.createDataFrame([(1, 2, True, None, "d1"), (2, 2, False, "err", "d2")], delivery.DELIVERY_SCHEMA)
     assert sorted(r.batch_num for r in delivery.pending_batches(b, log).collect()) == [2, 3]

@@ -76,8 +76,8 @@ def test_inbound_without_count_field_stops_on_short_page(spark, tmp):
     res = flows.run_inbound(spark, _cfg(count_field=None, df_limit=200), FakeApi(recs, 100, count_field=None),
                             load_ts=TS, user="u", **_paths(tmp))
     assert _table(spark, tmp).count() == 530
-    # probing waves of 4 then 8 pages (4 cores): 12 pages asked for 6 real ones, not a full 128-page wave
-    assert res.loaded_obj_count == 12
+    # df-limit 200 is two pages a wave: the third wave ends in the short page
+    assert res.loaded_obj_count == 6
 
 
 def test_inbound_paged_xml_without_count_field(spark, tmp):
@@ -94,11 +94,11 @@ def test_failed_page_then_rerun_is_exactly_once(spark, tmp):
     marker = f"{tmp}/healed"
     api = FakeApi(recs, 50, fail_pages={20}, fail_marker=marker)
     cfg = _cfg(page_size=50, min_pages_per_task=4)
-    assert cfg.wave_size(spark.sparkContext.defaultParallelism) == 16  # 30 pages: waves 0-15, 16-29
+    assert cfg.wave_size(spark.sparkContext.defaultParallelism) == 6  # df-limit 300: waves 0-5, ..., 18-23, 24-29
     with pytest.raises(Exception):
         flows.run_inbound(spark, cfg, api, load_ts=TS, user="u", **_paths(tmp))
     first = audit.latest_runs(audit.read_audit(spark, f"{tmp}/audit")).first()
-    assert first.status == "Failed" and first.loaded_obj_count == 16  # the first wave stays landed
+    assert first.status == "Failed" and first.loaded_obj_count == 18  # the first three waves stay landed
     open(marker, "w").close()
     res = flows.run_inbound(spark, cfg, api, load_ts=TS, user="u", **_paths(tmp))
     assert res.audit_id == first.audit_id  # the failed run is resumed, not restarted
@@ -300,7 +300,7 @@ def test_config_validation():
     c = ExchangeConfig.from_dict({"source-id": "a", "pagination-type": "limit-offset", "params": {"limit": 50},
                                   "url": "http://x/service?wsdl", "response-format": "xml", "df-limit": 120})
     assert c.page_size == 50 and c.soap and c.wave_pages == 3
-    assert c.wave_size(8) == 256 and c.with_(df_limit=100_000).wave_size(8) == 2000
+    assert c.wave_size(8) == 3 and c.with_(df_limit=100_000).wave_size(8) == 2000 and c.with_(df_limit=None).wave_size(8) == 256
 
 
 def test_stream_ingest_matches_batch(spark, tmp):
