@@ -124,9 +124,10 @@ def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     table = written(rows.mapInArrow(_unit_rows, UNITS), "repeat-units")
     ranked = table.withColumn("rank", F.coalesce("doc_id", F.lit(_LAST_ID)))
-    repeated = (
+    repeated = written(  # written, so that the join below reads both sides by shuffle and a very common digest can be split
         ranked.groupBy("digest").agg(F.min("rank").alias("kept_in"), F.count(F.lit(1)).alias("n"))
-        .filter(F.col("n") > 1).select("digest", "kept_in")
+        .filter(F.col("n") > 1).select("digest", "kept_in"),
+        "repeat-digests",
     )
     lost = ranked.join(repeated, "digest").filter((F.col("kept_in") < F.col("rank")) | ~F.col("first"))
     doc = ["doc_id", "text_key"]
