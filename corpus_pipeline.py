@@ -18,7 +18,7 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from ferry.llm import minhash_forest, mixing, packing, quality, substring_dedup
-from ferry.llm.common import written
+from ferry.llm.common import remove, temporary_tables, written
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -58,6 +58,9 @@ ORACLE_SQL: str | None = None
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over ``documents`` of ``sf_dir``."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for name, stage in STAGES[:-1]:
-        docs = written(stage(spark, docs, sf_dir), f"pipeline-{name}")
+    for k, (name, stage) in enumerate(STAGES[:-1]):
+        with temporary_tables(spark):
+            last, docs = docs, written(stage(spark, docs, sf_dir), f"pipeline-{name}", keep=True)
+        if k:
+            remove(last)
     return STAGES[-1][1](spark, docs, sf_dir)

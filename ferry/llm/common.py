@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
+from contextlib import contextmanager
 from functools import reduce
-from typing import Mapping, Sequence
+from typing import Iterator, Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.session import scratch_path
+from ferry.session import remove_path, scratch_path
 
 #: A word: a run of characters other than ASCII blanks (space, tab to carriage return).
 WORD = r"[^\x20\x09-\x0D]+"
@@ -24,15 +25,40 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-def written(df: DataFrame, name: str) -> DataFrame:
+_open: list[list[str]] = []
+
+
+@contextmanager
+def temporary_tables(spark: SparkSession) -> Iterator[None]:
+    """Remove the tables ``written`` inside, but for those kept, once nothing reads them any more."""
+    _open.append([])
+    try:
+        yield
+    finally:
+        for path in _open.pop():
+            remove_path(spark, path)
+
+
+def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """``df`` written as Parquet below the shared scratch folder and read again.
 
     Cuts the lineage in a place all executors see, so a lost executor costs a
-    re-read and not a recomputation.
+    re-read and not a recomputation. ``keep`` leaves the table to the scope
+    around the innermost one of ``temporary_tables``.
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    scopes = _open[:-1] if keep else _open
+    if scopes:
+        scopes[-1].append(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out._written_to = path
+    return out
+
+
+def remove(table: DataFrame) -> None:
+    """Remove a table that ``written`` returned, before its scope ends."""
+    remove_path(table.sparkSession, table._written_to)
 
 
 def salted_join(

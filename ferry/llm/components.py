@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import written
+from ferry.llm.common import remove, written
 
 
 def _state(edges: DataFrame) -> tuple:
@@ -38,7 +38,8 @@ def components(links: DataFrame) -> DataFrame:
     edges = written(pairs.distinct(), "component-edges")
     state = _state(edges)
     while True:
-        edges = written(_round(edges), "component-edges")
+        last, edges = edges, written(_round(edges), "component-edges")
+        remove(last)
         new = _state(edges)
         if new == state:
             break

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import BLANKS, rows_as_struct, written
+from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, written
 from ferry.llm.components import components
 from ferry.llm.wordhash import WordHasher, blocks, shingle_set
 
@@ -337,6 +337,11 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     reachable, ``component`` a number for the same (null for an empty set) and
     ``text_key`` is ``xxhash64`` of the text.
     """
+    with temporary_tables(docs.sparkSession):
+        return written(_near_duplicates(docs, words, percent, id_col, text_col), "forest-result", keep=True)
+
+
+def _near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     measured = written(rows.mapInArrow(_measure(words), "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, sig binary"), "forest-sets")
@@ -362,8 +367,8 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
     of_class = placed.join(lowest, "component").select("digest", "component", "lowest")
     out = measured.drop("sig").join(of_class, "digest", "left")
     component_id = F.when(F.col("digest").isNull(), F.col("doc_id")).when(F.col("lowest") != _LAST_ID, F.col("lowest"))
-    return out.select("doc_id", "text_key", "n_shingles", "component", component_id.alias("component_id")).withColumn(
-        "kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
+    out = out.select("doc_id", "text_key", "n_shingles", "component", component_id.alias("component_id"))
+    return out.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def remove_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -372,7 +377,7 @@ def remove_near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = P
     Of rows that share that id, one with the smallest ``text_key`` stays; a
     component of null ids only keeps one row. Rows without words are kept.
     """
-    found = written(near_duplicates(docs, words, percent, id_col, text_col), "forest-result")
+    found = near_duplicates(docs, words, percent, id_col, text_col)
     rank = lambda c: F.coalesce(F.col(c), F.lit(_LAST_ID))
     keep = (
         found.filter((F.col("n_shingles") > 0) & F.col("kept")).groupBy("component")

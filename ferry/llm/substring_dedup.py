@@ -34,7 +34,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import BLANKS, rows_as_struct, written
+from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, written
 
 MIN_WORDS = 30
 #: Longer sentences are cut further; must stay below the smallest useful ``min_words``.
@@ -120,6 +120,11 @@ def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
     """
     if min_words <= UNIT_WORDS:
         raise ValueError(f"min_words must be above {UNIT_WORDS}")
+    with temporary_tables(docs.sparkSession):
+        return written(_find_repeats(docs, min_words, id_col, text_col), "repeat-spans", keep=True)
+
+
+def _find_repeats(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
     table = written(rows.mapInArrow(_unit_rows, UNITS), "repeat-units")
@@ -153,7 +158,7 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
 
     ``chars_col`` names a column to be set to the new length in characters.
     """
-    spans = written(find_repeats(docs, min_words, id_col, text_col), "repeat-spans")
+    spans = find_repeats(docs, min_words, id_col, text_col)
     per_doc = spans.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "length"))).alias("_spans"))
     rows = rows_as_struct(docs, [id_col, text_col]).select(
         "_row", F.col(f"`_{id_col}`").cast("bigint").alias("_id"), F.col(f"`_{text_col}`").alias("_text"))

@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import written
+from ferry.llm.common import temporary_tables, written
 from ferry.llm.wordhash import NO_LETTER, WordHasher, blocks
 
 FEATURE_BITS = 18
@@ -209,5 +209,6 @@ def score(docs: DataFrame, models: Sequence[Model], categories: Sequence[str], i
 def classify(docs: DataFrame, labels: DataFrame, categories: Sequence[str], limit: int = TRAIN_ROWS,
              id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Train the chain on the labelled documents and score all of them."""
-    models = fit_chain(training_rows(docs, labels, categories, limit, id_col, text_col), categories)
+    with temporary_tables(docs.sparkSession):  # the models are on the driver, of bounded size
+        models = fit_chain(training_rows(docs, labels, categories, limit, id_col, text_col), categories)
     return score(docs, models, categories, id_col, text_col)
