@@ -37,7 +37,7 @@ def test_landed_read_prunes_partitions_and_columns(spark, tmp):
     pages.land(bodies, f"{tmp}/landing", "src", "L2", 0)
     text = plan(pages.read_bodies(spark, f"{tmp}/landing", "src", "L1", dedupe=False))
     assert "PartitionFilters" in text and "(load_id" in text and "= L1)" in text
-    assert "ReadSchema: struct<page:bigint,body:string>" in text
+    assert "ReadSchema: struct<page:bigint,body:string,status:string>" in text
 
 
 def test_latest_per_key_aggregates_before_the_shuffle(spark):
