@@ -68,7 +68,8 @@ def read_audit(spark: SparkSession, path: str) -> DataFrame:
 
 
 def _append(spark: SparkSession, path: str, row: tuple) -> None:
-    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").parquet(path)
+    # by source, so opening a run does not scan the rows of all others (a destination may be empty, which no folder name can tell)
+    spark.createDataFrame([row], AUDIT_SCHEMA).coalesce(1).write.mode("append").partitionBy("source_id").parquet(path)
 
 
 def _now() -> datetime:

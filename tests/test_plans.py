@@ -40,6 +40,14 @@ def test_landed_read_prunes_partitions_and_columns(spark, tmp):
     assert "ReadSchema: struct<page:bigint,body:string,status:string>" in text
 
 
+def test_opening_a_run_reads_its_own_source_only(spark, tmp):
+    for source in ("a", "b"):
+        audit.close_run(spark, f"{tmp}/audit", audit.open_run(spark, f"{tmp}/audit", source, "d"), audit.SUCCESS, 1, 1, 1, 1)
+    rows = audit.read_audit(spark, f"{tmp}/audit").filter((F.col("source_id") == "a") & (F.col("destination_id") == "d"))
+    text = plan(audit.latest_runs(rows))
+    assert "PartitionFilters" in text and "(source_id" in text and rows.count() == 2
+
+
 def test_latest_per_key_aggregates_before_the_shuffle(spark):
     runs = spark.read.parquet(f"{SF}/events.parquet").select(
         F.col("event_id").cast("string").alias("audit_id"), F.col("user_id").cast("string").alias("source_id"),
