@@ -39,6 +39,8 @@ from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, written
 MIN_WORDS = 30
 #: Longer sentences are cut further; must stay below the smallest useful ``min_words``.
 UNIT_WORDS = 24
+#: Up to so many spans are broadcast to the texts they are cut from; more are joined by a shuffle.
+BROADCAST_SPANS = 100_000
 #: One word in so many ends a unit of a long sentence.
 _CUT_EVERY = 12
 _LAST_ID = 2**63 - 1
@@ -163,6 +165,8 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     rows = rows_as_struct(docs, [id_col, text_col]).select(
         "_row", F.col(f"`_{id_col}`").cast("bigint").alias("_id"), F.col(f"`_{text_col}`").alias("_text"))
     cond = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("_text") == F.col("text_key"))
+    if spans.count() <= BROADCAST_SPANS:  # else both sides are shuffled, whole texts included
+        per_doc = F.broadcast(per_doc)
     joined = rows.join(per_doc, cond, "left")
     end = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_spans", i - 1)["start"] + F.get("_spans", i - 1)["length"])
     until = lambda i: F.coalesce(F.get("_spans", i)["start"], F.char_length("_text"))

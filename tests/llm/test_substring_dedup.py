@@ -3,6 +3,7 @@
 import random
 from collections import Counter, defaultdict
 
+import pytest
 from pyspark.sql import functions as F
 
 from ferry.llm import queries
@@ -73,7 +74,9 @@ def test_planted_passages_inside_lines(spark):
             assert removed == passage
 
 
-def test_edge_rows_ties_and_clashing_columns(spark):
+@pytest.mark.parametrize("limit", [sub.BROADCAST_SPANS, 0])
+def test_edge_rows_ties_and_clashing_columns(spark, monkeypatch, limit):
+    monkeypatch.setattr(sub, "BROADCAST_SPANS", limit)
     rng = random.Random(7)
     body = " ".join(words(rng, 10) + "." for _ in range(6))
     other = words(rng, 15) + "."
