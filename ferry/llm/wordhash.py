@@ -26,7 +26,7 @@ NO_LETTER = np.array([b < 128 and not chr(b).isalpha() for b in range(256)])
 _MULT = _RNG.integers(0, 2**63, 64, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 #: Bytes hashed at a time; a longer text is a block of its own.
-BLOCK_BYTES = 4 << 20
+BLOCK_BYTES = 512 << 10
 
 
 def mix64(x: np.ndarray) -> np.ndarray:
