@@ -14,8 +14,9 @@ word for word, whichever document holds its parts; stock phrases that happen
 to follow each other are left. Spans carry offsets (in code points) into the
 original text.
 
-A passage that starts and ends anywhere loses at most ``UNIT_WORDS`` words to
-the first cut and ``UNIT_WORDS - 1`` to the last.
+A passage that starts and ends anywhere keeps at most ``UNIT_WORDS - 1`` words
+before its first cut and ``UNIT_WORDS`` after its last, so from
+``min_words + 2 * UNIT_WORDS - 1`` words on (51) it is always found.
 
 The global step moves one digest and id per window (about 1.2 a unit),
 combined inside each task first; a line found in a third of all documents is
@@ -44,8 +45,9 @@ from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, written
 from ferry.llm.wordhash import blocks, mix64
 
 MIN_WORDS = 30
-#: No unit has more words; must stay below the smallest useful ``min_words``.
-UNIT_WORDS = 24
+#: No unit has more words; must stay below the smallest useful ``min_words``. With 11, whole units hold at
+#: least 30 words of any passage of 51, wherever it starts and ends.
+UNIT_WORDS = 11
 #: Up to so many spans are broadcast to the texts they are cut from; more are joined by a shuffle.
 BROADCAST_SPANS = 100_000
 _LAST_ID = 2**63 - 1

@@ -2,6 +2,8 @@
 
 import random
 
+import pytest
+
 from ferry.llm import substring_dedup as sub
 
 
@@ -40,3 +42,50 @@ def test_stock_lines_in_a_row_stay(spark):
     stock = [" ".join(words(rng, 12)).capitalize() + "." for _ in range(5)]
     apart = "\n".join(line + " " + " ".join(words(rng, 9)) + "." for line in stock)
     assert found(spark, [(1, apart), (2, "\n".join(stock))]) == {}
+
+
+def covered(rows, n=sub.MIN_WORDS):
+    """Per document a flag for each word: whether it stands in n words that an earlier document, or this one before, holds."""
+    seen, out = set(), {}
+    for doc, text in rows:
+        ws = text.lower().split()
+        out[doc] = [False] * len(ws)
+        for i in range(len(ws) - n + 1):
+            window = tuple(ws[i:i + n])
+            if window in seen:
+                out[doc][i:i + n] = [True] * n
+            seen.add(window)
+    return out
+
+
+@pytest.mark.parametrize("punctuation", [True, False])
+def test_passages_at_any_word_against_brute_force(spark, punctuation):
+    rng = random.Random(11)
+    ends = lambda ws: [w + "." if punctuation and rng.random() < 0.09 else w for w in ws]
+    rows, planted = [], {}
+    for k in range(200):
+        passage = ends(words(rng, 51 + k % 10))
+        for copy in range(2):
+            around, at = ends(words(rng, 60)), rng.randint(0, 60)
+            rows.append((1000 * copy + k, " ".join(around[:at] + passage + around[at:])))
+        planted[1000 + k] = len(passage)
+    want = covered(rows)
+    got = found(spark, rows)
+    assert set(got) == set(planted)
+    text = dict(rows)
+    for doc, pieces in got.items():
+        ((piece, keeper),) = pieces
+        n = len(piece.split())
+        assert keeper == doc - 1000 and 30 <= n <= planted[doc] == sum(want[doc]) and planted[doc] - n <= 2 * sub.UNIT_WORDS - 1
+        before = len(text[doc][:text[doc].index(piece)].split())
+        assert all(want[doc][before:before + n])
+
+
+def test_windows_of_all_texts_at_once_equal_those_of_each(spark):
+    texts = ["Ä b. C\nd! E", "", " 　x Y \n", "İ i̇ ΑΣ ας", " ".join(words(random.Random(1), 200))]
+    c = sub.Cutter().cut(texts)
+    single = [list(sub.units(t)) for t in texts]
+    assert len(c.units) == sum(map(len, single))
+    for t, us in zip(texts, single):
+        assert " ".join(norm for *_, norm in us).split() == [sub._lower(w) for w in t.split()]
+        assert all(t[a:b].split() and len(t[a:b].split()) == n <= sub.UNIT_WORDS for a, b, n, _ in us)
