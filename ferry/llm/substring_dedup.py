@@ -24,8 +24,8 @@ one row per task. Only windows that repeat go further. Texts are cut twice
 instead of writing a table of all windows.
 
 Defined cases: a null, empty or blank text has no units; null ids rank last;
-rows that share an id rank alike, so they lose nothing to each other, and rows
-equal in id and text share their spans; an empty table gives no rows; a text
+rows that share an id, or have none, rank by ``xxhash64`` of their texts, and
+rows equal in id and text share their spans; an empty table gives no rows; a text
 removed whole is dropped by ``remove_repeats``. The letter U+0130, whose lower
 case is two characters, stays as it is. Columns other than id and text are only
 carried by ``remove_repeats``.
@@ -197,7 +197,19 @@ def _find_repeats(docs: DataFrame, min_words: int, id_col: str, text_col: str) -
         table.groupBy(*key).agg(F.min(rank).alias("kept_in"), F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1).select(*key, "kept_in"),
         "repeat-digests",
     )
-    lost = table.join(repeated, key).filter((F.col("kept_in") < rank) | ~F.col("first"))
+    found = table.join(repeated, key)
+    lost = (F.col("kept_in") < rank) | ~F.col("first")
+    shared = written(  # the few ids, mostly none, that different texts share
+        rows.select(rank.alias("kept_in"), "text_key").groupBy("kept_in").agg(F.min("text_key").alias("least"), F.max("text_key").alias("most"))
+        .filter(~F.col("least").eqNullSafe(F.col("most"))).select("kept_in"),
+        "repeat-ids",
+    )
+    if not shared.isEmpty():
+        ties = found.filter(F.col("kept_in") == rank).join(shared, "kept_in", "left_semi")
+        ties = written(ties.groupBy(*key).agg(F.min("text_key").alias("kept_key")), "repeat-ties")
+        found = found.join(ties, key, "left")
+        lost = lost | F.coalesce((F.col("kept_in") == rank) & (F.col("text_key") > F.col("kept_key")), F.lit(False))
+    lost = found.filter(lost).drop("kept_key")
     doc = ["doc_id", "text_key"]
     # equal rows give equal windows: one of each is enough, and all rows share the spans
     lost = lost.drop(*key, "first").repartition(*doc).dropDuplicates([*doc, "unit", "n_units"])

@@ -89,3 +89,18 @@ def test_windows_of_all_texts_at_once_equal_those_of_each(spark):
     for t, us in zip(texts, single):
         assert " ".join(norm for *_, norm in us).split() == [sub._lower(w) for w in t.split()]
         assert all(t[a:b].split() and len(t[a:b].split()) == n <= sub.UNIT_WORDS for a, b, n, _ in us)
+
+
+def test_rows_that_share_an_id_or_have_none(spark):
+    rng = random.Random(13)
+    rows, passages = [], []
+    for doc in (None, 7):
+        passages.append(" ".join(words(rng, 40)).capitalize() + ".")
+        rows += [(doc, " ".join(words(rng, 20)) + f".\n{passages[-1]}\n" + " ".join(words(rng, 20))) for _ in range(3)]
+    rows += [rows[0], (8, passages[1])]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    spans = sub.find_repeats(docs).collect()
+    assert sorted((r["doc_id"] or 0, r["n_words"], r["kept_in"]) for r in spans) == [(0, 40, None)] * 2 + [(7, 40, 7)] * 2 + [(8, 40, 7)]
+    texts = [r["text"] for r in sub.remove_repeats(docs).collect()]
+    for passage in passages:  # the first row is there twice
+        assert len({t for t in texts if passage in t}) == 1
