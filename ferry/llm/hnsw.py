@@ -12,9 +12,10 @@ score. Scores are cosines in double precision on the given vectors, equal
 scores rank by the smaller id.
 
 Defined cases: vectors that are null, empty, zero or hold a null or non-finite
-component take no part, nor do rows without an id; rows that repeat an id are
-one row, with the smallest of their vectors; vectors of different lengths are
-in separate graphs; fewer candidates than asked for give fewer rows; an empty
+component take no part, nor do rows without an id; rows that repeat
+an id with different vectors are all candidates, and an id is found once, by
+the best of its vectors and of the query's; vectors of different lengths are
+in separate graphs; a search for more than the index was built for is refused; fewer candidates than asked for give fewer rows; an empty
 table gives no rows. Columns other than id and vector are not read.
 """
 
@@ -183,16 +184,16 @@ def _build(table: pa.Table) -> pa.Table:
 
 
 def clean(vectors: DataFrame, id_col: str, vector_col: str) -> DataFrame:
-    """``vec_id, vec, dim``: one row per id, only vectors that have a cosine."""
+    """``vec_id, vec, dim``: one row per id and different vector, only vectors that have a cosine."""
     vec = F.col(f"`{vector_col}`").cast("array<double>")
     rows = vectors.select(F.col(f"`{id_col}`").cast("bigint").alias("vec_id"), vec.alias("vec"))
     finite = F.forall("vec", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     rows = rows.filter(F.col("vec_id").isNotNull() & F.col("vec").isNotNull() & finite & F.exists("vec", lambda x: x != 0))
-    return rows.groupBy("vec_id").agg(F.min("vec").alias("vec")).withColumn("dim", F.size("vec"))
+    return rows.groupBy("vec_id", "vec").agg(F.size("vec").alias("dim"))
 
 
 def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """The stored graphs of ``vec_id, vec, dim``: one row per shard. Every vector is a node; of equal ones the k + 1 smallest ids are kept."""
+    """The stored graphs of ``vec_id, vec, dim``: one row per shard, with ``k``. Every vector is a node; of equal ones the k + 1 smallest ids are kept."""
     order = Window.partitionBy("vec").orderBy("vec_id")
     few = rows.withColumn("_n", F.row_number().over(order)).filter(F.col("_n") <= k + 1)
     nodes = few.groupBy("vec", "dim").agg(F.sort_array(F.collect_list("vec_id")).alias("ids")).withColumn("first", F.col("ids")[0])
@@ -201,7 +202,7 @@ def build_index(rows: DataFrame, k: int, shard_rows: int = SHARD_ROWS) -> DataFr
         F.ceil(F.count(F.lit(1)) / shard_rows).cast("bigint").alias("shards"))
     dealt = nodes.join(F.broadcast(sizes), "dim").withColumn("shard", F.pmod(F.xxhash64("vec"), F.col("shards")))
     graphs = dealt.select("dim", "shard", "vec", "ids", "first").groupBy("dim", "shard").applyInArrow(_build, _INDEX)
-    return written(graphs, "ann-index")
+    return written(graphs.withColumn("k", F.lit(k)), "ann-index")
 
 
 def _search_block(k: int, ef: int):
@@ -216,8 +217,12 @@ def _search_block(k: int, ef: int):
         for query_id, q in zip(queries.column("query_id").to_pylist(), unit(_matrix(queries.column("vec")))):
             nodes = graph.nearest(q, ef)
             scores = (scaled[nodes] @ q).tolist()
-            found = [(-s, i) for s, node in zip(scores, nodes) for i in ids[node] if i != query_id]
-            for s, i in heapq.nsmallest(k, found):
+            found: dict[int, float] = {}
+            for s, node in zip(scores, nodes):
+                for i in ids[node]:
+                    if i != query_id:
+                        found[i] = max(s, found.get(i, s))
+            for s, i in heapq.nsmallest(k, ((-s, i) for i, s in found.items())):
                 out[0].append(query_id)
                 out[1].append(i)
                 out[2].append(-s)
@@ -228,6 +233,9 @@ def _search_block(k: int, ef: int):
 
 def search(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH, block_rows: int = QUERY_BLOCK) -> DataFrame:
     """``query_id, rank, vec_id, score``: the ``k`` nearest found for each row of ``query_id, vec, dim``, without its own id."""
+    built = index.agg(F.min("k")).first()[0]
+    if built is not None and k > built:
+        raise ValueError(f"the index was built for k = {built}")
     n_blocks = max(1, -(-queries.count() // block_rows))
     shards = index.groupBy(F.col("dim").alias("_dim")).agg((F.max("shard") + 1).alias("_shards"))  # one row per length of vector
     upto = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), n - 1))
@@ -236,5 +244,6 @@ def search(index: DataFrame, queries: DataFrame, k: int, ef: int = EF_SEARCH, bl
     spread = index.select("*", upto(F.lit(n_blocks).cast("bigint")).alias("block"))
     key = ["dim", "shard", "block"]
     found = asked.groupBy(*key).cogroup(spread.groupBy(*key)).applyInArrow(_search_block(k, ef), "query_id bigint, vec_id bigint, score double")
+    found = found.groupBy("query_id", "vec_id").agg(F.max("score").alias("score"))
     best = Window.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return found.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
