@@ -11,21 +11,24 @@ A model is a logistic regression over word features scaled by their log ratio
 of class frequencies, which keeps the many words that tell nothing near zero.
 The fits of a category run as parallel tasks.
 
-Training takes at most ``TRAIN_ROWS`` labelled documents, those with the
-smallest hashes of their ids, whatever the corpus holds; every document is
-scored, in whole.
+Training takes for each category at most ``TRAIN_ROWS`` documents that have its
+label, those with the smallest hashes of their ids, whatever the corpus holds,
+and each model is fitted on all of the taken ones that have its label; every
+document is scored, in whole.
 
 Defined cases: a null or empty text has no features and gets the intercept's
 probability; documents without labels are scored like others and never trained
-on; labels that are null, or without a document, are ignored, and of labels or
+on; a label that is null, or without a document, is ignored, the document's other
+labels are not, and of labels or
 documents that repeat an id the largest label and one text count; a category
 with one class in training predicts that class; without any labelled document
-all probabilities are 0; an empty table gives no rows. Columns other than the
+its probability is 0; an empty table gives no rows. Columns other than the
 id, text and labels are not read.
 """
 
 from __future__ import annotations
 
+from functools import reduce
 from typing import Iterator, NamedTuple, Sequence
 
 import numpy as np
@@ -114,11 +117,15 @@ def fit(flat: np.ndarray, bounds: np.ndarray, earlier: np.ndarray, y: np.ndarray
 
 def training_rows(docs: DataFrame, labels: DataFrame, categories: Sequence[str], limit: int = TRAIN_ROWS,
                   id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``doc_id, fold, words`` and the 0/1 categories of at most ``limit`` labelled documents, written."""
-    per_doc = labels.select("doc_id", *categories).na.drop().groupBy("doc_id").agg(*[F.max(c).cast("double").alias(c) for c in categories])
-    known = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id")).distinct().join(per_doc, "doc_id")
-    # ids only are ordered; texts are read for the chosen few, which are at most ``limit`` rows
-    chosen = written(known.orderBy(F.xxhash64(F.lit("train"), F.col("doc_id")), "doc_id").limit(limit), "chain-sample")
+    """``doc_id, fold, words`` and the 0/1 categories, or null, of at most ``limit`` labelled documents a category, written."""
+    label = lambda c: F.when(~F.isnan(F.col(c).cast("double")), F.col(c).cast("double"))
+    per_doc = labels.select("doc_id", *[label(c).alias(c) for c in categories]).na.drop(subset=["doc_id"])
+    per_doc = per_doc.groupBy("doc_id").agg(*[F.max(c).alias(c) for c in categories])
+    known = written(docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id")).distinct().join(per_doc, "doc_id"), "chain-labels")
+    # ids only are ordered; texts are read for the chosen few, which are at most ``limit`` rows a category
+    order = (F.xxhash64(F.lit("train"), F.col("doc_id")), "doc_id")
+    ids = [known.filter(F.col(c).isNotNull()).select("doc_id").orderBy(*order).limit(limit) for c in categories]
+    chosen = written(known.join(reduce(DataFrame.union, ids).distinct(), "doc_id"), "chain-sample")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     rows = rows.join(F.broadcast(chosen), "doc_id").dropDuplicates(["doc_id"])
 
@@ -152,7 +159,8 @@ def _fit_task(category: str, earlier: Sequence[str]):
         def some(mask: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             return flat[np.repeat(mask, lengths)], np.concatenate(([0], np.cumsum(lengths[mask]))), before[mask]
 
-        model = fit(*some(train), y[train])
+        used = train & ~np.isnan(y)
+        model = fit(*some(used), y[used])
         held = some(~train)
         row = {"fit": table.column("fit")[0].as_py(), "words": model.words.astype(np.float32).tobytes(), "earlier": model.earlier.tolist(),
                "bias": model.bias, "ids": table.column("doc_id").to_numpy()[~train].tolist(), "p": _sigmoid(model.logits(*held)).tolist()}
