@@ -55,6 +55,11 @@ def op4_quality_ledger(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op4_quality_ablation(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What each rule of the current policy does over all documents: failed, failed alone, kept without it."""
+    return quality.ablation(quality.ledger(_table(spark, sf_dir, "documents")))
+
+
 def op5_hnsw_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The five nearest found for every vector whose id is divisible by 50, among all others."""
     rows = written(hnsw.clean(_table(spark, sf_dir, "embeddings"), "vec_id", "embedding"), "ann-rows")
@@ -102,6 +107,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_repeated_passages": op2_repeated_passages,
     "op3_minhash_forest": op3_minhash_forest,
     "op4_quality_ledger": op4_quality_ledger,
+    "op4_quality_ablation": op4_quality_ablation,
     "op5_hnsw_neighbours": op5_hnsw_neighbours,
     "op6_mix_sources": op6_mix_sources,
     "op7_url_verdicts": op7_url_verdicts,
@@ -175,3 +181,10 @@ SELECT page_id, host, path, rule,
        WHEN canonical IN (SELECT canonical FROM l) THEN 'block' ELSE 'allow' END AS verdict
 FROM v""",
 }
+ORACLE_SQL["op4_quality_ablation"] = f"""
+WITH l AS ({ORACLE_SQL["op4_quality_ledger"]}),
+r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8), ('word_length', 16),
+  ('same_words', 32), ('upper_case', 64))
+SELECT rule, count(*) FILTER ((fail_bits & bit) <> 0) AS n_failed, count(*) FILTER ((fail_bits & 127) = bit) AS n_alone,
+       count(*) FILTER ((fail_bits & (127 - bit)) = 0) AS n_kept_without
+FROM l, r GROUP BY rule"""
