@@ -7,8 +7,10 @@ from typing import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from ferry.llm import hnsw, minhash_forest, mixing, packing, quality, sharding, substring_dedup, toxicity, url_filter, warc
-from ferry.llm.common import written
+from ferry.llm import (
+    byte_bpe, hnsw, lexical_search, minhash_forest, mixing, packing, periodic_runs, quality, sharding, substring_dedup, toxicity, url_filter, warc,
+)
+from ferry.llm.common import WORD, written
 from ferry.session import scratch_path
 
 
@@ -102,6 +104,50 @@ def op10_toxicity_chain(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.withColumn("toxic", F.col("p_toxic") >= toxicity.THRESHOLD)
 
 
+def op11_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's byte-level ids and the bytes they decode to, as digests."""
+    vocab = byte_bpe.vocabulary()
+    rows = byte_bpe.encode(_table(spark, sf_dir, "documents").select("doc_id", "text"), vocab)
+    return rows.select(
+        "doc_id", F.size("ids").cast("bigint").alias("n_tokens"),
+        F.sha2(F.array_join(F.col("ids").cast("array<string>"), " "), 256).alias("ids_sha256"),
+        F.sha2(byte_bpe.decode(F.col("ids"), vocab), 256).alias("decoded_sha256"),
+    )
+
+
+def planted(docs: DataFrame) -> DataFrame:
+    """``doc_id, text``, with a period of words planted in every tenth document by the CRC-32 of its id."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    words = F.when(h % 10 == 0, F.regexp_extract_all("text", F.lit(WORD), 0))
+    rows = docs.select("doc_id", "text", words.alias("words"), F.floor(h / 10).alias("g"))
+    n = F.size("words")
+    rows = rows.withColumn("a", F.when(n > 0, (F.col("g") % n).cast("int")))
+    rows = rows.withColumn("p", F.when(n > 0, 1 + F.floor((n - F.col("a")) / (3 + F.col("g") % 8)).cast("int")))
+    a, p = F.col("a"), F.col("p")
+    changed = F.transform("words", lambda w, i: F.when(i < a, w).otherwise(F.get("words", a + (i - a) % p)))
+    return rows.select("doc_id", F.when(p.isNotNull(), F.array_join(changed, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op12_periodic_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's runs of repeated words, the most repeated one, and digests of the runs and of the text without them."""
+    found = periodic_runs.find_runs(planted(_table(spark, sf_dir, "documents")))
+    lines = F.transform("runs", lambda r: F.concat_ws(",", r["start"], r["length"], r["period"]))
+    every = F.when(F.size("runs") > 0, F.concat(F.array_join(lines, "\n"), F.lit("\n"))).otherwise("")
+    found = found.withColumn("best", periodic_runs.longest())
+    best = F.col("best")
+    return found.select(
+        "doc_id", F.size("runs").cast("bigint").alias("n_runs"), best["start"].alias("start"), best["length"].alias("length"),
+        best["period"].alias("period"), F.floor(1000 * best["length"] / best["period"]).alias("exponent_milli"),
+        F.sha2(every, 256).alias("runs_sha256"), "collapsed_sha256", "n_words",
+    )
+
+
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 20 best documents for every benchmark item."""
+    index = lexical_search.build_index(_table(spark, sf_dir, "documents"))
+    return lexical_search.search(index, _table(spark, sf_dir, "benchmark"), k=20)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_warc_round_trip": op1_warc_round_trip,
     "op2_repeated_passages": op2_repeated_passages,
@@ -114,6 +160,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_minimum_slack_packing": op8_minimum_slack_packing,
     "op9_byte_shards": op9_byte_shards,
     "op10_toxicity_chain": op10_toxicity_chain,
+    "op11_byte_bpe": op11_byte_bpe,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
@@ -181,6 +230,21 @@ SELECT page_id, host, path, rule,
        WHEN canonical IN (SELECT canonical FROM l) THEN 'block' ELSE 'allow' END AS verdict
 FROM v""",
 }
+_TERMS = rf"regexp_extract_all(translate(coalesce(text, ''), '{_UPPER}', '{_LOWER}'), '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')"
+ORACLE_SQL["op13_lexical_search"] = f"""
+WITH d AS (SELECT row_number() OVER () AS rid, doc_id, {_TERMS} AS t FROM documents),
+f AS (SELECT CAST(count(*) AS BIGINT) AS n_all, CAST(sum(len(t)) AS BIGINT) AS l_all FROM d WHERE len(t) > 0),
+tf AS (SELECT rid, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT rid, unnest(t) AS term FROM d) GROUP BY rid, term),
+q AS (SELECT iid, item_id, term, CAST(count(*) AS BIGINT) AS times
+      FROM (SELECT item_id, iid, unnest({_TERMS}) AS term FROM (SELECT *, row_number() OVER () AS iid FROM (SELECT DISTINCT item_id, text FROM benchmark)))
+      GROUP BY iid, item_id, term),
+w AS (SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * n_all + 2) / (2.0::DOUBLE * df + 1))) AS BIGINT) AS w
+      FROM (SELECT term, count(*) AS df FROM tf WHERE term IN (SELECT term FROM q) GROUP BY term), f),
+m AS (SELECT rid, doc_id, 75 + (25 * CAST(len(t) AS BIGINT) * n_all) // l_all AS m FROM d, f WHERE len(t) > 0),
+s AS (SELECT iid, item_id, rid, doc_id, CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 12 * m))) AS BIGINT) AS score
+      FROM q JOIN w USING (term) JOIN tf USING (term) JOIN m USING (rid) GROUP BY iid, item_id, rid, doc_id),
+r AS (SELECT *, row_number() OVER (PARTITION BY iid ORDER BY score DESC, doc_id NULLS LAST) AS rank FROM s WHERE score > 0)
+SELECT item_id, CAST(rank AS INT) AS rank, doc_id, score FROM r WHERE rank <= 20"""
 ORACLE_SQL["op4_quality_ablation"] = f"""
 WITH l AS ({ORACLE_SQL["op4_quality_ledger"]}),
 r(rule, bit) AS (VALUES ('few_words', 1), ('repeated_windows', 2), ('symbols', 4), ('duplicate_lines', 8), ('word_length', 16),
