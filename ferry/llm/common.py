@@ -2,10 +2,14 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 from contextlib import contextmanager
-from functools import reduce
-from typing import Iterator, Mapping, Sequence
+from contextvars import ContextVar
+from functools import reduce, wraps
+from typing import Callable, Iterator, Mapping, Sequence
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -25,17 +29,21 @@ def word_count(text: Column) -> Column:
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("bigint")
 
 
-_open: list[list[str]] = []
+#: The open scopes of this thread, the innermost last.
+_open: ContextVar[tuple[list[str], ...]] = ContextVar("ferry_temporary_tables", default=())
 
 
 @contextmanager
 def temporary_tables(spark: SparkSession) -> Iterator[None]:
     """Remove the tables ``written`` inside, but for those kept, once nothing reads them any more."""
-    _open.append([])
+    scopes = _open.get()
+    mine: list[str] = []
+    token = _open.set((*scopes, mine))
     try:
         yield
     finally:
-        for path in _open.pop():
+        _open.reset(token)
+        for path in mine:
             remove_path(spark, path)
 
 
@@ -48,7 +56,7 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    scopes = _open[:-1] if keep else _open
+    scopes = _open.get()[:-1] if keep else _open.get()
     if scopes:
         scopes[-1].append(path)
     out = df.sparkSession.read.schema(df.schema).parquet(path)
@@ -56,6 +64,27 @@ def written(df: DataFrame, name: str, keep: bool = False) -> DataFrame:
     return out
 
 
+def tidy(run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]):
+    """``run``, a function over a task's batches, that hands freed memory back to the system when the task ends.
+
+    Python workers outlive their tasks, and what one stage freed but kept would
+    be missing in the next one.
+    """
+    @wraps(run)
+    def tidied(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        try:
+            yield from run(batches)
+        finally:
+            gc.collect()
+            pa.default_memory_pool().release_unused()
+            try:
+                ctypes.CDLL(None).malloc_trim(0)
+            except (AttributeError, OSError):  # another C library
+                pass
+
+    return tidied
+
+
 def remove(table: DataFrame) -> None:
     """Remove a table that ``written`` returned, before its scope ends."""
     remove_path(table.sparkSession, table._written_to)

@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import written
+from ferry.llm.common import tidy, written
 from ferry.llm.wordhash import WordHasher, blocks
 
 #: Terms (with repeats) after which a shard is closed; bounds a task's memory.
@@ -110,7 +110,7 @@ def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def build_index(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The index of all rows, written to shared scratch storage."""
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
-    return written(rows.mapInArrow(_shards, _INDEX), "search-index")
+    return written(rows.mapInArrow(tidy(_shards), _INDEX), "search-index")
 
 
 def _item_terms(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -275,7 +275,7 @@ def _search_block(index: DataFrame, rows: list, n_all: int, l_all: int, k: int)
     keys = list(dict.fromkeys((r["item_id"], r["text_key"]) for r in rows))
     number = {key: i for i, key in enumerate(keys)}
     vocabulary = np.unique(np.array([r["term"] for r in rows], np.int64).view(np.uint64))
-    counts = index.select("terms", "starts").mapInArrow(_counter(vocabulary), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()
+    counts = index.select("terms", "starts").mapInArrow(tidy(_counter(vocabulary)), "term bigint, df bigint").groupBy("term").agg(F.sum("df").alias("df")).collect()
     weight = {r["term"]: math.floor(1000 * math.log((2 * n_all + 2) / (2 * r["df"] + 1))) for r in counts}
     lists: list[tuple[list, list]] = [([], []) for _ in keys]
     for r in rows:
@@ -284,8 +284,7 @@ def _search_block(index: DataFrame, rows: list, n_all: int, l_all: int, k: int)
             terms.append(r["term"])
             weights.append(weight[r["term"]] * r["times"])
     items = [(np.array(t, np.int64).view(np.uint64), np.array(w, np.int64)) for t, w in lists]
-    found = index.select("ids", "lengths", "terms", "starts", "docs", "counts", "most", "shortest").mapInArrow(
-        _searcher(items, n_all, l_all, k), "item bigint, doc_id bigint, score bigint")
+    found = index.select("ids", "lengths", "terms", "starts", "docs", "counts", "most", "shortest").mapInArrow(tidy(_searcher(items, n_all, l_all, k)), "item bigint, doc_id bigint, score bigint")
     order = Window.partitionBy("item").orderBy(F.col("score").desc(), F.col("doc_id").asc_nulls_last())
     ranked = found.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= k)
     names = spark.createDataFrame([(i, item_id) for i, (item_id, _) in enumerate(keys)], "item bigint, item_id bigint")
@@ -301,7 +300,7 @@ def search(index: DataFrame, items: DataFrame, k: int = 20, id_col: str = "item_
     text = F.col(f"`{text_col}`").cast("string")
     asked = items.select(F.col(f"`{id_col}`").cast("bigint").alias("item_id"), F.xxhash64(text).alias("text_key"), text.alias("text")).distinct()
     keyed = asked.select(F.struct("item_id", "text_key").alias("item"), "text")
-    terms = written(keyed.mapInArrow(_item_terms, "item struct<item_id:bigint,text_key:bigint>, term bigint, times bigint")
+    terms = written(keyed.mapInArrow(tidy(_item_terms), "item struct<item_id:bigint,text_key:bigint>, term bigint, times bigint")
                     .select("item.*", "term", "times"), "search-items")
     figures = index.agg(F.sum("n_docs").alias("n"), F.sum("n_terms").alias("l")).first()
     n_all, l_all = int(figures["n"] or 0), int(figures["l"] or 0)

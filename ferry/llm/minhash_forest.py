@@ -42,7 +42,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, written
+from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, tidy, written
 from ferry.llm.components import components
 from ferry.llm.wordhash import WordHasher, blocks, shingle_set
 
@@ -315,7 +315,7 @@ def candidate_links(nodes: DataFrame, percent: int) -> DataFrame:
     orders = F.array(*[F.struct(F.lit(t).alias("t"), _rotated(t).alias("sig")) for t in range(ORDERS)])
     rows = near.select("node", F.explode(orders).alias("o")).select(F.col("o.t").alias("t"), F.col("o.sig").alias("sig"), "node")
     in_order = rows.repartitionByRange("t", "sig", "node").sortWithinPartitions("t", "sig", "node")
-    return in_order.mapInArrow(_neighbour_links(least_matches(percent)), "a bigint, b bigint")
+    return in_order.mapInArrow(tidy(_neighbour_links(least_matches(percent))), "a bigint, b bigint")
 
 
 def _cells(clusters: DataFrame, nodes: DataFrame) -> DataFrame:
@@ -344,7 +344,7 @@ def near_duplicates(docs: DataFrame, words: int = WORDS, percent: int = PERCENT,
 def _near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str, text_col: str) -> DataFrame:
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    measured = written(rows.mapInArrow(_measure(words), "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, sig binary"), "forest-sets")
+    measured = written(rows.mapInArrow(tidy(_measure(words)), "doc_id bigint, text_key bigint, n_shingles bigint, digest binary, sig binary"), "forest-sets")
     ranked = measured.withColumn("rank", F.coalesce("doc_id", F.lit(_LAST_ID)))
     same = ["digest", "sig", "n_shingles"]
     classes = (  # equal sets are one node; its text is that of the smallest id with the smallest text_key
@@ -359,7 +359,7 @@ def _near_duplicates(docs: DataFrame, words: int, percent: int, id_col: str, tex
     texts = texts.dropDuplicates(["node"]).select("node", "sig", "text")
     tasks = cells.join(texts, "node").select("cluster", "left", "right", "block", "node", "sig", "text")
     grouped = tasks.repartition("cluster", "left", "right").sortWithinPartitions("cluster", "left", "right", "node")
-    links = written(grouped.mapInArrow(_confirmed_links(words, percent), "a bigint, b bigint"), "forest-links")
+    links = written(grouped.mapInArrow(tidy(_confirmed_links(words, percent)), "a bigint, b bigint"), "forest-links")
     member = components(links)
     placed = nodes.select("digest", "first", "node").join(member, "node", "left")
     placed = placed.withColumn("component", F.coalesce("component", "node"))

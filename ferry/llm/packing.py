@@ -37,13 +37,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import written
+from ferry.llm.common import tidy, written
 
 CAPACITY = 2048
 END_ID = 0
 TOKENIZER = "word_bpe_49k.json"
 #: Encoded words a task remembers; the memory is emptied when full.
-CACHE_WORDS = 300_000
+CACHE_WORDS = 150_000
 _ROWS = 512
 
 
@@ -158,7 +158,7 @@ def tokenise(docs: DataFrame, tokenizer: str | None = None, capacity: int = CAPA
 
     id_type = rows.schema["doc_id"].dataType.simpleString()
     schema = f"doc_id {id_type}, piece int, start bigint, length bigint, ids binary, part int, nth bigint"
-    return written(rows.mapInArrow(run, schema), "pack-pieces")
+    return written(rows.mapInArrow(tidy(run), schema), "pack-pieces")
 
 
 def fullest(counts: dict[int, int], room: int) -> list[int]:

@@ -46,7 +46,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ferry.llm.common import WORD, written
+from ferry.llm.common import WORD, tidy, written
 from ferry.llm.wordhash import WordHasher, blocks
 
 MIN_LENGTH, MIN_TURNS = 24, 3
@@ -237,10 +237,10 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     text = F.col(f"`{text_col}`").cast("string")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    parts = written(rows.mapInArrow(_parts, _PARTS), "run-tiles")
+    parts = written(rows.mapInArrow(tidy(_parts), _PARTS), "run-tiles")
     tiles = parts.filter(F.col("words").isNotNull()).select("doc_id", "text_key", "span", "at", "before", "words")
     dealt = tiles.repartition(F.xxhash64("doc_id", "text_key", "span", "at"))
-    fragments = dealt.mapInArrow(_solved, "doc_id bigint, text_key bigint, period bigint, start bigint, end bigint")
+    fragments = dealt.mapInArrow(tidy(_solved), "doc_id bigint, text_key bigint, period bigint, start bigint, end bigint")
     runs = stitch(fragments)
     per_text = runs.groupBy("doc_id", "text_key").agg(F.sort_array(F.collect_list(F.struct("start", "period", "length"))).alias("runs"))
     per_text = per_text.select(F.col("doc_id").alias("_id"), F.col("text_key").alias("_key"), "runs")
@@ -249,7 +249,7 @@ def find_runs(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     tiled = tiled.join(per_text, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_key") == F.col("_key")), "left")
     none = F.array().cast(_RUNS)
     tiled = tiled.select("doc_id", "text_key", "n_words", "text", F.coalesce("runs", none).alias("runs"))
-    done = tiled.mapInArrow(_collapsed, f"doc_id bigint, text_key bigint, n_words bigint, runs {_RUNS}, collapsed string, collapsed_sha256 string")
+    done = tiled.mapInArrow(tidy(_collapsed), f"doc_id bigint, text_key bigint, n_words bigint, runs {_RUNS}, collapsed string, collapsed_sha256 string")
     plain = texts.filter(F.col("text").isNull()).select(
         "doc_id", "text_key", "n_words", none.alias("runs"), F.lit(None).cast("string").alias("collapsed"), F.col("words_sha256").alias("collapsed_sha256"))
     return done.unionByName(plain)

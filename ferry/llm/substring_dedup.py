@@ -41,15 +41,15 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ferry.llm import wordhash
-from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, written
+from ferry.llm.common import BLANKS, rows_as_struct, temporary_tables, tidy, written
 from ferry.llm.wordhash import blocks, mix64
 
 MIN_WORDS = 30
 #: No unit has more words; must stay below the smallest useful ``min_words``. With 11, whole units hold at
 #: least 30 words of any passage of 51, wherever it starts and ends.
 UNIT_WORDS = 11
-#: Up to so many spans are broadcast to the texts they are cut from; more are joined by a shuffle.
-BROADCAST_SPANS = 100_000
+#: Rows taken from a batch at a time, and the longest power tables kept between blocks.
+_ROWS, _KEPT_POWERS = 512, 2 * wordhash.BLOCK_BYTES
 _LAST_ID = 2**63 - 1
 #: Blanks of Unicode by code point; the last entry stands for all greater ones.
 _SPACE = np.array([chr(c).isspace() for c in range(0x3002)])
@@ -79,15 +79,18 @@ def _lower(text: str) -> str:
 
 
 class Cutter:
-    """Cuts batches of texts; keeps its power tables between calls."""
+    """Cuts batches of texts; keeps power tables of a block's size between calls."""
 
     def __init__(self):
         self._pow = self._inv = np.ones(1, dtype=np.uint64)
 
     def powers(self, n: int) -> tuple[np.ndarray, np.ndarray]:
-        if n > len(self._pow):
-            self._pow, self._inv = wordhash._powers(wordhash._BASE, n), wordhash._powers(wordhash._BASE_INV, n)
-        return self._pow[:n], self._inv[:n]
+        if n <= len(self._pow):
+            return self._pow[:n], self._inv[:n]
+        tables = wordhash._powers(wordhash._BASE, n), wordhash._powers(wordhash._BASE_INV, n)
+        if n <= _KEPT_POWERS:
+            self._pow, self._inv = tables
+        return tables
 
     def cut(self, texts: Sequence[str]) -> Cuts:
         joined = "\n".join(map(_lower, texts)) + "\n"
@@ -142,34 +145,41 @@ def windows(c: Cuts, min_words: int) -> tuple[np.ndarray, np.ndarray, np.ndarray
     return a, b, text[a]
 
 
+def _blocks_of(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.RecordBatch, list[str]]]:
+    """Rows and their texts, a block at a time; only a slice of a batch is ever held as Python strings."""
+    for whole in batches:
+        for at in range(0, whole.num_rows, _ROWS):
+            some = whole.slice(at, _ROWS)
+            texts = [t or "" for t in some.column(2).to_pylist()]
+            for lo, hi in blocks(texts):
+                yield some.slice(lo, hi - lo), texts[lo:hi]
+
+
 def _window_rows(min_words: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         cutter = Cutter()
-        for whole in batches:
-            texts = [t or "" for t in whole.column(2).to_pylist()]
-            for lo, hi in blocks(texts):
-                batch = whole.slice(lo, hi - lo)
-                c = cutter.cut(texts[lo:hi])
-                a, b, text = windows(c, min_words)
-                begin, end = c.units[a], np.concatenate((c.units[1:], [len(c.starts)]))[b]  # words
-                up, down = cutter.powers(len(c.starts))
-                n_words, digests = end - begin, []
-                for h in (c.hashes, mix64(c.hashes ^ _SALT)):
-                    prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up)))
-                    digests.append(mix64((prefix[end] - prefix[begin]) * down[begin] + n_words.astype(np.uint64)))
-                first = np.zeros(len(a), dtype=bool)
-                first[np.unique(digests[0] ^ mix64(text.astype(np.uint64) + _SALT), return_index=True)[1]] = True
-                start = c.starts[begin]
-                take = pa.array(text, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [batch.column(0).take(take), batch.column(1).take(take),
-                     pa.array((a - np.searchsorted(c.units, c.bounds[text])).astype(np.int32)), pa.array((b - a + 1).astype(np.int32)),
-                     pa.array((begin - c.bounds[text]).astype(np.int32)), pa.array(n_words.astype(np.int32)),
-                     pa.array(start - c.text_at[text], pa.int64()), pa.array(c.ends[end - 1] - start, pa.int64()),
-                     pa.array(digests[0].view(np.int64)), pa.array((digests[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
-                     pa.array(first)],
-                    names=["doc_id", "text_key", "unit", "n_units", "word", "n_words", "start", "length", "digest", "check", "first"],
-                )
+        for batch, texts in _blocks_of(batches):
+            c = cutter.cut(texts)
+            a, b, text = windows(c, min_words)
+            begin, end = c.units[a], np.concatenate((c.units[1:], [len(c.starts)]))[b]  # words
+            up, down = cutter.powers(len(c.starts))
+            n_words, digests = end - begin, []
+            for h in (c.hashes, mix64(c.hashes ^ _SALT)):
+                prefix = np.concatenate((np.zeros(1, np.uint64), np.cumsum(h * up)))
+                digests.append(mix64((prefix[end] - prefix[begin]) * down[begin] + n_words.astype(np.uint64)))
+            first = np.zeros(len(a), dtype=bool)
+            first[np.unique(digests[0] ^ mix64(text.astype(np.uint64) + _SALT), return_index=True)[1]] = True
+            start = c.starts[begin]
+            take = pa.array(text, pa.int64())
+            yield pa.RecordBatch.from_arrays(
+                [batch.column(0).take(take), batch.column(1).take(take),
+                 pa.array((a - np.searchsorted(c.units, c.bounds[text])).astype(np.int32)), pa.array((b - a + 1).astype(np.int32)),
+                 pa.array((begin - c.bounds[text]).astype(np.int32)), pa.array(n_words.astype(np.int32)),
+                 pa.array(start - c.text_at[text], pa.int64()), pa.array(c.ends[end - 1] - start, pa.int64()),
+                 pa.array(digests[0].view(np.int64)), pa.array((digests[1] >> np.uint64(32)).astype(np.uint32).view(np.int32)),
+                 pa.array(first)],
+                names=["doc_id", "text_key", "unit", "n_units", "word", "n_words", "start", "length", "digest", "check", "first"],
+            )
 
     return run
 
@@ -190,7 +200,7 @@ def find_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "doc
 def _find_repeats(docs: DataFrame, min_words: int, id_col: str, text_col: str) -> DataFrame:
     text = F.col(f"`{text_col}`")
     rows = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.xxhash64(text).alias("text_key"), text.alias("text"))
-    table = rows.mapInArrow(_window_rows(min_words), WINDOWS)
+    table = rows.mapInArrow(tidy(_window_rows(min_words)), WINDOWS)
     rank = F.coalesce("doc_id", F.lit(_LAST_ID))
     key = ["digest", "check"]
     repeated = written(  # written, so that the join below reads both sides by shuffle and a very common digest can be split
@@ -237,8 +247,6 @@ def remove_repeats(docs: DataFrame, min_words: int = MIN_WORDS, id_col: str = "d
     rows = rows_as_struct(docs, [id_col, text_col]).select(
         "_row", F.col(f"`_{id_col}`").cast("bigint").alias("_id"), F.col(f"`_{text_col}`").alias("_text"))
     cond = F.col("_id").eqNullSafe(F.col("doc_id")) & (F.xxhash64("_text") == F.col("text_key"))
-    if spans.count() <= BROADCAST_SPANS:  # else both sides are shuffled, whole texts included
-        per_doc = F.broadcast(per_doc)
     joined = rows.join(per_doc, cond, "left")
     end = lambda i: F.when(i == 0, F.lit(0)).otherwise(F.get("_spans", i - 1)["start"] + F.get("_spans", i - 1)["length"])
     until = lambda i: F.coalesce(F.get("_spans", i)["start"], F.char_length("_text"))

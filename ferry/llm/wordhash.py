@@ -45,7 +45,7 @@ def _powers(base: np.uint64, n: int) -> np.ndarray:
 
 
 class WordHasher:
-    """Hashes the words of batches of texts; keeps its power tables between calls."""
+    """Hashes the words of batches of texts; keeps power tables of a block's size between calls."""
 
     def __init__(self, lower: bool = True, separator: np.ndarray = BLANK):
         self._byte = _BYTE_LOWER if lower else _BYTE
@@ -58,8 +58,11 @@ class WordHasher:
         joined = b"\n".join(texts) + b"\n"
         buf = np.frombuffer(joined, dtype=np.uint8)
         n = len(buf)
-        if n > len(self._pow):
-            self._pow, self._inv = _powers(_BASE, n), _powers(_BASE_INV, n)
+        up, down = self._pow, self._inv
+        if n > len(up):
+            up, down = _powers(_BASE, n), _powers(_BASE_INV, n)
+            if n <= 2 * BLOCK_BYTES:
+                self._pow, self._inv = up, down
         sep = self._separator[buf]
         edge = np.flatnonzero(sep[1:] != sep[:-1]) + 1
         first = 0 if sep[0] else 1  # the buffer starts inside a word
@@ -67,8 +70,8 @@ class WordHasher:
         ends = edge[0::2] if first else edge[1::2]
         prefix = np.empty(n + 1, dtype=np.uint64)
         prefix[0] = 0
-        np.cumsum(self._byte[buf] * self._pow[:n], out=prefix[1:])
-        value = (prefix[ends] - prefix[starts]) * self._inv[starts]
+        np.cumsum(self._byte[buf] * up[:n], out=prefix[1:])
+        value = (prefix[ends] - prefix[starts]) * down[starts]
         hashes = mix64(value + (ends - starts).astype(np.uint64))
         text_ends = np.cumsum(np.fromiter((len(t) + 1 for t in texts), dtype=np.int64, count=len(texts)))
         bounds = np.concatenate(([0], np.searchsorted(starts, text_ends)))

@@ -11,11 +11,11 @@ from tokenizers import Tokenizer
 
 import __spark_entry__
 import corpus_pipeline
-from ferry.llm import mixing, packing, quality
+from ferry.llm import mixing, packing, quality, substring_dedup
 from tests.conftest import SF
 from tests.llm.test_minhash_forest import brute
 from tests.llm.test_native import fill
-from tests.llm.test_substring_dedup import brute_spans
+from tests.llm.test_repeat_windows import faults
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
@@ -69,17 +69,36 @@ def test_near_duplicates(stages):
     assert Counter(out) == Counter(r for r in rows if found[r["doc_id"]][1] == r["doc_id"])
 
 
-def test_repeated_passages(stages):
-    rows, out = stages["substrings"]
-    spans = brute_spans([(r["doc_id"], r["text"]) for r in rows])
+def check_cuts(spark, rows, out):
+    """``out`` is ``rows`` without the spans of ``find_repeats``, and these are right."""
+    table = spark.createDataFrame([(r["doc_id"], r["text"]) for r in rows], "doc_id long, text string")
+    spans = [(r["doc_id"], r["start"], r["length"]) for r in substring_dedup.find_repeats(table).collect()]
+    cut_wrongly, kept_wrongly, cut = faults(sorted((r["doc_id"], r["text"]) for r in rows), spans)
+    assert (cut_wrongly, kept_wrongly) == (0, 0)
     want = Counter()
     for r in rows:
         text = r["text"]
-        for _, start, length, _ in sorted((s for s in spans if s[0] == r["doc_id"]), reverse=True):
+        for _, start, length in sorted((s for s in spans if s[0] == r["doc_id"]), reverse=True):
             text = text[:start] + text[start + length:]
         if text == r["text"] or n_words(text):
             want[r["doc_id"], text, len(text)] += 1
     assert Counter((r["doc_id"], r["text"], r["n_chars"]) for r in out) == want
+    return cut
+
+
+def test_repeated_passages(spark, stages):
+    check_cuts(spark, *stages["substrings"])
+
+
+def test_passages_planted_in_what_the_stage_gets(spark, stages):
+    rows, out = stages["near_dedup"][1][:60], []
+    passage = " ".join(f"passage{i} of words that many documents share." for i in range(9))
+    for k, r in enumerate(rows):
+        words = r["text"].split(" ")
+        text = " ".join([*words[:k], passage, *words[k:]]) if k % 3 == 0 else r["text"]
+        out.append((r["doc_id"], text, r["lang"], r["source"], len(text)))
+    docs = spark.createDataFrame(out, "doc_id long, text string, lang string, source string, n_chars long")
+    assert check_cuts(spark, docs.collect(), corpus_pipeline.cut_repeated_passages(spark, docs, SF).collect()) > 19 * 30
 
 
 def test_mix(stages):

@@ -48,7 +48,7 @@ def covered(rows, n=sub.MIN_WORDS):
     """Per document a flag for each word: whether it stands in n words that an earlier document, or this one before, holds."""
     seen, out = set(), {}
     for doc, text in rows:
-        ws = text.lower().split()
+        ws = sub._lower(text or "").split()
         out[doc] = [False] * len(ws)
         for i in range(len(ws) - n + 1):
             window = tuple(ws[i:i + n])
@@ -58,6 +58,50 @@ def covered(rows, n=sub.MIN_WORDS):
     return out
 
 
+def must_go(rows, n=sub.MIN_WORDS):
+    """Per document the words inside passages of at least n + 2 * UNIT_WORDS - 1 words of one earlier place, but for what its ends may keep.
+
+    Words count as equal here if their line ends are as well.
+    """
+    at, out = {}, {}
+    for doc, text in rows:
+        ends, k = set(), 0
+        for line in sub._lower(text or "").split("\n"):
+            k += len(line.split())
+            ends.add(k - 1)
+        ws = [(w, i in ends) for i, w in enumerate(sub._lower(text or "").split())]
+        passages, mine = {}, {}
+        for i in range(len(ws) - n + 1):
+            window = tuple(ws[i:i + n])
+            for d, j in [*at.get(window, ()), *((doc, j) for j in mine.get(window, ()))]:
+                passages.setdefault((d, i - j), []).append(i)
+            mine.setdefault(window, []).append(i)
+        for window, places in mine.items():
+            at.setdefault(window, []).extend((doc, j) for j in places)
+        out[doc] = set()
+        for starts in passages.values():
+            first = 0
+            for k in range(1, len(starts) + 1):
+                if k == len(starts) or starts[k] != starts[k - 1] + 1:
+                    lo, hi = starts[first], starts[k - 1] + n
+                    if hi - lo >= n + 2 * sub.UNIT_WORDS - 1:
+                        out[doc].update(range(lo + sub.UNIT_WORDS - 1, hi - sub.UNIT_WORDS))
+                    first = k
+    return out
+
+
+def faults(rows, spans):
+    """What is wrong with spans ``(doc_id, start, length)`` of documents with ids of their own, in order of their ids: words cut or kept wrongly."""
+    text, may, must = dict(rows), covered(rows), must_go(rows)
+    gone = {doc: set() for doc, _ in rows}
+    for doc, start, length in spans:
+        before, piece = text[doc][:start].split(), text[doc][start:start + length]
+        assert piece == piece.strip() and (not text[doc][:start] or text[doc][:start][-1].isspace())
+        gone[doc].update(range(len(before), len(before) + len(piece.split())))
+    wrong = sum(not may[doc][i] for doc in gone for i in gone[doc])
+    return wrong, sum(len(must[doc] - gone[doc]) for doc in gone), sum(map(len, gone.values()))
+
+
 @pytest.mark.parametrize("punctuation", [True, False])
 def test_passages_at_any_word_against_brute_force(spark, punctuation):
     rng = random.Random(11)

@@ -9,37 +9,22 @@ from pyspark.sql import functions as F
 from ferry.llm import queries
 from ferry.llm import substring_dedup as sub
 from tests.conftest import SF
+from tests.llm.test_repeat_windows import faults
 
 
-def brute_spans(rows, min_words=sub.MIN_WORDS):
-    """(doc_id, start, length, n_words) for distinct (doc_id, text) rows, one after the other."""
-    cut = {(d, t): list(sub.units(t or "")) for d, t in rows}
-    rank = lambda d: sub._LAST_ID if d is None else d
-    first = {}
-    for d, t in cut:
-        for _, _, _, norm in cut[d, t]:
-            first[norm] = min(first.get(norm, rank(d)), rank(d))
-    out = set()
-    for (d, t), us in cut.items():
-        seen, run = set(), []
-        for a, b, n, norm in [*us, (0, 0, 0, None)]:
-            if norm is not None and (first[norm] < rank(d) or norm in seen):
-                run.append((a, b, n, first[norm]))
-            else:
-                words = Counter()
-                for _, _, k, keeper in run:
-                    words[keeper] += k
-                if run and max(words.values()) >= min_words:
-                    out.add((d, run[0][0], run[-1][1] - run[0][0], sum(r[2] for r in run)))
-                run = []
-            seen.add(norm)
-    return out
+def test_query_against_windows_of_words(spark):
+    rows = sorted((r[0], r[1]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect())
+    spans = [(r["doc_id"], r["start"], r["length"]) for r in queries.op2_repeated_passages(spark, SF).collect()]
+    cut_wrongly, kept_wrongly, cut = faults(rows, spans)
+    assert (cut_wrongly, kept_wrongly) == (0, 0) and cut > 1000
 
 
-def test_query_against_brute_force(spark):
-    rows = [(r[0], r[1]) for r in spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text").collect()]
-    got = {(r["doc_id"], r["start"], r["length"], r["n_words"]) for r in queries.op2_repeated_passages(spark, SF).collect()}
-    assert got and got == brute_spans(rows)
+@pytest.mark.parametrize("min_words, cut_wrongly", [(20, True), (45, False)])
+def test_another_rule_is_found_out(spark, min_words, cut_wrongly):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    rows = sorted((r[0], r[1]) for r in docs.select("doc_id", "text").collect())
+    found = faults(rows, [(r["doc_id"], r["start"], r["length"]) for r in sub.find_repeats(docs, min_words=min_words).collect()])
+    assert found[0 if cut_wrongly else 1] > 0
 
 
 def words(rng, n):
@@ -74,16 +59,15 @@ def test_planted_passages_inside_lines(spark):
             assert removed == passage
 
 
-@pytest.mark.parametrize("limit", [sub.BROADCAST_SPANS, 0])
-def test_edge_rows_ties_and_clashing_columns(spark, monkeypatch, limit):
-    monkeypatch.setattr(sub, "BROADCAST_SPANS", limit)
+def test_edge_rows_ties_and_clashing_columns(spark):
     rng = random.Random(7)
     body = " ".join(words(rng, 10) + "." for _ in range(6))
     other = words(rng, 15) + "."
     rows = [(1, body), (1, body), (2, f"{other} {body}"), (None, body), (3, None), (4, ""), (5, " \n\t "), (6, body), (6, f"{body}\n{body}")]
     docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("unit", F.lit("x")).withColumn("start", F.lit(1)).withColumn("n", F.length("text"))
     got = {(r["doc_id"], r["start"], r["length"], r["n_words"]) for r in sub.find_repeats(docs).collect()}
-    assert got == brute_spans(list(dict.fromkeys(rows)))
+    n = len(body)
+    assert got == {(2, len(other) + 1, n, 60), (None, 0, n, 60), (6, 0, n, 60), (6, 0, 2 * n + 1, 120)}
     out = sub.remove_repeats(docs, chars_col="n")
     assert out.columns == docs.columns
     kept = Counter((r["doc_id"], r["text"], r["n"]) for r in out.collect())
