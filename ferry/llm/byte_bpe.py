@@ -47,7 +47,7 @@ HOT_WORDS = 200_000
 HOT_BYTES = 64
 NO_RANK = 2**31 - 1
 _NO_PAIR, _MIDDLE = NO_RANK << 32, 0xFFFFFFFF
-_RANK_MAPS, _HOT_MAPS = 1 << 14, 1 << 15
+_RANK_MAPS, _HOT_MAPS = 1 << 14, 1 << 16
 _LATIN = "ISO-8859-1"
 
 
@@ -67,16 +67,20 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def _literal_maps(entries: Mapping[str, object], n: int, kind: str) -> Column:
-    """``entries`` as a literal array of ``n`` maps, an entry in the one its key's CRC-32 points to."""
-    maps: list[dict] = [{} for _ in range(n)]
-    for key, value in entries.items():
-        maps[zlib.crc32(key.encode()) % n][key] = value
-    return F.from_json(F.lit(json.dumps(maps, ensure_ascii=False, separators=(",", ":"))), f"array<map<string,{kind}>>")
+def _rank_maps(ranks: Mapping[str, int]) -> Column:
+    """The ranks as a literal array of maps, a piece in the one its CRC-32 points to."""
+    maps: list[dict] = [{} for _ in range(_RANK_MAPS)]
+    for piece, rank in ranks.items():
+        maps[zlib.crc32(piece.encode()) % _RANK_MAPS][piece] = rank
+    return F.from_json(F.lit(json.dumps(maps, ensure_ascii=False, separators=(",", ":"))), "array<map<string,int>>")
+
+
+def _map_number(key: Column, n: int) -> Column:
+    return F.crc32(key.cast("binary")).bitwiseAND(n - 1).cast("int")
 
 
 def _look_up(maps: Column, n: int, key: Column) -> Column:
-    return F.get(maps, F.crc32(key.cast("binary")).bitwiseAND(n - 1).cast("int"))[key]
+    return F.get(maps, _map_number(key, n))[key]
 
 
 def _let(value: Column, body) -> Column:
@@ -128,7 +132,7 @@ class Vocabulary:
     def __init__(self, ranks: Mapping[bytes, int], pattern: str):
         self.pattern = f"(?U){pattern}"
         self._pieces = {piece.decode("latin-1"): rank for piece, rank in ranks.items()}
-        self._ranks = _literal_maps(self._pieces, _RANK_MAPS, "int")
+        self._ranks = _rank_maps(self._pieces)
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), 0)
@@ -169,8 +173,13 @@ def encode(docs: DataFrame, vocab: Vocabulary | None = None, hot: int = HOT_WORD
     """The input rows with ``ids`` (array of int) as a last column; an input column of that name is replaced."""
     vocab = vocab or vocabulary()
     with temporary_tables(docs.sparkSession):
-        known = {r["word"]: r["ids"] for r in written(hot_words(docs, vocab, hot, text_col), "bpe-hot").collect()}
-    literal = _literal_maps(known, _HOT_MAPS, "array<int>")
+        known = written(hot_words(docs, vocab, hot, text_col), "bpe-hot")
+        entries = F.map_from_entries(F.collect_list(F.struct("word", "ids")))
+        found = known.groupBy(_map_number(F.col("word"), _HOT_MAPS).alias("map")).agg(F.to_json(entries).alias("json")).collect()
+    maps = ["{}"] * _HOT_MAPS
+    for r in found:
+        maps[r["map"]] = r["json"]
+    literal = F.from_json(F.lit(f"[{','.join(maps)}]"), "array<map<string,array<int>>>")
     ids = F.flatten(vocab.merge_all(vocab.words(F.col("_text")), literal))
     rows = rows_as_struct(docs, [text_col]).select("_row", F.col(f"`_{text_col}`").cast("string").alias("_text"))
     keep = [F.col("_row")[c].alias(c) for c in docs.columns if c != "ids"]
