@@ -9,7 +9,7 @@ Transport keys (url, headers, credentials) are not read here: the user's
 
 from __future__ import annotations
 
-from dataclasses import dataclass, field, replace
+from dataclasses import dataclass, replace
 from typing import Any, Mapping
 
 # The accepted settings of the dispatch keys.
@@ -30,7 +30,7 @@ class ExchangeConfig:
     response_format: str = "json"
     data_field: str | None = None  # dotted path to the record list
     count_field: str | None = None  # dotted path to the total
-    namespace: str | None = None
+    namespace: str | None = None  # XML: if set, names keep their prefixes, so two namespaces stay apart
     soap: bool = False  # 'wsdl' endpoints: records found below the SOAP Body
     table_name: str | None = None
     df_limit: int | None = None  # rows per landing wave
@@ -44,7 +44,6 @@ class ExchangeConfig:
     adhoc_start_date: str | None = None
     # landing: at least this many pages per fetch task in a wave (one file each)
     min_pages_per_task: int = 32
-    extra: Mapping[str, Any] = field(default_factory=dict)
 
     def __post_init__(self) -> None:
         if self.dataflow not in DATAFLOWS:

@@ -80,7 +80,7 @@ def _fetch_tasks(plan: DataFrame, n_pages: int, parallelism: int | None) -> Data
 def _land_wave(spark, cfg, plan, fetch, landing_path, load_id, wave, concurrency=1) -> None:
     """Fetch and land one wave; a body that cannot be read fails the run once the wave is landed."""
     pages.land(pages.fetch_pages(plan, fetch, None, concurrency), landing_path, cfg.source_id, load_id, wave,
-               cfg.data_field, cfg.response_format, cfg.soap)
+               cfg.data_field, cfg.response_format, cfg.soap, bool(cfg.namespace))
 
 
 def _check_bodies(spark, cfg, landing_path, load_id) -> None:
@@ -93,9 +93,10 @@ def _check_bodies(spark, cfg, landing_path, load_id) -> None:
 
 
 def _short_of_plan(spark, plan: DataFrame, landing_path: str, source_id: str, load_id: str) -> DataFrame:
-    """The planned pages (``page``, ``expected`` and request fields) whose records have not landed whole."""
+    """The planned pages (``page``, ``expected``, ``most`` and request fields) that have not landed as asked for: short, or over-full."""
     done = pages.landed_pages(spark, landing_path, source_id, load_id).withColumnRenamed("n_records", "_landed")
-    return plan.join(done, (plan["page"] == done["page"]) & (done["_landed"] >= plan["expected"]), "left_anti")
+    whole = (done["_landed"] >= plan["expected"]) & (plan["most"].isNull() | (done["_landed"] <= plan["most"]))
+    return plan.join(done, (plan["page"] == done["page"]) & whole, "left_anti")
 
 
 def land_all_pages(
@@ -123,13 +124,13 @@ def land_all_pages(
             n = plan.count()
         try:
             if n:
-                _land_wave(spark, cfg, _fetch_tasks(plan.drop("expected"), n, parallelism), fetch, landing_path, load_id, wave, concurrency)
+                _land_wave(spark, cfg, _fetch_tasks(plan.drop("expected", "most"), n, parallelism), fetch, landing_path, load_id, wave, concurrency)
         finally:
             if not fresh:
                 plan.unpersist()
 
     if cfg.pagination_type is None:
-        fetch_wave(paging.plan_pages(spark, 0, None, None).withColumn("expected", F.lit(0)), 1, 0)
+        fetch_wave(paging.plan_pages(spark, 0, None, None).withColumn("expected", F.lit(0)).withColumn("most", F.lit(None).cast("bigint")), 1, 0)
         _check_bodies(spark, cfg, landing_path, load_id)
         return None, 1
     size, cores = int(cfg.page_size), spark.sparkContext.defaultParallelism
@@ -137,7 +138,7 @@ def land_all_pages(
     total = None
     if cfg.count_field:  # JSON or XML: the total is a field of the count response
         summary = extract.body_summary(
-            pages.fetch_count(spark, fetch), cfg.data_field, cfg.count_field, cfg.response_format, cfg.soap
+            pages.fetch_count(spark, fetch), cfg.data_field, cfg.count_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace)
         ).first()
         total = summary["total"]
         if total is None and cfg.response_format == "json":
@@ -149,14 +150,16 @@ def land_all_pages(
 
         def planned(lo: int, hi: int) -> DataFrame:
             plan = paging.plan_pages(spark, total, size, cfg.pagination_type, first_page=lo, end_page=hi)
-            return plan.withColumn("expected", expected)
+            # a page-index source may have grown since it was counted; no page may hold more than was asked for
+            most = expected if cfg.pagination_type == paging.LIMIT_OFFSET else F.lit(size).cast("bigint")
+            return plan.withColumn("expected", expected).withColumn("most", most)
 
         for w, lo in enumerate(range(0, n, wave)):
             fetch_wave(planned(lo, lo + wave), min(wave, n - lo), w)
         _check_bodies(spark, cfg, landing_path, load_id)
         short = _short_of_plan(spark, planned(0, n), *where).agg(F.count(F.lit(1)).alias("n"), F.min("page").alias("first")).first()
         if short["n"]:
-            raise IncompleteLoad(f"{short['n']} of {n} pages hold fewer records than planned, the first is page {short['first']}")
+            raise IncompleteLoad(f"{short['n']} of {n} pages hold fewer records than planned, or more than asked for, the first is page {short['first']}")
         return total, n
     # No total announced: fetch waves until a wave ends in a short page, all pages
     # after it empty. Waves start at one page per core and double up to the full
@@ -167,13 +170,17 @@ def land_all_pages(
         plan = plan.select("page", *paging.request_columns(F.col("page"), F.lit(None).cast("bigint"), size, cfg.pagination_type))
         if cfg.pagination_type == paging.LIMIT_OFFSET:
             plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
-        fetch_wave(plan.withColumn("expected", F.lit(size).cast("bigint")), step, w)
+        asked = F.lit(size).cast("bigint")
+        fetch_wave(plan.withColumn("expected", asked).withColumn("most", asked), step, w)
         _check_bodies(spark, cfg, landing_path, load_id)
         got = pages.landed_pages(spark, *where).filter((F.col("page") >= lo) & (F.col("page") < lo + step)).agg(
             F.min(F.when(F.col("n_records") < size, F.col("page"))).alias("short"),
             F.min(F.when(F.col("n_records") == 0, F.col("page"))).alias("empty"),
             F.max(F.when(F.col("n_records") > 0, F.col("page"))).alias("last"),
+            F.min(F.when(F.col("n_records") > size, F.col("page"))).alias("full"),
         ).first()
+        if got["full"] is not None:
+            raise IncompleteLoad(f"page {got['full']} holds more records than were asked for")
         if got["empty"] is not None and got["last"] is not None and got["empty"] < got["last"]:
             raise IncompleteLoad(f"page {got['empty']} is empty but page {got['last']} is not")
         lo, w = lo + step, w + 1
@@ -207,7 +214,7 @@ def load_landed(
     """
     if on_type_change not in ("fail", "widen"):
         raise ValueError("on_type_change must be 'fail' or 'widen'")
-    records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap)
+    records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace))
     existing = tables.existing_payload_schema(spark, table_path)
     # ignored fields are dropped from what comes in, never from what is stored
     inferred = sch.drop_fields(sch.infer_schema(records), ignore)
@@ -270,16 +277,30 @@ def run_inbound(
     max_records_per_file: int | None = None,
     settings: DataFrame | None = None,
     catalog_table: str | None = None,
+    check_content: bool = False,
+    lease_seconds: int = 6 * 3600,
 ) -> LoadResult:
     """API pages -> landed bodies -> typed table; returns the run's counters.
 
     ``settings`` (``table_name``, ``field_name``) names fields to ignore, by the
     configured table name or else the table path. With an ad-hoc start date, or
     the checkpoint of the last successful run, every request has ``start_date``.
-    ``catalog_table`` registers the table under that name.
+    ``catalog_table`` registers the table under that name. Before the run closes
+    as a success, every page's rows are counted against its landed records;
+    with ``check_content`` their values are compared as well, which reads the
+    bodies and the load once more. Of two runs of a pair at once the second is
+    refused (``audit.claim``); a claim ends with its run, or
+    after ``lease_seconds``.
     """
     if cfg.dataflow != "Inbound":
         raise ValueError("run_inbound needs an Inbound configuration")
+    with audit.claim(spark, audit_path, cfg.source_id, cfg.destination_id, lease_seconds):
+        return _run_inbound(spark, cfg, fetch, landing_path, table_path, audit_path, load_ts, user, ignore, schema_audit_path, quarantine_path,
+                            parallelism, concurrency, on_type_change, max_records_per_file, settings, catalog_table, check_content)
+
+
+def _run_inbound(spark, cfg, fetch, landing_path, table_path, audit_path, load_ts, user, ignore, schema_audit_path, quarantine_path,
+                 parallelism, concurrency, on_type_change, max_records_per_file, settings, catalog_table, check_content) -> LoadResult:
     run = audit.open_run(spark, audit_path, cfg.source_id, cfg.destination_id)
     load_id = run.audit_id
     total, n_pages = None, 0
@@ -293,6 +314,12 @@ def run_inbound(
         bodies = pages.read_bodies(spark, landing_path, cfg.source_id, load_id)
         res = load_landed(spark, cfg, bodies, table_path, load_id, load_ts, user, ignore, schema_audit_path,
                           quarantine_path, on_type_change, max_records_per_file)
+        _check_counts(spark, cfg, landing_path, table_path, quarantine_path or f"{table_path.rstrip('/')}_quarantine", load_id)
+        if check_content and res.target_count:
+            bad = content_reconciliation(spark, cfg, bodies, table_path, load_id).filter(F.col("status") != "ok")
+            first = bad.orderBy("page").first()
+            if first:
+                raise IncompleteLoad(f"page {first['page']} differs between landing zone and table: {first['status']}")
         if catalog_table:
             sink.register_table(spark, table_path, catalog_table)
         res.total_obj_count = n_pages
@@ -309,6 +336,54 @@ def run_inbound(
         raise
 
 
+def _payload_digest(rows: DataFrame, count: str, digest: str) -> DataFrame:
+    """Per page the number of payloads and a digest that does not depend on their order, but on how often each is there."""
+    text = F.to_json(F.col(sch.PAYLOAD), {"ignoreNullFields": "false"})
+    parts = [F.xxhash64(F.lit(salt), text).cast("decimal(20,0)") for salt in ("a", "b")]
+    sums = F.concat_ws(":", *[F.sum(x).cast("string") for x in parts])
+    return rows.groupBy("page").agg(F.count(F.lit(1)).alias(count), sums.alias(digest))
+
+
+def content_reconciliation(spark: SparkSession, cfg: ExchangeConfig, bodies: DataFrame, table_path: str, load_id: str) -> DataFrame:
+    """M4 by content: ``page, landed, rejected, loaded, status`` for every page of a load.
+
+    The landed bodies' records, typed with the stored schema, against the table's
+    rows: by number and by a multiset digest. ``status`` is ``ok``, ``missing``
+    or ``unplanned`` (a page on one side only), ``short``, ``extra`` or, with the
+    right number of rows, ``altered``.
+    """
+    schema = sink.load_schema(spark, table_path) or StructType([])
+    records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace))
+    good, bad = sch.split_corrupt(sch.conform(records, schema))
+    landed = _payload_digest(env.blank_payload(good), "landed", "_want").join(
+        bad.groupBy("page").agg(F.count(F.lit(1)).alias("rejected")), "page", "full_outer")
+    table = sink.read_table(spark, table_path).filter((F.col("source_id") == cfg.source_id) & (F.col("load_id") == load_id))
+    both = landed.join(_payload_digest(table, "loaded", "_got"), "page", "full_outer")
+    counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("landed", "rejected", "loaded")]
+    status = (
+        F.when(F.col("landed") == F.col("loaded"), F.when(F.col("_want").eqNullSafe(F.col("_got")), "ok").otherwise("altered"))
+        .when(F.col("loaded") == 0, "missing").when(F.col("landed") + F.col("rejected") == 0, "unplanned")
+        .when(F.col("loaded") < F.col("landed"), "short").otherwise("extra")
+    )
+    return both.select("page", *counts, "_want", "_got").select("page", "landed", "rejected", "loaded", status.alias("status"))
+
+
+def _check_counts(spark, cfg: ExchangeConfig, landing_path: str, table_path: str, quarantine_path: str, load_id: str) -> None:
+    """Raise unless every page has as many rows, table and quarantine together, as records have landed."""
+    here = F.col("load_id") == load_id
+    parts = []
+    if sink.path_exists(spark, f"{table_path.rstrip('/')}/source_id={cfg.source_id}/load_id={load_id}"):
+        parts.append(sink.read_table(spark, table_path).filter((F.col("source_id") == cfg.source_id) & here).select("page"))
+    if sink.path_exists(spark, f"{quarantine_path.rstrip('/')}/load_id={load_id}"):
+        parts.append(spark.read.parquet(quarantine_path).filter(here).select("page"))
+    found = spark.createDataFrame([], "page bigint") if not parts else parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+    planned = pages.landed_pages(spark, landing_path, cfg.source_id, load_id).filter("n_records > 0").withColumnRenamed("n_records", "planned")
+    wrong = audit.reconcile(planned, found.groupBy("page").agg(F.count(F.lit(1)).alias("landed"))).filter(F.col("status") != "ok")
+    first = wrong.agg(F.count(F.lit(1)).alias("n"), F.min_by("status", "page").alias("status"), F.min("page").alias("page")).first()
+    if first["n"]:
+        raise IncompleteLoad(f"{first['n']} pages differ between landing zone and table, the first is page {first['page']} ({first['status']})")
+
+
 def _with_start_date(fetch: Callable[[dict], str | None], start: str) -> Callable[[dict], str | None]:
     def dated(request: dict) -> str | None:
         return fetch({**request, "start_date": start})

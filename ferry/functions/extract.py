@@ -4,6 +4,19 @@ Bodies are parsed once into a VARIANT (JSON with ``try_parse_json``, XML with
 ``from_xml(..., 'variant')``), the record list is found at a dotted path and
 exploded with its position. All of it is built-in, JVM-side expressions.
 
+JSON: of a key that an object repeats, the last value counts.
+
+XML: every value keeps its text. Spark's reader would turn ``0012`` into 12 and
+``1e3`` into 1000, so texts and attribute values are put between two marks
+(``_MARK``, a private-use character, which is dropped from values that hold it)
+before the reader sees them. Of the marked values only those become numbers or
+booleans that read back as the same text: whole numbers of up to 18 digits and
+fractions of up to 15 without leading or trailing zeros (but for ``7.0``),
+``true`` and ``false``.
+Namespace declarations are no fields. Prefixes are dropped from names unless
+``prefixes`` is set, which keeps elements of two namespaces apart; a path's names
+then match with or without their prefix. Text of blanks only counts as empty.
+
 Paths are dotted (``data.items``). For XML the root element is the row, so a
 path starts below it (``item`` for ``<root><item/>...</root>``). For SOAP
 bodies namespaces are ignored and the records are looked up below ``Body``
@@ -13,12 +26,29 @@ and below each child of ``Body`` (the operation's response wrapper).
 from __future__ import annotations
 
 import re
-from typing import Sequence
+from contextlib import contextmanager
+from typing import Iterator, Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 _PLAIN = re.compile(r"^[A-Za-z_][A-Za-z0-9_]*$")
+_MARK = "\ue0f0"
+#: What is done to an XML body before it is parsed: no declarations, marks around every value.
+_MARKED = (
+    (_MARK, ""),
+    (r"<\?xml[^>]*\?>", ""),
+    (r"\sxmlns(?::[^\s=<>]+)?\s*=\s*(?:\"[^\"]*\"|'[^']*')", ""),
+    (r"(\s[^\s=<>\"'/]+\s*=\s*\")([^\"<]*)\"", f'$1{_MARK}$2{_MARK}"'),
+    (r"(\s[^\s=<>\"'/]+\s*=\s*')([^'<]*)'", f"$1{_MARK}$2{_MARK}'"),
+    (r"<!\[CDATA\[", f"<![CDATA[{_MARK}"),
+    (r"\]\]>", f"{_MARK}]]>"),
+    (r">([^<>]*[^<>\s][^<>]*)<", f">{_MARK}$1{_MARK}<"),
+)
+#: Marked values that a number or boolean gives back as they are.
+_EXACT = f'"{_MARK}(0|-?[1-9][0-9]{{0,17}}|true|false|(?!-?0[.]000)-?(?:0|[1-9][0-9]{{0,6}})[.][0-9]{{0,7}}[1-9]){_MARK}"'
+#: Whole numbers written as fractions; with an exponent they become doubles, which keep their ".0".
+_POINT_ZERO = f'"{_MARK}(-?(?:0|[1-9][0-9]{{0,6}})[.]0){_MARK}"'
 
 
 def variant_path(field: str | None) -> str:
@@ -31,32 +61,64 @@ def variant_path(field: str | None) -> str:
     return "".join(out)
 
 
-def parse_body(body: Column, response_format: str = "json") -> Column:
-    """Body text -> VARIANT; an unparseable body gives NULL (no task failure)."""
+@contextmanager
+def last_key_wins(spark: SparkSession) -> Iterator[None]:
+    """Plans made inside read JSON objects that repeat a key; the session's setting is put back."""
+    name = "spark.sql.variant.allowDuplicateKeys"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
+def parse_body(body: Column, response_format: str = "json", prefixes: bool = False) -> Column:
+    """Body text -> VARIANT; an unparseable body gives NULL (no task failure).
+
+    For JSON the plan must be made inside ``last_key_wins``, else an object with a repeated key is unparseable.
+    """
     if response_format == "json":
         return F.try_parse_json(body)
     if response_format == "xml":
-        return F.from_xml(body, "variant", {"ignoreNamespace": "true", "mode": "PERMISSIVE"})
+        for pattern, by in _MARKED:
+            body = F.regexp_replace(body, pattern, by)
+        options = {"ignoreNamespace": "false" if prefixes else "true", "mode": "PERMISSIVE"}
+        # inside a higher-order function, because the generated code of from_xml into a variant does not compile in Spark 4.1
+        parsed = F.get(F.transform(F.array(body), lambda b: F.from_xml(b, "variant", options)), 0)
+        text = F.regexp_replace(F.regexp_replace(F.to_json(parsed), _EXACT, "$1"), _POINT_ZERO, "$1E0")
+        return F.try_parse_json(F.replace(text, F.lit(_MARK), F.lit("")))
     raise ValueError(f"unknown response format {response_format!r}")
 
 
-def _records_at(v: Column, field: str | None) -> Column:
+def _child(v: Column, name: str) -> Column:
+    """The value of a key, or of the first key with that local name."""
+    fields = F.try_variant_get(v, "$", "map<string,variant>")
+    local = F.filter(F.map_entries(fields), lambda e: F.substring_index(e["key"], ":", -1) == name)
+    return F.coalesce(F.try_variant_get(v, variant_path(name) if ":" not in name else f"$['{name}']", "variant"), F.get(local, 0)["value"])
+
+
+def _records_at(v: Column, field: str | None, prefixes: bool = False) -> Column:
     """ARRAY<VARIANT> at a path: an array as is, a single object wrapped, else NULL."""
+    if prefixes and field:
+        for name in field.split("."):
+            v = _child(v, name)
+        field = None
     path = variant_path(field)
     arr = F.try_variant_get(v, path, "array<variant>")
     one = F.try_variant_get(v, path, "variant")
     return F.when(arr.isNotNull(), arr).when(F.schema_of_variant(one).startswith("OBJECT"), F.array(one))
 
 
-def records_column(parsed: Column, field: str | None, soap: bool = False) -> Column:
+def records_column(parsed: Column, field: str | None, soap: bool = False, prefixes: bool = False) -> Column:
     """The record list of one parsed body as ARRAY<VARIANT>."""
     if not soap:
-        return _records_at(parsed, field)
-    body = F.try_variant_get(parsed, "$.Body", "variant")
-    direct = _records_at(body, field)
+        return _records_at(parsed, field, prefixes)
+    body = _child(parsed, "Body") if prefixes else F.try_variant_get(parsed, "$.Body", "variant")
+    direct = _records_at(body, field, prefixes)
     children = F.try_variant_get(body, "$", "map<string,variant>")
     nested = F.flatten(
-        F.filter(F.transform(F.map_values(children), lambda c: _records_at(c, field)), lambda a: a.isNotNull())
+        F.filter(F.transform(F.map_values(children), lambda c: _records_at(c, field, prefixes)), lambda a: a.isNotNull())
     )
     return F.coalesce(direct, F.when(F.size(nested) > 0, nested))
 
@@ -70,10 +132,11 @@ def count_column(parsed: Column, count_field: str) -> Column:
 OK, UNPARSEABLE, NO_RECORDS = "ok", "unparseable", "no_records"
 
 
-def body_status(body: Column, data_field: str | None, response_format: str = "json", soap: bool = False) -> tuple[Column, Column]:
+def body_status(body: Column, data_field: str | None, response_format: str = "json", soap: bool = False,
+                prefixes: bool = False) -> tuple[Column, Column]:
     """``(status, n_records)`` of a body. In XML an empty list looks like a missing one and counts as 0 records."""
-    parsed = parse_body(body, response_format)
-    recs = records_column(parsed, data_field, soap)
+    parsed = parse_body(body, response_format, prefixes)
+    recs = records_column(parsed, data_field, soap, prefixes)
     missing = F.lit(OK if response_format == "xml" else NO_RECORDS)
     status = F.when(parsed.isNull(), F.lit(UNPARSEABLE)).when(recs.isNull(), missing).otherwise(F.lit(OK))
     return status, F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint")
@@ -86,15 +149,17 @@ def extract_records(
     soap: bool = False,
     body_col: str = "body",
     keep: Sequence[str] = ("page",),
+    prefixes: bool = False,
 ) -> DataFrame:
     """Bodies -> one row per record: ``keep`` columns, ``pos`` and ``record`` (VARIANT).
 
     ``pos`` is the record's 0-based place in its body, so ``(page, pos)``
     identifies a record within a load.
     """
-    parsed = parse_body(F.col(body_col), response_format)
-    recs = records_column(parsed, data_field, soap)
-    return bodies.select(*keep, F.posexplode(recs).alias("pos", "record"))
+    parsed = parse_body(F.col(body_col), response_format, prefixes)
+    recs = records_column(parsed, data_field, soap, prefixes)
+    with last_key_wins(bodies.sparkSession):
+        return bodies.select(*keep, F.posexplode(recs).alias("pos", "record"))
 
 
 def body_summary(
@@ -105,17 +170,19 @@ def body_summary(
     soap: bool = False,
     body_col: str = "body",
     keep: Sequence[str] = ("page",),
+    prefixes: bool = False,
 ) -> DataFrame:
     """Per body: parse status, announced total (C1) and records found."""
-    parsed = parse_body(F.col(body_col), response_format)
-    recs = records_column(parsed, data_field, soap)
+    parsed = parse_body(F.col(body_col), response_format, prefixes)
+    recs = records_column(parsed, data_field, soap, prefixes)
     total = count_column(parsed, count_field) if count_field else F.lit(None).cast("bigint")
-    return bodies.select(
-        *keep,
-        F.when(parsed.isNull(), F.lit(UNPARSEABLE))
-        .when(recs.isNull(), F.lit(NO_RECORDS))
-        .otherwise(F.lit(OK))
-        .alias("status"),
-        total.alias("total"),
-        F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint").alias("n_records"),
-    )
+    with last_key_wins(bodies.sparkSession):
+        return bodies.select(
+            *keep,
+            F.when(parsed.isNull(), F.lit(UNPARSEABLE))
+            .when(recs.isNull(), F.lit(NO_RECORDS))
+            .otherwise(F.lit(OK))
+            .alias("status"),
+            total.alias("total"),
+            F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint").alias("n_records"),
+        )

@@ -7,10 +7,15 @@ is its latest row, whatever the status. Nothing is updated in place.
 
 from __future__ import annotations
 
+import hashlib
+import time
 import uuid
+from contextlib import contextmanager
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from typing import Iterator
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
@@ -81,6 +86,66 @@ def _aware(t: datetime | None) -> datetime | None:
     return t.astimezone(timezone.utc) if t is not None else None
 
 
+class RunInProgress(RuntimeError):
+    """Another run of the pair holds its claim."""
+
+
+def _claim_path(path: str, source_id: str, destination_id: str) -> str:
+    name = hashlib.sha256(f"{source_id}\n{destination_id}".encode()).hexdigest()[:32]
+    return f"{path.rstrip('/')}/_claims/{name}"  # "_": skipped by Spark's file listing
+
+
+@contextmanager
+def claim(spark: SparkSession, path: str, source_id: str, destination_id: str, seconds: int) -> Iterator[None]:
+    """Hold the only claim on a (source, destination) pair.
+
+    A claim is a file that the store creates only if it is not there, so of two
+    runs that start at once one gets it. The file's time tells its age: a claim of
+    ``seconds`` is over, as its holder must have died. It is then renamed
+    away, which also only one run can do, before a new one is made.
+    """
+    sc = spark.sparkContext
+    target = sc._jvm.org.apache.hadoop.fs.Path(_claim_path(path, source_id, destination_id))
+    fs = target.getFileSystem(sc._jsc.hadoopConfiguration())
+    fs.mkdirs(target.getParent())
+    holder = uuid.uuid4().hex
+
+    def take() -> bool:
+        try:
+            out = fs.create(target, False)
+        except Py4JJavaError as e:
+            if "AlreadyExists" in e.java_exception.getClass().getName():
+                return False
+            raise
+        try:
+            out.write(bytearray(holder.encode()))
+        finally:
+            out.close()
+        return True
+
+    def holder_now() -> str | None:
+        try:
+            stream = fs.open(target)
+        except Py4JJavaError:
+            return None
+        try:
+            return sc._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+        finally:
+            stream.close()
+
+    if not take():
+        age = time.time() - fs.getFileStatus(target).getModificationTime() / 1000 if fs.exists(target) else seconds
+        gone = sc._jvm.org.apache.hadoop.fs.Path(f"{target.toString()}.over-{holder}")
+        if age < seconds or fs.exists(target) and not fs.rename(target, gone) or not take():
+            raise RunInProgress(f"another run of {source_id!r} to {destination_id!r} is in progress")
+        fs.delete(gone, False)
+    try:
+        yield
+    finally:
+        if holder_now() == holder:  # not a later run's, after this one's time was over
+            fs.delete(target, False)
+
+
 def open_run(spark: SparkSession, path: str, source_id: str, destination_id: str, now: datetime | None = None) -> RunRecord:
     """M1: resume the latest unfinished run of the pair, or start a new one."""
     now = now or _now()

@@ -1,9 +1,12 @@
 """Dynamic record schema: census, inference, merge, diff, ignore, conform.
 
-Type rules (the same as Spark's JSON inference): string -> STRING,
-integer -> BIGINT, fraction -> DOUBLE, bool -> BOOLEAN, object -> STRUCT,
-array -> ARRAY, null-only -> STRING. Conflicts: BIGINT with DOUBLE -> DOUBLE,
-anything else -> STRING. Integers beyond BIGINT are DOUBLE.
+Type rules: string -> STRING, integer -> BIGINT, fraction -> DOUBLE, bool ->
+BOOLEAN, object -> STRUCT, array -> ARRAY, null-only -> STRING. Integers beyond
+BIGINT are DECIMAL(p, 0) of as many digits as the longest one has (up to 38;
+longer ones are fractions to Spark). Whole numbers form a chain BIGINT <
+DECIMAL(p, 0) < STRING, along which merging and widening keep every digit.
+Conflicts: BIGINT with DOUBLE -> DOUBLE, anything else -> STRING. A field that
+holds wide integers beside fractions in one load is DOUBLE.
 
 Inference is one aggregate over all records (``schema_of_variant_agg``, partial
 in every task); the driver receives one schema text.
@@ -53,8 +56,10 @@ def census(records: DataFrame, record_col: str = "record") -> DataFrame:
 def infer_schema(records: DataFrame, record_col: str = "record") -> StructType:
     """G1: the merged Spark schema of all object records (see module doc)."""
     v = F.col(record_col)
-    merged = records.agg(F.schema_of_variant_agg(F.when(is_object(v), v)).alias("s")).first()["s"]
-    found = variant_type(merged)
+    # a whole number beside a fraction without decimals (1 and 2.0) merges to a DECIMAL(20, 0) as well: only a value of its own tells
+    wide = F.schema_of_variant(v).rlike(r"DECIMAL\((19|[23]\d),0\)")
+    row = records.agg(F.schema_of_variant_agg(F.when(is_object(v), v)).alias("s"), F.max(wide).alias("wide")).first()
+    found = variant_type(row["s"], bool(row["wide"]))
     if not isinstance(found, StructType):
         return StructType([])
     check_names(found)
@@ -79,8 +84,11 @@ _TOKEN = re.compile(r"`(?:[^`]|``)*`|DECIMAL\(\d+,\d+\)|[^<>,:\s]+|[<>,:]")
 _SCALARS = {"BIGINT": LongType(), "DOUBLE": DoubleType(), "FLOAT": DoubleType(), "BOOLEAN": BooleanType()}
 
 
-def variant_type(text: str) -> DataType:
-    """The Spark type for a variant schema text such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>`` (rules in the module doc)."""
+def variant_type(text: str, wide: bool = True) -> DataType:
+    """The Spark type for a variant schema text such as ``OBJECT<a: BIGINT, b: ARRAY<VOID>>`` (rules in the module doc).
+
+    ``wide``: whether there is an integer beyond BIGINT at all.
+    """
     tokens = iter(_TOKEN.findall(text))
 
     def parse(token: str) -> DataType:
@@ -101,7 +109,8 @@ def variant_type(text: str) -> DataType:
                     name = next(tokens)
             return StructType(fields)
         if token.startswith("DECIMAL"):
-            return DoubleType()
+            digits, scale = map(int, re.findall(r"\d+", token))
+            return DecimalType(digits, 0) if wide and digits > 18 and not scale else DoubleType()
         return _SCALARS.get(token, StringType())
 
     return parse(next(tokens))
@@ -109,6 +118,14 @@ def variant_type(text: str) -> DataType:
 
 # ----------------------------------------------------------------- merge
 
+def _is_whole(t: DataType) -> bool:
+    return isinstance(t, _INTEGRAL) or isinstance(t, DecimalType) and t.scale == 0
+
+
+def _digits(t: DataType) -> int:
+    return t.precision if isinstance(t, DecimalType) else 19
+
+
 def merge_types(a: DataType, b: DataType) -> DataType:
     if a == b:
         return a
@@ -122,6 +139,10 @@ def merge_types(a: DataType, b: DataType) -> DataType:
         return ArrayType(merge_types(a.elementType, b.elementType), True)
     if isinstance(a, _INTEGRAL) and isinstance(b, _INTEGRAL):
         return LongType()
+    if _is_whole(a) and _is_whole(b):
+        return DecimalType(max(_digits(a), _digits(b)), 0)
+    if any(isinstance(t, DecimalType) and t.scale == 0 for t in (a, b)):
+        return StringType()  # next to a fraction a double would lose digits
     if isinstance(a, _INTEGRAL + _FRACTIONAL) and isinstance(b, _INTEGRAL + _FRACTIONAL):
         return DoubleType()
     return StringType()

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StringType, StructField, StructType, TimestampType
 
-from ferry.functions.extract import OK, body_status
+from ferry.functions.extract import OK, body_status, last_key_wins
 from ferry.operators.sink import check_partition_value, path_exists
 
 BODY_SCHEMA = StructType([StructField("page", LongType()), StructField("body", StringType())])
@@ -115,14 +115,15 @@ def land(
     data_field: str | None = None,
     response_format: str = "json",
     soap: bool = False,
+    prefixes: bool = False,
 ) -> None:
     """Append one wave of bodies, each with its parse status and record count, to the landing zone (one Spark job)."""
-    status, n_records = body_status(F.col("body"), data_field, response_format, soap)
+    status, n_records = body_status(F.col("body"), data_field, response_format, soap, prefixes)
     check_partition_value(source_id)
     check_partition_value(load_id)
     ts = datetime.now(timezone.utc)
-    (
-        bodies.select(
+    with last_key_wins(bodies.sparkSession):
+        rows = bodies.select(
             F.col("page").cast("bigint"),
             F.col("body"),
             status.alias("status"),
@@ -132,10 +133,7 @@ def land(
             F.lit(source_id).alias("source_id"),
             F.lit(load_id).alias("load_id"),
         )
-        .write.mode("append")
-        .partitionBy("source_id", "load_id")
-        .parquet(landing_path)
-    )
+    rows.write.mode("append").partitionBy("source_id", "load_id").parquet(landing_path)
 
 
 def landed(spark: SparkSession, landing_path: str, source_id: str | None = None, load_id: str | None = None) -> DataFrame:
@@ -151,9 +149,9 @@ def landed(spark: SparkSession, landing_path: str, source_id: str | None = None,
 
 
 def landed_pages(spark: SparkSession, landing_path: str, source_id: str, load_id: str) -> DataFrame:
-    """``page, n_records`` of the pages landed whole for a load: their most complete good body."""
+    """``page, n_records`` of the pages landed for a load: their latest good body, the one that ``read_bodies`` reads."""
     good = landed(spark, landing_path, source_id, load_id).filter(F.col("status") == OK)
-    return good.groupBy("page").agg(F.max("n_records").alias("n_records"))
+    return good.groupBy("page").agg(F.max_by("n_records", F.struct("fetched_at", "wave")).alias("n_records"))
 
 
 def bad_bodies(spark: SparkSession, landing_path: str, source_id: str, load_id: str) -> DataFrame:

@@ -527,6 +527,73 @@ def q_stream_ingest(spark, d):
                       F.col("o_orderdate").cast("timestamp_ntz").alias("o_orderdate"))
 
 
+def q_stream_quarantine(spark, d):
+    """A stream with planted bad bodies: per page what became of it, and the records that were loaded."""
+    from ferry.streaming.ingest import ingest_landed_stream, read_stream_quarantine
+
+    pages_ = orders_pages(spark, d)
+    body = (F.when(F.col("page") % 7 == 3, F.concat(F.lit("<html>error "), "page", F.lit("</html>")))
+            .when(F.col("page") % 7 == 5, F.concat(F.lit('{"total": 0, "page": '), "page", F.lit("}")))
+            .when(F.col("page") % 7 == 6, F.regexp_replace("body", r"^[{]", '{"total": -1, ')).otherwise(F.col("body")))
+    src, path = scratch_path(spark, "stream-src"), scratch_path(spark, "stream-table")
+    pages_.select("page", body.alias("body")).write.parquet(src)
+    ingest_landed_stream(spark, _inbound_cfg("orders"), src, path, load_prefix="s", load_ts=LOAD_TS, user=LOADER)
+    loaded = sink.read_table(spark, path).groupBy("page").agg(F.count(F.lit(1)).alias("n"), F.sum("data_payload.o_orderkey").alias("keys"))
+    bad = read_stream_quarantine(spark, path)
+    return loaded.select("page", F.lit("ok").alias("status"), "n", "keys").unionByName(
+        bad.groupBy("page", "status").agg(F.lit(0).cast("bigint").alias("n"), F.lit(None).cast("bigint").alias("keys")))
+
+
+def q_xml_text_values(spark, d):
+    """Values that look like numbers but are texts, in elements, attributes and two namespaces, through a typed load."""
+    o = table(spark, d, "orders").select("o_orderkey", "o_custkey")
+    key = F.col("o_orderkey").cast("string")
+    item = F.concat(
+        F.lit('<item id="0'), key, F.lit('"><code>00'), key, F.lit("</code><power>"), key, F.lit("e3</power><plain>"), key, F.lit("</plain><space>  "),
+        key, F.lit(" </space><a:x>"), key, F.lit("</a:x><b:x>"), F.col("o_custkey").cast("string"), F.lit("</b:x></item>"))
+    grouped = o.select(F.floor(F.col("o_orderkey") / PAGE).alias("page"), F.struct("o_orderkey", item.alias("x")).alias("i"))
+    grouped = grouped.groupBy("page").agg(F.array_join(F.transform(F.sort_array(F.collect_list("i")), lambda i: i["x"]), "").alias("items"))
+    body = F.concat(F.lit('<?xml version="1.0"?><r xmlns:a="urn:a" xmlns:b="urn:b">'), "items", F.lit("</r>"))
+    cfg = ExchangeConfig("orders", response_format="xml", data_field="item", namespace="urn:a")
+    path = scratch_path(spark, "xml-table")
+    flows.load_landed(spark, cfg, grouped.select("page", body.alias("body")), path, "l1", LOAD_TS, LOADER)
+    r = F.col("data_payload")
+    return sink.read_table(spark, path).select(
+        "page", "pos", r["_id"].alias("id"), r["code"].alias("code"), r["power"].alias("power"), r["plain"].alias("plain"), r["space"].alias("space"),
+        r["a:x"].alias("ax"), r["b:x"].alias("bx"))
+
+
+def q_wide_integers(spark, d):
+    """Ids of 20 digits, loaded after a load of short ones: the stored type widens and every digit stays."""
+    o = table(spark, d, "orders")
+    wide = F.concat(F.lit("1234567890"), F.lpad(F.col("o_orderkey").cast("string"), 10, "0")).cast("decimal(20,0)")
+    path, cfg = scratch_path(spark, "wide-table"), _inbound_cfg("orders")
+    for load, odd, id_ in (("l1", 0, F.col("o_orderkey")), ("l2", 1, wide)):
+        rows = o.filter(F.col("o_orderkey") % 2 == odd).select("o_orderkey", id_.alias("id"))
+        bodies = json_pages(rows, F.floor(F.col("o_orderkey") / PAGE), ["o_orderkey"])
+        flows.load_landed(spark, cfg, bodies, path, load, LOAD_TS, LOADER, on_type_change="widen")
+    r = F.col("data_payload")
+    return sink.read_table(spark, path).select("load_id", r["o_orderkey"].alias("o_orderkey"), r["id"].cast("string").alias("id"))
+
+
+def q_inbound_reconciliation(spark, d):
+    """Landed records against the table's rows, by content: a clean load, and one whose table lost, doubled and altered rows."""
+    bodies, cfg = orders_pages(spark, d), _inbound_cfg("orders")
+    path, spoilt = scratch_path(spark, "rec-table"), scratch_path(spark, "rec-spoilt")
+    flows.load_landed(spark, cfg, bodies, path, "l1", LOAD_TS, LOADER)
+    rows = sink.read_table(spark, path)
+    key, first = F.col("data_payload.o_orderkey"), F.col("pos") == 0
+    rows = rows.filter(~((F.col("page") % 5 == 1) & first))
+    rows = rows.withColumn("_n", F.when((F.col("page") % 5 == 2) & first, F.sequence(F.lit(1), F.lit(2))).otherwise(F.array(F.lit(1))))
+    rows = rows.withColumn("_n", F.explode("_n")).drop("_n")
+    altered = F.when((F.col("page") % 5 == 3) & first, F.col("data_payload").withField("o_orderkey", key + 1)).otherwise(F.col("data_payload"))
+    rows = rows.filter(F.col("page") % 5 != 4).withColumn("data_payload", altered)
+    sink.save_schema(spark, spoilt, sink.load_schema(spark, path))
+    sink.write_partitions(rows, spoilt)
+    out = [flows.content_reconciliation(spark, cfg, bodies, p, "l1").withColumn("tried", F.lit(n)) for p, n in ((path, "clean"), (spoilt, "spoilt"))]
+    return out[0].unionByName(out[1]).select("tried", "page", "landed", "rejected", "loaded", "status")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_table": q_filter_table,
     "row_count": q_row_count,
@@ -567,6 +634,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "delivery_digest": q_delivery_digest,
     "outbound_resume": q_outbound_resume,
     "stream_ingest": q_stream_ingest,
+    "stream_quarantine": q_stream_quarantine,
+    "xml_text_values": q_xml_text_values,
+    "wide_integers": q_wide_integers,
+    "inbound_reconciliation": q_inbound_reconciliation,
 }
 
 
@@ -596,6 +667,28 @@ def _census_schema(cols: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "stream_quarantine": """
+SELECT CAST(o_orderkey // 100 AS BIGINT) AS page,
+       CASE WHEN (o_orderkey // 100) % 7 = 3 THEN 'unparseable' WHEN (o_orderkey // 100) % 7 = 5 THEN 'no_records' ELSE 'ok' END AS status,
+       CASE WHEN (o_orderkey // 100) % 7 IN (3, 5) THEN 0 ELSE count(*) END AS n,
+       CASE WHEN (o_orderkey // 100) % 7 IN (3, 5) THEN NULL ELSE CAST(sum(o_orderkey) AS BIGINT) END AS keys
+FROM orders GROUP BY o_orderkey // 100""",
+    "xml_text_values": """
+SELECT CAST(o_orderkey // 100 AS BIGINT) AS page,
+       CAST(row_number() OVER (PARTITION BY o_orderkey // 100 ORDER BY o_orderkey) - 1 AS BIGINT) AS pos,
+       '0' || o_orderkey AS id, '00' || o_orderkey AS code, o_orderkey || 'e3' AS power, CAST(o_orderkey AS BIGINT) AS plain,
+       '  ' || o_orderkey || ' ' AS space, CAST(o_orderkey AS BIGINT) AS ax, CAST(o_custkey AS BIGINT) AS bx
+FROM orders""",
+    "wide_integers": """
+SELECT CASE WHEN o_orderkey % 2 = 0 THEN 'l1' ELSE 'l2' END AS load_id, o_orderkey,
+       CASE WHEN o_orderkey % 2 = 0 THEN CAST(o_orderkey AS VARCHAR) ELSE '1234567890' || lpad(CAST(o_orderkey AS VARCHAR), 10, '0') END AS id
+FROM orders""",
+    "inbound_reconciliation": """
+WITH p AS (SELECT CAST(o_orderkey // 100 AS BIGINT) AS page, count(*) AS n FROM orders GROUP BY ALL)
+SELECT 'clean' AS tried, page, n AS landed, CAST(0 AS BIGINT) AS rejected, n AS loaded, 'ok' AS status FROM p
+UNION ALL
+SELECT 'spoilt', page, n, CAST(0 AS BIGINT), CASE page % 5 WHEN 1 THEN n - 1 WHEN 2 THEN n + 1 WHEN 4 THEN 0 ELSE n END,
+       CASE page % 5 WHEN 1 THEN CASE WHEN n = 1 THEN 'missing' ELSE 'short' END WHEN 2 THEN 'extra' WHEN 3 THEN 'altered' WHEN 4 THEN 'missing' ELSE 'ok' END FROM p""",
     "filter_table": "SELECT * FROM events WHERE value < 30",
     "row_count": "SELECT count(*) AS n FROM orders",
     "head_n": "SELECT * FROM orders ORDER BY o_orderkey LIMIT 10",
