@@ -35,6 +35,8 @@ log = logging.getLogger("ferry")
 
 #: Batches sent and logged per Spark job, for each core.
 BATCHES_PER_CORE = 64
+SNAPSHOT = "batch_num bigint, n bigint, body string, wave int"
+DELIVERY_LOG = f"{delivery.DELIVERY_SCHEMA}, delivered_at timestamp, audit_id string, wave int"
 
 
 class SchemaConflict(RuntimeError):
@@ -54,6 +56,7 @@ class LoadResult:
     loaded_obj_count: int = 0
     target_count: int = 0
     quarantined: int = 0
+    rejected: int = 0
     schema: StructType | None = None
     diff: dict = field(default_factory=dict)
 
@@ -190,6 +193,18 @@ def land_all_pages(
     return None, pages.landed_pages(spark, *where).count()
 
 
+def rejects_location(table_path: str) -> str:
+    return f"{table_path.rstrip('/')}_rejects"
+
+
+def read_rejects(spark: SparkSession, table_path: str) -> DataFrame:
+    """``page, pos, path, text, load_id``: the values that loads with ``on_type_change="reject"`` could not type."""
+    schema, path = "page bigint, pos int, path string, text string, load_id string", rejects_location(table_path)
+    if not sink.path_exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
+
+
 def load_landed(
     spark: SparkSession,
     cfg: ExchangeConfig,
@@ -208,17 +223,20 @@ def load_landed(
 
     ``on_type_change``: ``"fail"`` raises ``SchemaConflict`` when a stored
     field would change type; ``"widen"`` first rewrites the stored rows with
-    the widened type (see ``ferry.operators.evolve``). Records that do not fit,
-    or are no objects, go to ``quarantine_path`` (default: beside the table).
+    the widened type (see ``ferry.operators.evolve``); ``"reject"`` keeps the
+    stored types: a value that does not fit is NULL in its row and kept as text in
+    ``read_rejects``, the record's other fields are loaded. Records that do not
+    fit, or are no objects, go to ``quarantine_path`` (default: beside the table).
     A load without records writes nothing and is no failure.
     """
-    if on_type_change not in ("fail", "widen"):
-        raise ValueError("on_type_change must be 'fail' or 'widen'")
+    if on_type_change not in ("fail", "widen", "reject"):
+        raise ValueError("on_type_change must be 'fail', 'widen' or 'reject'")
     records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace))
     existing = tables.existing_payload_schema(spark, table_path)
     # ignored fields are dropped from what comes in, never from what is stored
     inferred = sch.drop_fields(sch.infer_schema(records), ignore)
-    current = sch.merge_schemas(existing, inferred)
+    by_field = on_type_change == "reject"
+    current = (sch.keep_stored if by_field else sch.merge_schemas)(existing, inferred)
     sch.check_names(current)
     quarantine_path = quarantine_path or f"{table_path.rstrip('/')}_quarantine"
     diff = sch.schema_diff(existing, current)
@@ -229,22 +247,33 @@ def load_landed(
         evolve.widen_table(spark, table_path, current)
     if schema_audit_path and (diff.only_in_current or ignore):
         sch.schema_audit_rows(spark, table_path, diff, list(ignore), ts).write.mode("append").parquet(schema_audit_path)
-    typed = sch.conform(records, current)
+    typed = (sch.conform_fields if by_field else sch.conform)(records, current)
     seen = Observation("ferry_records")
-    typed = typed.observe(seen, F.count(F.lit(1)).alias("all"), F.count(sch.CORRUPT).alias("bad"))
-    written = 0
+    lost = F.sum(F.size("rejects")) if by_field else F.lit(0)
+    typed = typed.observe(seen, F.count(F.lit(1)).alias("all"), F.count(sch.CORRUPT).alias("bad"), lost.alias("lost"))
+    written = rejected = 0
     if current.fields:
         sink.save_schema(spark, table_path, current)
-        good, _ = sch.split_corrupt(typed)
+        good, _ = sch.split_corrupt(typed.drop("rejects"))
         rows = env.envelope(env.blank_payload(good), cfg.source_id, load_id, ts, user)
         written = sink.write_partitions(rows, table_path, max_records_per_file=max_records_per_file)
-        quarantined = int(seen.get.get("bad", 0) or 0)
+        quarantined, rejected = int(seen.get.get("bad", 0) or 0), int(seen.get.get("lost", 0) or 0)
     else:  # no object anywhere: whatever is there does not fit
         quarantined = records.count()
     if written == 0:
         sink.drop_partition(spark, table_path, {"source_id": cfg.source_id, "load_id": load_id})
+    rejects_path = rejects_location(table_path)
+    if rejected:
+        each = sch.conform_fields(records, current).select("page", "pos", F.explode("rejects").alias("r"))
+        (
+            each.select("page", "pos", "r.path", "r.text", F.lit(load_id).alias("load_id"))
+            .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id").parquet(rejects_path)
+        )
+    else:
+        sink.drop_partition(spark, rejects_path, {"load_id": load_id})
     if quarantined:  # the bodies are read once more only if something did not fit
-        _, bad = sch.split_corrupt(sch.conform(records.withColumn("_text", F.to_json("record")), current, keep=["page", "pos", "_text"]))
+        told = records.withColumn("_text", F.to_json("record"))
+        _, bad = sch.split_corrupt((sch.conform_fields if by_field else sch.conform)(told, current, keep=["page", "pos", "_text"]))
         (
             bad.select("page", "pos", F.col("_text").alias("record"), F.lit(load_id).alias("load_id"))
             .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("load_id")
@@ -253,7 +282,7 @@ def load_landed(
     else:  # a clean rerun must not leave the earlier run's rejects
         sink.drop_partition(spark, quarantine_path, {"load_id": load_id})
     return LoadResult(
-        audit_id=load_id, load_id=load_id, target_count=written, quarantined=quarantined,
+        audit_id=load_id, load_id=load_id, target_count=written, quarantined=quarantined, rejected=rejected,
         schema=current, diff=diff.as_dict(),
     )
 
@@ -316,7 +345,7 @@ def _run_inbound(spark, cfg, fetch, landing_path, table_path, audit_path, load_t
                           quarantine_path, on_type_change, max_records_per_file)
         _check_counts(spark, cfg, landing_path, table_path, quarantine_path or f"{table_path.rstrip('/')}_quarantine", load_id)
         if check_content and res.target_count:
-            bad = content_reconciliation(spark, cfg, bodies, table_path, load_id).filter(F.col("status") != "ok")
+            bad = content_reconciliation(spark, cfg, bodies, table_path, load_id, on_type_change == "reject").filter(F.col("status") != "ok")
             first = bad.orderBy("page").first()
             if first:
                 raise IncompleteLoad(f"page {first['page']} differs between landing zone and table: {first['status']}")
@@ -344,17 +373,18 @@ def _payload_digest(rows: DataFrame, count: str, digest: str) -> DataFrame:
     return rows.groupBy("page").agg(F.count(F.lit(1)).alias(count), sums.alias(digest))
 
 
-def content_reconciliation(spark: SparkSession, cfg: ExchangeConfig, bodies: DataFrame, table_path: str, load_id: str) -> DataFrame:
+def content_reconciliation(spark: SparkSession, cfg: ExchangeConfig, bodies: DataFrame, table_path: str, load_id: str,
+                           by_field: bool = False) -> DataFrame:
     """M4 by content: ``page, landed, rejected, loaded, status`` for every page of a load.
 
     The landed bodies' records, typed with the stored schema, against the table's
     rows: by number and by a multiset digest. ``status`` is ``ok``, ``missing``
     or ``unplanned`` (a page on one side only), ``short``, ``extra`` or, with the
-    right number of rows, ``altered``.
+    right number of rows, ``altered``. ``by_field``: the load kept records with rejected fields.
     """
     schema = sink.load_schema(spark, table_path) or StructType([])
     records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace))
-    good, bad = sch.split_corrupt(sch.conform(records, schema))
+    good, bad = sch.split_corrupt((sch.conform_fields if by_field else sch.conform)(records, schema))
     landed = _payload_digest(env.blank_payload(good), "landed", "_want").join(
         bad.groupBy("page").agg(F.count(F.lit(1)).alias("rejected")), "page", "full_outer")
     table = sink.read_table(spark, table_path).filter((F.col("source_id") == cfg.source_id) & (F.col("load_id") == load_id))
@@ -438,15 +468,21 @@ def run_outbound(
     n_blocks: int | None = None,
     parallelism: int | None = None,
     concurrency: int = 1,
+    lease_seconds: int = 6 * 3600,
 ) -> LoadResult:
-    """Query -> batches -> ``send``; resumes by skipping delivered batches."""
+    """Query -> batches -> ``send``; resumes by skipping delivered batches. Of two runs of a pair at once the second is refused."""
     if cfg.dataflow != "Outbound":
         raise ValueError("run_outbound needs an Outbound configuration")
     if not cfg.source_query:
         raise ValueError("an outbound flow needs source-query")
+    with audit.claim(spark, audit_path, cfg.source_id, cfg.destination_id, lease_seconds):
+        return _run_outbound(spark, cfg, send, audit_path, delivery_path, order_by, unique, n_blocks, parallelism, concurrency)
+
+
+def _run_outbound(spark, cfg, send, audit_path, delivery_path, order_by, unique, n_blocks, parallelism, concurrency) -> LoadResult:
     run = audit.open_run(spark, audit_path, cfg.source_id, cfg.destination_id)
     res = LoadResult(audit_id=run.audit_id, load_id=run.audit_id)
-    mine = F.col("audit_id") == run.audit_id
+    log_path = f"{delivery_path.rstrip('/')}/audit_id={run.audit_id}"
     # the run's batches as first numbered: a rerun sends from these, whatever has happened to the source
     snapshot = f"{delivery_path.rstrip('/')}_snapshot/{run.audit_id}"
     try:
@@ -459,24 +495,26 @@ def run_outbound(
                 args = {"start_date": start}
             df = tables.sql_source(spark, cfg.source_query, args)
             _, batches = outbound_batches(df, cfg, order_by, unique, n_blocks)
-            batches.write.mode("overwrite").parquet(snapshot)
-        batches = spark.read.schema("batch_num bigint, n bigint, body string").parquet(snapshot)
-        planned = batches.agg(F.count(F.lit(1)).alias("b"), F.sum("n").alias("rows")).first()
+            # a folder for each wave, so that a wave opens its own files only; a resumed run keeps the waves of the first
+            wave = F.floor((F.col("batch_num") - 1) / (BATCHES_PER_CORE * spark.sparkContext.defaultParallelism)).cast("int")
+            batches.withColumn("wave", wave).write.mode("overwrite").partitionBy("wave").parquet(snapshot)
+        batches = spark.read.schema(SNAPSHOT).parquet(snapshot)
+        planned = batches.agg(F.count(F.lit(1)).alias("b"), F.sum("n").alias("rows"), F.max("wave").alias("last")).first()
         res.source_count, res.total_obj_count = int(planned["rows"] or 0), int(planned["b"])
-        wave = BATCHES_PER_CORE * spark.sparkContext.defaultParallelism
-        for lo in range(1, res.total_obj_count + 1, wave):
+        for wave in range(planned["last"] + 1 if planned["b"] else 0):
             done = None
-            if sink.path_exists(spark, delivery_path):
-                done = spark.read.parquet(delivery_path).filter(mine)
-            todo = delivery.pending_batches(batches.filter((F.col("batch_num") >= lo) & (F.col("batch_num") < lo + wave)), done)
+            if sink.path_exists(spark, f"{log_path}/wave={wave}"):
+                done = spark.read.schema(DELIVERY_LOG).option("basePath", delivery_path).parquet(f"{log_path}/wave={wave}")
+            todo = delivery.pending_batches(batches.filter(F.col("wave") == wave).drop("wave"), done)
             (
                 delivery.deliver(todo, send, parallelism=parallelism, concurrency=concurrency)
                 .withColumn("audit_id", F.lit(run.audit_id))
+                .withColumn("wave", F.lit(wave))
                 .withColumn("delivered_at", F.current_timestamp())
-                .write.mode("append").partitionBy("audit_id").parquet(delivery_path)
+                .write.mode("append").partitionBy("audit_id", "wave").parquet(delivery_path)
             )
         if res.total_obj_count:
-            sent = spark.read.parquet(delivery_path).filter(mine & F.col("ok"))
+            sent = spark.read.schema(DELIVERY_LOG).option("basePath", delivery_path).parquet(log_path).filter(F.col("ok"))
             per_batch = sent.groupBy("batch_num").agg(F.max("n").alias("n"))  # a re-sent batch counts once
             agg = per_batch.agg(F.count(F.lit(1)).alias("b"), F.sum("n").alias("rows")).first()
             res.loaded_obj_count = int(agg["b"] or 0)

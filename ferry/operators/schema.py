@@ -162,6 +162,18 @@ def merge_schemas(existing: StructType, current: StructType) -> StructType:
     return StructType(out)
 
 
+def keep_stored(existing: StructType, current: StructType) -> StructType:
+    """``merge_schemas``, but no stored type changes: what does not fit it is for ``rejected_fields``."""
+    cur = {f.name: f.dataType for f in current.fields}
+
+    def kept(old: DataType, new: DataType | None) -> DataType:
+        return keep_stored(old, new) if isinstance(old, StructType) and isinstance(new, StructType) else old
+
+    out = [StructField(f.name, kept(f.dataType, cur.get(f.name)), True) for f in existing.fields]
+    have = set(existing.fieldNames())
+    return StructType(out + [StructField(f.name, f.dataType, True) for f in current.fields if f.name not in have])
+
+
 # ----------------------------------------------------------------- diff
 
 def flatten_schema(schema: StructType, prefix: str = "") -> list[tuple[str, str]]:
@@ -281,6 +293,40 @@ def conform(
     return rows.select(*keep, payload.alias(PAYLOAD), F.when(bad, F.coalesce(F.col("_r")[corrupt_col], F.lit(""))).alias(corrupt_col))
 
 
+def rejected_fields(record: Column, payload: Column, schema: StructType) -> Column:
+    """The record's values that its typed payload lost, as an array of ``(path, text)``.
+
+    A value is lost if the record has one and the payload has NULL. A list, or
+    a value where an object belongs, counts as one value.
+    """
+    none = F.array().cast("array<struct<path:string,text:string>>")
+
+    def of(fields: StructType, typed: Column, names: tuple[str, ...]) -> Column:
+        found = [none]
+        for f in fields.fields:
+            path = (*names, f.name)
+            value = F.try_variant_get(record, "$" + "".join("['" + n.replace("'", "\\'") + "']" for n in path), "variant")
+            text = F.coalesce(F.try_variant_get(value, "$", "string"), F.to_json(value))
+            lost = value.isNotNull() & (F.schema_of_variant(value) != "VOID") & typed[f.name].isNull()
+            item = F.array(F.struct(F.lit(".".join(path)).alias("path"), text.alias("text")))
+            inner = of(f.dataType, typed[f.name], path) if isinstance(f.dataType, StructType) else none
+            found.append(F.when(lost, item).otherwise(inner))
+        return F.concat(*found)
+
+    return of(schema, payload, ())
+
+
+def conform_fields(records: DataFrame, schema: StructType, record_col: str = "record", keep: Sequence[str] = ("page", "pos")) -> DataFrame:
+    """G6 field by field: ``conform`` whose rows keep every value that fits, with the others in ``rejects``.
+
+    The corrupt column is set for records that are no objects only.
+    """
+    rows = conform(records.select(*keep, F.col(record_col).alias("_record")), schema, "_record", [*keep, "_record"])
+    object_ = is_object(F.col("_record"))
+    lost = F.when(object_, rejected_fields(F.col("_record"), F.col(PAYLOAD), schema))
+    return rows.select(*keep, PAYLOAD, lost.alias("rejects"), F.when(~F.coalesce(object_, F.lit(False)), F.coalesce(CORRUPT, F.lit(""))).alias(CORRUPT))
+
+
 def split_corrupt(conformed: DataFrame, corrupt_col: str = CORRUPT) -> tuple[DataFrame, DataFrame]:
     """(good rows without the corrupt column, quarantined rows)."""
     good = conformed.filter(F.col(corrupt_col).isNull()).drop(corrupt_col)

@@ -32,9 +32,9 @@ def local_session(cpus: int | str = "*", shuffle_partitions: int = 8, app: str =
 def checkpoint_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
-    The cluster's setting always wins. Without one, a folder in the session's
-    own table store (``spark.sql.warehouse.dir``) is used, which executors and
-    driver share as well.
+    The cluster's setting always wins. Without one, a local session uses a
+    folder in its table store (``spark.sql.warehouse.dir``); on a cluster that
+    folder may be the driver's own, so there the setting is needed.
     """
     root = spark.conf.get("spark.checkpoint.dir", None)
     try:
@@ -50,6 +50,8 @@ def checkpoint_root(spark: SparkSession) -> str:
         current = sc.getCheckpointDir()
         if current:
             return current
+        if not sc.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir is unset: point it at a folder shared by the cluster")
         root = f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_ferry_checkpoints"
     if not sc.getCheckpointDir():
         sc.setCheckpointDir(root)

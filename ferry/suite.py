@@ -594,6 +594,23 @@ def q_inbound_reconciliation(spark, d):
     return out[0].unionByName(out[1]).select("tried", "page", "landed", "rejected", "loaded", "status")
 
 
+def q_field_rejects(spark, d):
+    """A second load whose ``qty`` does not always fit the stored BIGINT: every row is loaded, the values are kept as rejects."""
+    o = table(spark, d, "orders").select("o_orderkey")
+    key, path, cfg = F.col("o_orderkey"), scratch_path(spark, "reject-table"), _inbound_cfg("orders")
+    qty = F.when(key % 3 == 0, F.concat(F.lit('"n'), key.cast("string"), F.lit('"'))).when(key % 5 == 0, F.concat(key.cast("string"), F.lit(".5")))
+    for load, odd in (("l1", 0), ("l2", 1)):
+        text = key.cast("string") if not odd else F.coalesce(qty, key.cast("string"))
+        item = F.concat(F.lit('{"o_orderkey": '), key.cast("string"), F.lit(', "in": {"qty": '), text, F.lit("}}"))
+        rows = o.filter(key % 2 == odd).groupBy(F.floor(key / PAGE).alias("page"))
+        bodies = rows.agg(F.concat(F.lit('{"data": {"items": ['), F.array_join(F.collect_list(item), ", "), F.lit("]}}")).alias("body"))
+        flows.load_landed(spark, cfg, bodies, path, load, LOAD_TS, LOADER, on_type_change="reject")
+    r = F.col("data_payload")
+    rows = sink.read_table(spark, path).select("load_id", "page", "pos", r["o_orderkey"].alias("o_orderkey"), r["in"]["qty"].alias("qty"))
+    rejects = flows.read_rejects(spark, path).select("load_id", "page", "pos", "path", "text")
+    return rows.join(rejects, ["load_id", "page", "pos"], "left").select("load_id", "o_orderkey", "qty", "path", "text")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "filter_table": q_filter_table,
     "row_count": q_row_count,
@@ -638,6 +655,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "xml_text_values": q_xml_text_values,
     "wide_integers": q_wide_integers,
     "inbound_reconciliation": q_inbound_reconciliation,
+    "field_rejects": q_field_rejects,
 }
 
 
@@ -667,6 +685,12 @@ def _census_schema(cols: str) -> str:
 
 
 ORACLE_SQL: dict[str, str] = {
+    "field_rejects": """
+WITH r AS (SELECT o_orderkey, o_orderkey % 2 = 1 AS later, o_orderkey % 3 = 0 AS a, o_orderkey % 5 = 0 AS b FROM orders)
+SELECT CASE WHEN later THEN 'l2' ELSE 'l1' END AS load_id, o_orderkey, CASE WHEN later AND (a OR b) THEN NULL ELSE o_orderkey END AS qty,
+       CASE WHEN later AND (a OR b) THEN 'in.qty' END AS path,
+       CASE WHEN later AND a THEN 'n' || o_orderkey WHEN later AND b THEN o_orderkey || '.5' END AS text
+FROM r""",
     "stream_quarantine": """
 SELECT CAST(o_orderkey // 100 AS BIGINT) AS page,
        CASE WHEN (o_orderkey // 100) % 7 = 3 THEN 'unparseable' WHEN (o_orderkey // 100) % 7 = 5 THEN 'no_records' ELSE 'ok' END AS status,

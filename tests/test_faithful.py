@@ -7,10 +7,10 @@ import pytest
 from pyspark.sql import functions as F
 from pyspark.sql.types import DecimalType, DoubleType, LongType, StringType
 
-from ferry import ExchangeConfig
-from ferry.flows import IncompleteLoad, content_reconciliation, load_landed, run_inbound
+from ferry import ExchangeConfig, flows
+from ferry.flows import IncompleteLoad, content_reconciliation, load_landed, read_rejects, run_inbound
 from ferry.functions import extract
-from ferry.operators import audit, schema as sch, sink
+from ferry.operators import audit, delivery, schema as sch, sink
 from ferry.streaming.ingest import BadBodies, ingest_landed_stream, read_stream_quarantine
 
 
@@ -184,3 +184,39 @@ def test_one_claim_at_a_time(spark, tmp):
                     pass
     with audit.claim(spark, path, "s", "d", 100):
         pass
+
+
+def test_fields_that_do_not_fit_are_rejected_alone(spark, tmp):
+    cfg, path = ExchangeConfig("s", data_field="items"), f"{tmp}/t"
+    load = lambda name, items: load_landed(spark, cfg, _bodies(spark, [json.dumps({"items": items})]), path, name, on_type_change="reject")
+    assert load("l1", [{"a": 1, "o": {"b": True, "c": [1]}, "s": "x"}]).rejected == 0
+    second = [{"a": 2.5, "o": {"b": "no", "c": [2]}, "s": 7}, {"a": None, "o": 3, "s": "y", "new": 1}, {"a": 2**70, "o": {"b": False, "c": "z"}}, 5]
+    res = load("l2", second)
+    assert (res.target_count, res.quarantined, res.rejected) == (3, 1, 5)
+    rows = sink.read_table(spark, path).filter("load_id = 'l2'").orderBy("pos").select("data_payload.*").collect()
+    assert [(r["a"], r["o"] and (r["o"]["b"], r["o"]["c"]), r["s"], r["new"]) for r in rows] == [
+        (None, (None, [2]), "7", None), (None, None, "y", 1), (None, (False, None), None, None)]
+    got = {(r["pos"], r["path"]): r["text"] for r in read_rejects(spark, path).collect()}
+    assert got == {(0, "a"): "2.5", (0, "o.b"): "no", (1, "o"): "3", (2, "a"): str(2**70), (2, "o.c"): "z"}
+    bodies = _bodies(spark, [json.dumps({"items": second})])
+    assert [tuple(r) for r in content_reconciliation(spark, cfg, bodies, path, "l2", by_field=True).collect()] == [(0, 3, 1, 3, "ok")]
+    assert load("l2", [{"a": 4}]).rejected == 0 and read_rejects(spark, path).count() == 0
+
+
+def test_a_wave_opens_its_own_files_only(spark, tmp, monkeypatch):
+    monkeypatch.setattr(flows, "BATCHES_PER_CORE", 2)
+    spark.range(100).createOrReplaceTempView("numbers")
+    cfg = ExchangeConfig("lake", destination_id="api", dataflow="Outbound", api_dataformat="array_dict", api_limit=5, source_query="SELECT id FROM numbers")
+    opened = []
+    deliver = delivery.deliver
+
+    def watched(batches, *a, **k):
+        files = [r[0] for r in batches.select(F.input_file_name()).distinct().collect()]
+        opened.append({f.split("/wave=")[1].split("/")[0] for f in files})
+        return deliver(batches, *a, **k)
+
+    monkeypatch.setattr(delivery, "deliver", watched)
+    res = flows.run_outbound(spark, cfg, print, audit_path=f"{tmp}/audit", delivery_path=f"{tmp}/log", order_by=["id"], unique=True)
+    assert res.target_count == 100 and res.loaded_obj_count == 20
+    assert opened == [{str(w)} for w in range(len(opened))] and len(opened) == 3
+    assert spark.read.parquet(f"{tmp}/log").groupBy("wave").count().count() == 3
