@@ -142,9 +142,12 @@ def ablation(rows: DataFrame, policy: str = CURRENT_POLICY) -> DataFrame:
 
     ``n_alone`` documents fail this rule and no other of the policy;
     ``n_kept_without`` is what the policy would keep if it lacked the rule.
+    An empty ledger gives a row of zeros for every rule.
     """
     mask = policy_mask(policy)
     patterns = rows.groupBy("fail_bits").agg(F.count(F.lit(1)).alias("n"))
+    nothing = rows.sparkSession.range(1).select(F.lit(0).cast("bigint").alias("fail_bits"), F.lit(0).cast("bigint").alias("n"))
+    patterns = patterns.select(F.col("fail_bits").cast("bigint").alias("fail_bits"), "n").unionByName(nothing)
     bits = F.col("fail_bits").bitwiseAND(F.lit(mask).cast("bigint"))
     rules = F.explode(F.array(*[F.struct(F.lit(r).alias("rule"), F.lit(rule_bit(r)).cast("bigint").alias("bit")) for r in POLICIES[policy]]))
     each = patterns.select("n", bits.alias("bits"), rules.alias("r")).select("n", "bits", "r.rule", "r.bit")

@@ -3,6 +3,7 @@
 import duckdb
 
 import __spark_entry__
+from ferry.llm import quality
 from tests.conftest import SF
 
 
@@ -14,3 +15,10 @@ def test_ablation_query_matches_its_sql(spark):
     assert got.columns == want.columns
     rows = sorted(map(tuple, got.collect()))
     assert rows == sorted(want.fetchall()) and len(rows) == 7 and any(r[1] for r in rows)
+
+
+def test_an_empty_table_gives_zeros_for_every_rule(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").limit(0)
+    rows = quality.ablation(quality.ledger(docs)).collect()
+    assert {r["rule"] for r in rows} == set(quality.POLICIES[quality.CURRENT_POLICY])
+    assert all((r["n_failed"], r["n_alone"], r["n_kept_without"]) == (0, 0, 0) for r in rows)
