@@ -440,11 +440,17 @@ def outbound_batches(
     order_by: Sequence[str | Column],
     unique: bool = False,
     n_blocks: int | None = None,
+    one_shuffle: bool = False,
+    staged: str | None = None,
 ) -> tuple[int, DataFrame]:
-    """(row count, ``(batch_num, n, body)`` for every batch of the query result)."""
+    """(row count, ``(batch_num, n, body)`` for every batch of the query result).
+
+    ``one_shuffle`` makes the same batches by ``chunking.ordered_batches``: whole rows
+    are staged in ``staged`` and shuffled once, for more CPU; ``order_by`` names columns then.
+    """
     payload = list(df.columns)
-    indexed, count = chunking.global_index_with_count(df, order_by, unique=unique, n_blocks=n_blocks)
     if cfg.api_dataformat == "dict":
+        indexed, count = chunking.global_index_with_count(df, order_by, unique=unique, n_blocks=n_blocks)
         return count, indexed.select(
             F.col("rn").alias("batch_num"), F.lit(1).cast("bigint").alias("n"),
             encode.dict_body(F.struct(*[F.col(f"`{c}`") for c in payload])).alias("body"),
@@ -452,7 +458,11 @@ def outbound_batches(
     size = cfg.api_limit
     if size is None:
         raise ValueError(f"api-dataformat {cfg.api_dataformat!r} needs api-limit")
-    batches = chunking.collect_batches(indexed, size, payload)
+    if one_shuffle:
+        batches, count = chunking.ordered_batches(df, order_by, size, unique, n_blocks, staged=staged)
+    else:
+        indexed, count = chunking.global_index_with_count(df, order_by, unique=unique, n_blocks=n_blocks)
+        batches = chunking.collect_batches(indexed, size, payload)
     return count, batches.select("batch_num", "n", encode.encode_batch(F.col("items"), cfg.api_dataformat, cfg.xml_root, cfg.xml_item).alias("body"))
 
 
@@ -469,6 +479,7 @@ def run_outbound(
     parallelism: int | None = None,
     concurrency: int = 1,
     lease_seconds: int = 6 * 3600,
+    one_shuffle: bool = False,
 ) -> LoadResult:
     """Query -> batches -> ``send``; resumes by skipping delivered batches. Of two runs of a pair at once the second is refused."""
     if cfg.dataflow != "Outbound":
@@ -476,15 +487,16 @@ def run_outbound(
     if not cfg.source_query:
         raise ValueError("an outbound flow needs source-query")
     with audit.claim(spark, audit_path, cfg.source_id, cfg.destination_id, lease_seconds):
-        return _run_outbound(spark, cfg, send, audit_path, delivery_path, order_by, unique, n_blocks, parallelism, concurrency)
+        return _run_outbound(spark, cfg, send, audit_path, delivery_path, order_by, unique, n_blocks, parallelism, concurrency, one_shuffle)
 
 
-def _run_outbound(spark, cfg, send, audit_path, delivery_path, order_by, unique, n_blocks, parallelism, concurrency) -> LoadResult:
+def _run_outbound(spark, cfg, send, audit_path, delivery_path, order_by, unique, n_blocks, parallelism, concurrency, one_shuffle) -> LoadResult:
     run = audit.open_run(spark, audit_path, cfg.source_id, cfg.destination_id)
     res = LoadResult(audit_id=run.audit_id, load_id=run.audit_id)
     log_path = f"{delivery_path.rstrip('/')}/audit_id={run.audit_id}"
     # the run's batches as first numbered: a rerun sends from these, whatever has happened to the source
     snapshot = f"{delivery_path.rstrip('/')}_snapshot/{run.audit_id}"
+    staged = f"{delivery_path.rstrip('/')}_staged/{run.audit_id}"
     try:
         if not sink.path_exists(spark, f"{snapshot}/_SUCCESS"):
             start = cfg.adhoc_start_date or run.last_checkpoint
@@ -494,10 +506,11 @@ def _run_outbound(spark, cfg, send, audit_path, delivery_path, order_by, unique,
                     raise ValueError("the first run of a query with :start_date needs adhoc_start_date")
                 args = {"start_date": start}
             df = tables.sql_source(spark, cfg.source_query, args)
-            _, batches = outbound_batches(df, cfg, order_by, unique, n_blocks)
+            _, batches = outbound_batches(df, cfg, order_by, unique, n_blocks, one_shuffle, staged)
             # a folder for each wave, so that a wave opens its own files only; a resumed run keeps the waves of the first
             wave = F.floor((F.col("batch_num") - 1) / (BATCHES_PER_CORE * spark.sparkContext.defaultParallelism)).cast("int")
             batches.withColumn("wave", wave).write.mode("overwrite").partitionBy("wave").parquet(snapshot)
+            remove_path(spark, staged)
         batches = spark.read.schema(SNAPSHOT).parquet(snapshot)
         planned = batches.agg(F.count(F.lit(1)).alias("b"), F.sum("n").alias("rows"), F.max("wave").alias("last")).first()
         res.source_count, res.total_obj_count = int(planned["rows"] or 0), int(planned["b"])

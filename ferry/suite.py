@@ -458,6 +458,16 @@ def q_chunk_xml(spark, d):
     )
 
 
+def q_chunk_one_shuffle(spark, d):
+    """K6 with one shuffle of whole rows, ordered by a column of few values and then the key."""
+    orders = table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_custkey")
+    b, _ = chunking.ordered_batches(orders, ["o_orderstatus", "o_orderkey"], 250, unique=True)
+    first, last = F.element_at("items", 1), F.element_at("items", -1)
+    return b.select("batch_num", "n", "first_rn", first["o_orderkey"].alias("first_key"), last["o_orderkey"].alias("last_key"),
+                    F.size(F.array_distinct(F.transform("items", lambda x: x["o_orderstatus"]))).cast("bigint").alias("n_statuses"),
+                    F.aggregate("items", F.lit(0).cast("bigint"), lambda s, x: s + x["o_custkey"].cast("bigint")).alias("customers"))
+
+
 def q_chunk_single(spark, d):
     s = table(spark, d, "supplier")
     _, b = flows.outbound_batches(s, _out_cfg("dict", None), ["s_suppkey"], unique=True)
@@ -645,6 +655,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_array": q_chunk_array,
     "chunk_nested": q_chunk_nested,
     "chunk_xml": q_chunk_xml,
+    "chunk_one_shuffle": q_chunk_one_shuffle,
     "chunk_single": q_chunk_single,
     "deliver_batches": q_deliver_batches,
     "outbound_flow": q_outbound_flow,
@@ -840,6 +851,12 @@ FROM pl FULL OUTER JOIN la ON pl.page = la.page""",
 SELECT CAST((rn - 1) // 7 + 1 AS BIGINT) AS batch_num, CAST((rn - 1) % 7 AS BIGINT) AS pos,
        s_suppkey, s_name, s_nationkey, s_acctbal
 FROM (SELECT *, row_number() OVER (ORDER BY s_suppkey) AS rn FROM supplier)""",
+    "chunk_one_shuffle": """
+WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS rn FROM orders)
+SELECT (rn - 1) // 250 + 1 AS batch_num, count(*) AS n, min(rn) AS first_rn, arg_min(o_orderkey, rn) AS first_key,
+       arg_max(o_orderkey, rn) AS last_key, count(DISTINCT o_orderstatus) AS n_statuses, CAST(sum(o_custkey) AS BIGINT) AS customers
+FROM r GROUP BY 1
+""",
     "chunk_nested": """
 SELECT CAST((rn - 1) // 100 + 1 AS BIGINT) AS batch_num, CAST((rn - 1) % 100 AS BIGINT) AS pos,
        o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
