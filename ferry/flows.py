@@ -28,7 +28,7 @@ from ferry.config import ExchangeConfig
 from ferry.functions import encode, envelope as env, extract
 from ferry.operators import audit, chunking, delivery, evolve, schema as sch, sink
 from ferry.plans import paging
-from ferry.session import remove_path
+from ferry.session import ensure_checkpoint_dir, remove_path
 from ferry.sources import pages, tables
 
 log = logging.getLogger("ferry")
@@ -95,11 +95,15 @@ def _check_bodies(spark, cfg, landing_path, load_id) -> None:
         raise IncompleteLoad(f"{left['n']} pages with unreadable bodies, the first is page {left['first']}")
 
 
+def _whole(landed: Column) -> Column:
+    """Whether a planned page has landed as asked for: neither short nor over-full."""
+    return F.coalesce((landed >= F.col("expected")) & (F.col("most").isNull() | (landed <= F.col("most"))), F.lit(False))
+
+
 def _short_of_plan(spark, plan: DataFrame, landing_path: str, source_id: str, load_id: str) -> DataFrame:
     """The planned pages (``page``, ``expected``, ``most`` and request fields) that have not landed as asked for: short, or over-full."""
     done = pages.landed_pages(spark, landing_path, source_id, load_id).withColumnRenamed("n_records", "_landed")
-    whole = (done["_landed"] >= plan["expected"]) & (plan["most"].isNull() | (done["_landed"] <= plan["most"]))
-    return plan.join(done, (plan["page"] == done["page"]) & whole, "left_anti")
+    return plan.join(done, "page", "left").filter(~_whole(F.col("_landed"))).drop("_landed")
 
 
 def land_all_pages(
@@ -118,12 +122,19 @@ def land_all_pages(
     """
     where = (landing_path, cfg.source_id, load_id)
     fresh = pages.landed(spark, *where).limit(1).count() == 0
+    page_size, since = int(cfg.page_size or 1), _now()
+    # what earlier runs have landed, read once; checkpointed, as a cached read would be made anew after each wave's write
+    before = pages.landed_pages(spark, *where)
+    full, other = pages.landed_sets(before.limit(0) if fresh else before, page_size)
+    if not fresh:
+        ensure_checkpoint_dir(spark)
+        full, other = full.checkpoint(), other.checkpoint()
 
     def fetch_wave(plan: DataFrame, n: int, wave: int) -> None:
         if not fresh:
-            # Materialised first: left lazy and empty, AQE re-plans the anti-join on its
+            # Materialised first: left lazy and empty, AQE re-plans the join on its
             # first use and the wave's fetch collapses into a single task.
-            plan = _short_of_plan(spark, plan, *where).cache()
+            plan = pages.with_landed(plan, full, other, page_size).filter(~_whole(F.col("landed"))).drop("landed").cache()
             n = plan.count()
         try:
             if n:
@@ -175,13 +186,20 @@ def land_all_pages(
             plan = plan.withColumn("limit", F.lit(size).cast("bigint"))
         asked = F.lit(size).cast("bigint")
         fetch_wave(plan.withColumn("expected", asked).withColumn("most", asked), step, w)
-        _check_bodies(spark, cfg, landing_path, load_id)
-        got = pages.landed_pages(spark, *where).filter((F.col("page") >= lo) & (F.col("page") < lo + step)).agg(
+        # this run's rows of the wave (files of others are skipped by their statistics) before what earlier runs have landed
+        now = pages.landed_pages(spark, *where, wave=w, since=since).withColumnRenamed("n_records", "_now")
+        state = pages.with_landed(plan, full, other, size).join(now, "page", "left")
+        state = state.select("page", F.coalesce("_now", "landed").alias("n_records"))
+        got = state.agg(
+            F.count("n_records").alias("have"),
             F.min(F.when(F.col("n_records") < size, F.col("page"))).alias("short"),
             F.min(F.when(F.col("n_records") == 0, F.col("page"))).alias("empty"),
             F.max(F.when(F.col("n_records") > 0, F.col("page"))).alias("last"),
             F.min(F.when(F.col("n_records") > size, F.col("page"))).alias("full"),
         ).first()
+        if got["have"] < step:
+            _check_bodies(spark, cfg, landing_path, load_id)
+            raise IncompleteLoad(f"{step - got['have']} of the pages from {lo} to {lo + step - 1} have not landed")
         if got["full"] is not None:
             raise IncompleteLoad(f"page {got['full']} holds more records than were asked for")
         if got["empty"] is not None and got["last"] is not None and got["empty"] < got["last"]:

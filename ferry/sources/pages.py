@@ -148,12 +148,46 @@ def landed(spark: SparkSession, landing_path: str, source_id: str | None = None,
     return df
 
 
-def landed_pages(spark: SparkSession, landing_path: str, source_id: str, load_id: str) -> DataFrame:
-    """``page, n_records`` of the pages landed for a load: their latest good body, the one that ``read_bodies`` reads."""
+def landed_pages(spark: SparkSession, landing_path: str, source_id: str, load_id: str, wave: int | None = None,
+                 since: datetime | None = None) -> DataFrame:
+    """``page, n_records`` of the pages landed for a load, or in one wave of it, or since a time: their latest good body, the one that ``read_bodies`` reads."""
     good = landed(spark, landing_path, source_id, load_id).filter(F.col("status") == OK)
+    if wave is not None:
+        good = good.filter(F.col("wave") == wave)
+    if since is not None:
+        good = good.filter(F.col("fetched_at") >= F.lit(since))
     return good.groupBy("page").agg(F.max_by("n_records", F.struct("fetched_at", "wave")).alias("n_records"))
 
 
+#: Bits of one page set bitmap, as Spark's bitmap functions make them.
+BITMAP_BITS = 32768
+
+
+def landed_sets(landed: DataFrame, size: int) -> tuple[DataFrame, DataFrame]:
+    """Landed ``page, n_records`` as ``(full, other)``: bitmaps of the pages of exactly ``size`` records, and the rows of the rest.
+
+    ``full`` (``bucket, bitmap``) has one row of 4 KiB for 32,768 pages. A load has
+    few other pages: its last one, and what came short or over-full.
+    """
+    at = F.col("page") + 1  # the functions count from 1
+    is_full = F.col("n_records") == size
+    full = landed.filter(is_full).groupBy(F.bitmap_bucket_number(at).alias("bucket")).agg(
+        F.bitmap_construct_agg(F.bitmap_bit_position(at)).alias("bitmap"))
+    return full, landed.filter(~is_full)
+
+
+def with_landed(plan: DataFrame, full: DataFrame, other: DataFrame, size: int) -> DataFrame:
+    """``plan`` with ``landed``, the records that each page's landed body holds; null if there is none."""
+    at = F.col("page") + 1
+    bit = F.bitmap_bit_position(at)
+    byte = F.conv(F.hex(F.substring("bitmap", (F.floor(bit / 8) + 1).cast("int"), F.lit(1))), 16, 10).cast("int")
+    is_set = F.getbit(byte, (bit % 8).cast("int")) == 1
+    keyed = plan.withColumn("bucket", F.bitmap_bucket_number(at)).join(full, "bucket", "left")
+    rest = other.select("page", F.col("n_records").alias("_rest"))
+    both = keyed.withColumn("_full", F.when(is_set, F.lit(size).cast("bigint"))).join(rest, "page", "left")
+    return both.select(*plan.columns, F.coalesce("_rest", "_full").alias("landed"))
+
+
 def bad_bodies(spark: SparkSession, landing_path: str, source_id: str, load_id: str) -> DataFrame:
     """The quarantined bodies of one load: ``page, status, wave, fetched_at, body``."""
     rows = landed(spark, landing_path, source_id, load_id).filter(F.col("status") != OK)

@@ -458,6 +458,16 @@ def q_chunk_xml(spark, d):
     )
 
 
+def q_resume_bitmap(spark, d):
+    """P6 from page bitmaps: the pages of four order keys, of which those of open orders are still to land."""
+    done = table(spark, d, "orders").filter(F.col("o_orderstatus") != "O")
+    landed = done.groupBy(F.floor(F.col("o_orderkey") / 4).alias("page")).agg(F.count(F.lit(1)).alias("n_records"))
+    last = landed.agg(F.max("page")).first()[0]
+    full, other = pages.landed_sets(landed, 4)
+    plan = spark.range(0 if last is None else last + 1).withColumnRenamed("id", "page")
+    return pages.with_landed(plan, full, other, 4).filter(F.coalesce("landed", F.lit(0)) < 4)
+
+
 def q_chunk_one_shuffle(spark, d):
     """K6 with one shuffle of whole rows, ordered by a column of few values and then the key."""
     orders = table(spark, d, "orders").select("o_orderstatus", "o_orderkey", "o_custkey")
@@ -655,6 +665,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "chunk_array": q_chunk_array,
     "chunk_nested": q_chunk_nested,
     "chunk_xml": q_chunk_xml,
+    "resume_bitmap": q_resume_bitmap,
     "chunk_one_shuffle": q_chunk_one_shuffle,
     "chunk_single": q_chunk_single,
     "deliver_batches": q_deliver_batches,
@@ -851,6 +862,11 @@ FROM pl FULL OUTER JOIN la ON pl.page = la.page""",
 SELECT CAST((rn - 1) // 7 + 1 AS BIGINT) AS batch_num, CAST((rn - 1) % 7 AS BIGINT) AS pos,
        s_suppkey, s_name, s_nationkey, s_acctbal
 FROM (SELECT *, row_number() OVER (ORDER BY s_suppkey) AS rn FROM supplier)""",
+    "resume_bitmap": """
+WITH l AS (SELECT o_orderkey // 4 AS page, count(*) AS landed FROM orders WHERE o_orderstatus <> 'O' GROUP BY 1)
+SELECT p.page, l.landed FROM (SELECT unnest(range(0, (SELECT max(page) + 1 FROM l))) AS page) p LEFT JOIN l USING (page)
+WHERE coalesce(l.landed, 0) < 4
+""",
     "chunk_one_shuffle": """
 WITH r AS (SELECT *, row_number() OVER (ORDER BY o_orderstatus, o_orderkey) AS rn FROM orders)
 SELECT (rn - 1) // 250 + 1 AS batch_num, count(*) AS n, min(rn) AS first_rn, arg_min(o_orderkey, rn) AS first_key,
