@@ -76,7 +76,7 @@ def op6_mix_sources(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_url_verdicts(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every page's verdict: by rule, else blocked if its canonical URL is on the spam list."""
+    """Every page's verdict: by rule, else blocked if its canonical URL is on the list of spam hosts' and thin pages' URLs."""
     pages = _table(spark, sf_dir, "pages")
     return url_filter.url_verdicts(pages, url_filter.spam_listed(pages)).select("page_id", "host", "path", "rule", "verdict")
 
@@ -213,8 +213,9 @@ r AS (SELECT doc_id, size, source_size, target, u, CASE WHEN source_size > 0 THE
       FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source)
 SELECT doc_id, size, source_size, target, CAST(size * (floor(rate) + CAST(u < rate - floor(rate) AS INT)) AS BIGINT) AS taken FROM r""",
     "op7_url_verdicts": rf"""
-WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r FROM pages),
-h AS (SELECT page_id, coalesce(translate(regexp_extract(r, '^[^/?#]*'), '{_UPPER}', '{_LOWER}'), '') AS host,
+WITH p AS (SELECT page_id, CASE WHEN instr(url, '://') > 0 THEN substr(url, instr(url, '://') + 3) ELSE '' END AS r,
+  coalesce((length(html) - length(replace(html, '<a ', ''))) // 3 * 200 > length(html), false) AS thin FROM pages),
+h AS (SELECT page_id, thin, coalesce(translate(regexp_extract(r, '^[^/?#]*'), '{_UPPER}', '{_LOWER}'), '') AS host,
              coalesce(regexp_extract(r, '^[^/?#]*([^?#]*)', 1), '') AS path FROM p),
 c AS (SELECT *, CASE WHEN host <> '' THEN regexp_replace(host, '^www\.', '') || regexp_replace(path, '/+$', '') END AS canonical,
   '.' || host AS dh FROM h),
@@ -224,7 +225,7 @@ v AS (SELECT *, CASE
     WHEN dh LIKE '%.net' AND path LIKE '/es/%' THEN 'net/es/'
     WHEN dh LIKE '%.net' AND path LIKE '/fr/%' THEN 'net/fr/'
     WHEN dh LIKE '%.com' AND path LIKE '/%' THEN 'com/' END AS rule FROM c),
-l AS (SELECT DISTINCT canonical FROM c WHERE regexp_matches(host, '(^|\.)(casino|pills|xxx|warez)') AND canonical IS NOT NULL)
+l AS (SELECT DISTINCT canonical FROM c WHERE (thin OR regexp_matches(host, '(^|\.)(casino|pills|xxx|warez)')) AND canonical IS NOT NULL)
 SELECT page_id, host, path, rule,
   CASE WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
        WHEN canonical IN (SELECT canonical FROM l) THEN 'block' ELSE 'allow' END AS verdict

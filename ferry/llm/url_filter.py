@@ -7,15 +7,18 @@ in a list of canonical URLs:
   1. the list is hashed into a blocked Bloom filter: one row per 256-bit
      block, eight 32-bit words, one bit per word and URL, built by bitwise
      aggregation;
-  2. distinct canonical URLs are joined with the one block they hash to; most
-     URLs that are not listed end here;
-  3. possible hits are joined with the list itself, which removes the false
-     positives, so the verdict is exact.
+  2. every page looks up the one block its canonical URL hashes to, at the scan: the
+     blocks are broadcast up to ``BROADCAST_BLOCKS``, beyond that joined by a
+     salted shuffle. Pages that no rule fits and that may be listed are possible
+     hits; all others are done and move nowhere;
+  3. the distinct URLs of possible hits are joined with the list itself, which
+     removes the false positives, so the verdict is exact.
 
 Defined cases: a null URL, or one without ``://``, has empty host and path,
 fits no rule, is not listed and is allowed; repeated URLs share a verdict; an
 empty list allows what no rule blocks; an empty table gives no rows. Columns
-other than id and URL are not read.
+other than id and URL are not read, but for the page's body by ``spam_listed``, where a null
+body is not thin.
 """
 
 from __future__ import annotations
@@ -38,6 +41,10 @@ RULES = (
 )
 #: Host labels that put a page's URL on the spam list of the registered query.
 SPAM_TERMS = ("casino", "pills", "xxx", "warez")
+#: A page with a link for fewer than this many characters is put on the list as well.
+CHARS_PER_LINK = 200
+#: Blocks (40 bytes each) that are broadcast; more are joined by a shuffle.
+BROADCAST_BLOCKS = 500_000
 BITS_PER_URL = 16
 _WORDS = 8
 _BLOCK_BITS = 32 * _WORDS
@@ -100,13 +107,24 @@ def bloom_hits(urls: DataFrame, key: str, blocks: DataFrame, n_blocks: int) -> D
     )
 
 
+def possible_hits(pages: DataFrame, key: str, blocks: DataFrame, n_blocks: int, salt: Column) -> DataFrame:
+    """The rows of ``pages`` with ``_maybe``: whether ``key`` may be listed; a null one is not."""
+    words = [F.col(f"_w{i}") for i in range(_WORDS)]
+    named = blocks.select(F.col("block").alias("_at"), *[F.col(f"w{i}").alias(f"_w{i}") for i in range(_WORDS)])
+    rows = pages.withColumn("_block", _block(F.col(key), n_blocks))
+    if n_blocks <= BROADCAST_BLOCKS:
+        found = rows.join(F.broadcast(named), F.col("_block") == F.col("_at"), "left")
+    else:
+        found = salted_join(rows, named, {"_block": "_at"}, salt)
+    set_bits = reduce(lambda a, b: a & b, [w.bitwiseAND(m) == m for w, m in zip(words, _masks(F.col(key)))])
+    maybe = F.col(key).isNotNull() & F.coalesce(set_bits, F.lit(False))
+    return found.select(*pages.columns, maybe.alias("_maybe"))
+
+
 def listed_matches(urls: DataFrame, listed: DataFrame) -> DataFrame:
-    """``canonical`` of distinct ``urls.canonical`` that stand in ``listed.canonical``, by filter and then exact join."""
-    listed = written(listed.select("canonical").filter(F.col("canonical").isNotNull()).distinct(), "url-list")
-    n_blocks = max(1, -(-listed.count() * BITS_PER_URL // _BLOCK_BITS))
+    """``canonical`` of distinct ``urls.canonical`` that stand in ``listed.canonical``: the exact hash join."""
     distinct = urls.select("canonical").filter(F.col("canonical").isNotNull()).distinct()
-    hits = bloom_hits(distinct, "canonical", bloom_blocks(listed, "canonical", n_blocks), n_blocks)
-    return hits.join(listed.hint("shuffle_hash"), "canonical", "left_semi")
+    return distinct.join(listed.select("canonical").hint("shuffle_hash"), "canonical", "left_semi")
 
 
 def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str, str, str]] = RULES,
@@ -116,20 +134,25 @@ def url_verdicts(pages: DataFrame, listed: DataFrame, rules: Sequence[tuple[str,
     parts = pages.select(F.col(f"`{id_col}`").alias("page_id"), host_of(url).alias("host"), path_of(url).alias("path"),
                          canonical_of(url).alias("canonical"))
     judged = parts.withColumn("_rule", rule_of(F.col("host"), F.col("path"), rules))
-    open_urls = judged.filter(F.col("_rule").isNull())
-    matches = listed_matches(open_urls, listed.select(canonical_of(F.col("url")).alias("canonical")))
-    marked = salted_join(
-        judged, matches.withColumn("_listed", F.lit(True)), {"canonical": "canonical"}, F.xxhash64("page_id")
-    )
-    by_list = F.when(F.col("_rule").isNull(), F.coalesce(F.col("_listed"), F.lit(False)))
-    return marked.select(
+    exact = written(listed.select(canonical_of(F.col("url")).alias("canonical")).filter(F.col("canonical").isNotNull()).distinct(), "url-list")
+    n_blocks = max(1, -(-exact.count() * BITS_PER_URL // _BLOCK_BITS))
+    spread = F.xxhash64("page_id")
+    seen = possible_hits(judged, "canonical", bloom_blocks(exact, "canonical", n_blocks), n_blocks, spread)
+    maybe = F.col("_rule").isNull() & F.col("_maybe")
+    hits = seen.filter(maybe).drop("_maybe")
+    checked = salted_join(hits, listed_matches(hits, exact).withColumn("_listed", F.lit(True)), {"canonical": "canonical"}, spread)
+    done = seen.filter(~maybe).drop("_maybe").withColumn("_listed", F.lit(None).cast("boolean"))
+    by_list = F.coalesce(F.col("_listed"), F.lit(False))
+    return done.unionByName(checked).select(
         "page_id", "host", "path", F.col("_rule.rule").alias("rule"),
         F.coalesce(F.col("_rule.verdict"), F.when(by_list, F.lit("block")).otherwise(F.lit("allow"))).alias("verdict"),
         by_list.alias("listed"),
     )
 
 
-def spam_listed(pages: DataFrame, terms: Sequence[str] = SPAM_TERMS, url_col: str = "url") -> DataFrame:
-    """``url`` of pages whose host has a label that starts with a spam term."""
-    url = F.col(f"`{url_col}`")
-    return pages.filter(host_of(url).rlike(rf"(^|\.)({'|'.join(terms)})")).select(url.alias("url"))
+def spam_listed(pages: DataFrame, terms: Sequence[str] = SPAM_TERMS, url_col: str = "url", html_col: str = "html") -> DataFrame:
+    """``url`` of pages whose host has a label that starts with a spam term, or whose body is thin: a link for fewer than ``CHARS_PER_LINK`` characters."""
+    url, html = F.col(f"`{url_col}`"), F.col(f"`{html_col}`").cast("string")
+    links = F.regexp_count(html, F.lit("<a "))
+    thin = F.coalesce(links * CHARS_PER_LINK > F.length(html), F.lit(False))
+    return pages.filter(host_of(url).rlike(rf"(^|\.)({'|'.join(terms)})") | thin).select(url.alias("url"))

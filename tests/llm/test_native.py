@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from ferry.llm import mixing, quality, queries, sharding, url_filter
 from tests.conftest import SF
 
-TABLES = ("documents", "pages", "embeddings")
+TABLES = ("documents", "pages", "embeddings", "benchmark")
 NATIVE = ("op4_quality_ledger", "op6_mix_sources", "op7_url_verdicts", "op9_byte_shards")
 
 
@@ -146,14 +146,17 @@ PAGES = [
 
 def test_url_edges(spark, tmp):
     pages = spark.createDataFrame(PAGES, "page_id long, url string").withColumn("host", F.lit(1)).withColumn("listed", F.lit("x"))
+    pages = pages.withColumn("html", F.when(F.col("page_id") == 4, "<p>no link").when(F.col("page_id") % 2 == 0, F.lit("long " * 50)))
     pages.write.parquet(f"{tmp}/pages.parquet")
     got = queries.op7_url_verdicts(spark, tmp)
-    frame = pages.select("page_id", "url").toPandas().astype({"page_id": "Int64"})
+    frame = pages.select("page_id", "url", "html").toPandas().astype({"page_id": "Int64"})
     assert spark_rows(got) == duck(queries.ORACLE_SQL["op7_url_verdicts"], pages=frame)
     verdict = {r["page_id"]: (r["rule"], r["verdict"]) for r in got.collect()}
     assert verdict[5] == ("example.com/en/", "block") and verdict[7] == ("www.example.com/en/", "allow") and verdict[4] == (None, "allow")
     assert verdict[15] == verdict[16] == (None, "block") and verdict[17] == (None, "allow")
     assert url_filter.url_verdicts(pages.limit(0), pages.limit(0)).count() == 0
+    thin = pages.withColumn("html", F.when(F.col("page_id") == 4, "<a href=x>y</a>"))
+    assert [r["page_id"] for r in url_filter.url_verdicts(thin, url_filter.spam_listed(thin)).filter("page_id = 4 and verdict = 'block'").collect()] == [4]
     assert url_filter.url_verdicts(pages, pages.select("url").limit(0)).filter("listed").count() == 0
 
 
