@@ -28,7 +28,7 @@ from ferry.config import ExchangeConfig
 from ferry.functions import encode, envelope as env, extract
 from ferry.operators import audit, chunking, delivery, evolve, schema as sch, sink
 from ferry.plans import paging
-from ferry.session import ensure_checkpoint_dir, remove_path
+from ferry.session import ensure_checkpoint_dir, remove_path, scratch_path
 from ferry.sources import pages, tables
 
 log = logging.getLogger("ferry")
@@ -249,7 +249,23 @@ def load_landed(
     """
     if on_type_change not in ("fail", "widen", "reject"):
         raise ValueError("on_type_change must be 'fail', 'widen' or 'reject'")
-    records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace))
+    rest = (table_path, load_id, load_ts, user, ignore, schema_audit_path, quarantine_path, on_type_change, max_records_per_file)
+    if cfg.response_format != "xml":
+        records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace))
+        return _load_records(spark, cfg, records, *rest)
+    # parsing XML costs far more than storing what was parsed, and the records are read at least twice
+    staged, prefixes = scratch_path(spark, "parsed"), bool(cfg.namespace)
+    try:
+        parsed = extract.parsed_bodies(bodies, cfg.response_format, prefixes=prefixes)
+        parsed.write.parquet(staged)
+        stored = spark.read.schema(parsed.schema).parquet(staged)
+        return _load_records(spark, cfg, extract.parsed_records(stored, cfg.data_field, cfg.soap, prefixes=prefixes), *rest)
+    finally:
+        remove_path(spark, staged)
+
+
+def _load_records(spark, cfg, records, table_path, load_id, load_ts, user, ignore, schema_audit_path, quarantine_path,
+                  on_type_change, max_records_per_file) -> LoadResult:
     existing = tables.existing_payload_schema(spark, table_path)
     # ignored fields are dropped from what comes in, never from what is stored
     inferred = sch.drop_fields(sch.infer_schema(records), ignore)

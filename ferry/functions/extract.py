@@ -27,7 +27,7 @@ from __future__ import annotations
 
 import re
 from contextlib import contextmanager
-from typing import Iterator, Sequence
+from typing import Callable, Iterator, Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -51,6 +51,11 @@ _EXACT = f'"{_MARK}(0|-?[1-9][0-9]{{0,17}}|true|false|(?!-?0[.]000)-?(?:0|[1-9][
 _POINT_ZERO = f'"{_MARK}(-?(?:0|[1-9][0-9]{{0,6}})[.]0){_MARK}"'
 
 
+def _let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with the value computed once: a column named twice in a generator or a condition is computed twice."""
+    return F.get(F.transform(F.array(value), body), 0)
+
+
 def variant_path(field: str | None) -> str:
     """Dotted field name -> variant path (``data.items`` -> ``$.data.items``)."""
     if not field:
@@ -93,9 +98,12 @@ def parse_body(body: Column, response_format: str = "json", prefixes: bool = Fal
 
 def _child(v: Column, name: str) -> Column:
     """The value of a key, or of the first key with that local name."""
-    fields = F.try_variant_get(v, "$", "map<string,variant>")
-    local = F.filter(F.map_entries(fields), lambda e: F.substring_index(e["key"], ":", -1) == name)
-    return F.coalesce(F.try_variant_get(v, variant_path(name) if ":" not in name else f"$['{name}']", "variant"), F.get(local, 0)["value"])
+    def found(value: Column) -> Column:
+        fields = F.try_variant_get(value, "$", "map<string,variant>")
+        local = F.filter(F.map_entries(fields), lambda e: F.substring_index(e["key"], ":", -1) == name)
+        return F.coalesce(F.try_variant_get(value, variant_path(name) if ":" not in name else f"$['{name}']", "variant"), F.get(local, 0)["value"])
+
+    return _let(v, found)
 
 
 def _records_at(v: Column, field: str | None, prefixes: bool = False) -> Column:
@@ -104,23 +112,25 @@ def _records_at(v: Column, field: str | None, prefixes: bool = False) -> Column:
         for name in field.split("."):
             v = _child(v, name)
         field = None
-    path = variant_path(field)
-    arr = F.try_variant_get(v, path, "array<variant>")
-    one = F.try_variant_get(v, path, "variant")
-    return F.when(arr.isNotNull(), arr).when(F.schema_of_variant(one).startswith("OBJECT"), F.array(one))
+
+    def listed(value: Column) -> Column:
+        arr = F.try_variant_get(value, "$", "array<variant>")
+        return _let(arr, lambda a: F.when(a.isNotNull(), a).when(F.schema_of_variant(value).startswith("OBJECT"), F.array(value)))
+
+    return _let(F.try_variant_get(v, variant_path(field), "variant"), listed)
 
 
 def records_column(parsed: Column, field: str | None, soap: bool = False, prefixes: bool = False) -> Column:
     """The record list of one parsed body as ARRAY<VARIANT>."""
     if not soap:
         return _records_at(parsed, field, prefixes)
-    body = _child(parsed, "Body") if prefixes else F.try_variant_get(parsed, "$.Body", "variant")
-    direct = _records_at(body, field, prefixes)
-    children = F.try_variant_get(body, "$", "map<string,variant>")
-    nested = F.flatten(
-        F.filter(F.transform(F.map_values(children), lambda c: _records_at(c, field, prefixes)), lambda a: a.isNotNull())
-    )
-    return F.coalesce(direct, F.when(F.size(nested) > 0, nested))
+
+    def below(body: Column) -> Column:
+        children = F.map_values(F.try_variant_get(body, "$", "map<string,variant>"))
+        nested = F.flatten(F.filter(F.transform(children, lambda c: _records_at(c, field, prefixes)), lambda a: a.isNotNull()))
+        return F.coalesce(_records_at(body, field, prefixes), _let(nested, lambda n: F.when(F.size(n) > 0, n)))
+
+    return _let(_child(parsed, "Body") if prefixes else F.try_variant_get(parsed, "$.Body", "variant"), below)
 
 
 def count_column(parsed: Column, count_field: str) -> Column:
@@ -132,14 +142,22 @@ def count_column(parsed: Column, count_field: str) -> Column:
 OK, UNPARSEABLE, NO_RECORDS = "ok", "unparseable", "no_records"
 
 
+def _judged(parsed: Column, data_field: str | None, soap: bool, prefixes: bool, missing: str, total: Column | None = None) -> Column:
+    """``status``, ``n_records`` and, if given, ``total`` of a parsed body, as a struct."""
+    def told(recs: Column) -> Column:
+        status = F.when(parsed.isNull(), F.lit(UNPARSEABLE)).when(recs.isNull(), F.lit(missing)).otherwise(F.lit(OK))
+        n = F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint")
+        return F.struct(status.alias("status"), n.alias("n_records"), *([] if total is None else [total.alias("total")]))
+
+    return _let(records_column(parsed, data_field, soap, prefixes), told)
+
+
 def body_status(body: Column, data_field: str | None, response_format: str = "json", soap: bool = False,
                 prefixes: bool = False) -> tuple[Column, Column]:
     """``(status, n_records)`` of a body. In XML an empty list looks like a missing one and counts as 0 records."""
-    parsed = parse_body(body, response_format, prefixes)
-    recs = records_column(parsed, data_field, soap, prefixes)
-    missing = F.lit(OK if response_format == "xml" else NO_RECORDS)
-    status = F.when(parsed.isNull(), F.lit(UNPARSEABLE)).when(recs.isNull(), missing).otherwise(F.lit(OK))
-    return status, F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint")
+    missing = OK if response_format == "xml" else NO_RECORDS
+    found = _let(parse_body(body, response_format, prefixes), lambda p: _judged(p, data_field, soap, prefixes, missing))
+    return found["status"], found["n_records"]
 
 
 def extract_records(
@@ -162,6 +180,19 @@ def extract_records(
         return bodies.select(*keep, F.posexplode(recs).alias("pos", "record"))
 
 
+def parsed_bodies(bodies: DataFrame, response_format: str = "json", body_col: str = "body", keep: Sequence[str] = ("page",),
+                  prefixes: bool = False) -> DataFrame:
+    """``keep`` columns and ``parsed`` (VARIANT), for bodies that are parsed and stored before their records are read more than once."""
+    with last_key_wins(bodies.sparkSession):
+        return bodies.select(*keep, parse_body(F.col(body_col), response_format, prefixes).alias("parsed"))
+
+
+def parsed_records(parsed: DataFrame, data_field: str | None, soap: bool = False, keep: Sequence[str] = ("page",),
+                   prefixes: bool = False) -> DataFrame:
+    """``extract_records`` of ``parsed_bodies``."""
+    return parsed.select(*keep, F.posexplode(records_column(F.col("parsed"), data_field, soap, prefixes)).alias("pos", "record"))
+
+
 def body_summary(
     bodies: DataFrame,
     data_field: str | None,
@@ -173,16 +204,10 @@ def body_summary(
     prefixes: bool = False,
 ) -> DataFrame:
     """Per body: parse status, announced total (C1) and records found."""
-    parsed = parse_body(F.col(body_col), response_format, prefixes)
-    recs = records_column(parsed, data_field, soap, prefixes)
-    total = count_column(parsed, count_field) if count_field else F.lit(None).cast("bigint")
+    def told(parsed: Column) -> Column:
+        total = count_column(parsed, count_field) if count_field else F.lit(None).cast("bigint")
+        return _judged(parsed, data_field, soap, prefixes, NO_RECORDS, total)
+
+    found = _let(parse_body(F.col(body_col), response_format, prefixes), told)
     with last_key_wins(bodies.sparkSession):
-        return bodies.select(
-            *keep,
-            F.when(parsed.isNull(), F.lit(UNPARSEABLE))
-            .when(recs.isNull(), F.lit(NO_RECORDS))
-            .otherwise(F.lit(OK))
-            .alias("status"),
-            total.alias("total"),
-            F.when(recs.isNull(), F.lit(0)).otherwise(F.size(recs)).cast("bigint").alias("n_records"),
-        )
+        return bodies.select(*keep, found.alias("_found")).select(*keep, "_found.status", "_found.total", "_found.n_records")
