@@ -399,12 +399,21 @@ def _run_inbound(spark, cfg, fetch, landing_path, table_path, audit_path, load_t
         raise
 
 
-def _payload_digest(rows: DataFrame, count: str, digest: str) -> DataFrame:
-    """Per page the number of payloads and a digest that does not depend on their order, but on how often each is there."""
+def _payload_digest(rows: DataFrame, count: str, digest: str, good: Column | None = None) -> DataFrame:
+    """Per page the number of payloads and a digest that does not depend on their order, but on how often each is there.
+
+    With ``good``, those rows only; the others' number is ``rejected``. The good and the other rows without a page are two rows.
+    """
+    counted = F.lit(True) if good is None else good
     text = F.to_json(F.col(sch.PAYLOAD), {"ignoreNullFields": "false"})
-    parts = [F.xxhash64(F.lit(salt), text).cast("decimal(20,0)") for salt in ("a", "b")]
+    rows = rows.select("page", counted.alias("_good"), text.alias("_text"))
+    parts = [F.when(F.col("_good"), F.xxhash64(F.lit(salt), "_text").cast("decimal(20,0)")) for salt in ("a", "b")]
     sums = F.concat_ws(":", *[F.sum(x).cast("string") for x in parts])
-    return rows.groupBy("page").agg(F.count(F.lit(1)).alias(count), sums.alias(digest))
+    n = F.count(F.when(F.col("_good"), 1))
+    if good is None:
+        return rows.groupBy("page").agg(n.alias(count), sums.alias(digest))
+    found = rows.groupBy("page", F.when(F.col("page").isNull(), F.col("_good")).alias("_part"))
+    return found.agg(n.alias(count), F.count(F.when(~F.col("_good"), 1)).alias("rejected"), F.when(n > 0, sums).alias(digest)).drop("_part")
 
 
 def content_reconciliation(spark: SparkSession, cfg: ExchangeConfig, bodies: DataFrame, table_path: str, load_id: str,
@@ -418,9 +427,8 @@ def content_reconciliation(spark: SparkSession, cfg: ExchangeConfig, bodies: Dat
     """
     schema = sink.load_schema(spark, table_path) or StructType([])
     records = extract.extract_records(bodies, cfg.data_field, cfg.response_format, cfg.soap, prefixes=bool(cfg.namespace))
-    good, bad = sch.split_corrupt((sch.conform_fields if by_field else sch.conform)(records, schema))
-    landed = _payload_digest(env.blank_payload(good), "landed", "_want").join(
-        bad.groupBy("page").agg(F.count(F.lit(1)).alias("rejected")), "page", "full_outer")
+    typed = env.blank_payload((sch.conform_fields if by_field else sch.conform)(records, schema))
+    landed = _payload_digest(typed, "landed", "_want", F.col(sch.CORRUPT).isNull())
     table = sink.read_table(spark, table_path).filter((F.col("source_id") == cfg.source_id) & (F.col("load_id") == load_id))
     both = landed.join(_payload_digest(table, "loaded", "_got"), "page", "full_outer")
     counts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("landed", "rejected", "loaded")]

@@ -2,6 +2,8 @@
 
 from pyspark.sql import functions as F
 
+from ferry import flows
+from ferry.config import ExchangeConfig
 from ferry.functions import extract
 
 
@@ -20,3 +22,16 @@ def test_xml_body_is_parsed_once(spark):
         stored = extract.parsed_records(extract.parsed_bodies(bodies, "xml", prefixes=prefixes), "b.item", prefixes=prefixes)
         rows = [sorted((r[0], r[1], r[2]) for r in x.select("page", "pos", F.to_json("record")).collect()) for x in (direct, stored)]
         assert rows[0] == rows[1] and [r[:2] for r in rows[0]] == [(1, 0)] + [(1, 1)] * (len(rows[0]) - 1)
+
+
+def test_reconciliation_reads_the_records_once(spark, tmp):
+    cfg = ExchangeConfig("api", data_field="items")
+    rows = [(1, '{"items": [{"a": 1}, {"a": 2}]}'), (2, '{"items": [{"a": 3}, 7]}'), (None, '{"items": [{"a": 4}, 8, 9]}'), (3, '{"items": [5]}')]
+    bodies = spark.createDataFrame(rows, "page long, body string")
+    flows.load_landed(spark, cfg, bodies, f"{tmp}/t", "l1", "2024-01-01 00:00:00", "u")
+    found = flows.content_reconciliation(spark, cfg, bodies, f"{tmp}/t", "l1")
+    assert analyzed(found).count("Generate posexplode") == 1
+    got = sorted((tuple(r) for r in found.collect()), key=str)
+    # rows without a page match nothing
+    assert got == sorted([(1, 2, 0, 2, "ok"), (2, 1, 1, 1, "ok"), (3, 0, 1, 0, "ok"), (None, 1, 0, 0, "missing"), (None, 0, 2, 0, "ok"),
+                          (None, 0, 0, 1, "unplanned")], key=str)
