@@ -91,9 +91,9 @@ def ingest_landed_stream(
 
     Otherwise the running ``StreamingQuery`` is returned (triggered every
     ``processing_time``). ``checkpoint_location`` defaults to a folder beside
-    the table, so a restarted stream goes on with the same batch ids. With
-    ``batch_partitions``, each micro-batch is spread over so many tasks before
-    parsing, for sources that land a few large files at a time.
+    the table, so a restarted stream goes on with the same batch ids. Each
+    micro-batch is spread over ``batch_partitions`` tasks (default: one per core)
+    before parsing, as a trigger may read one large file, which is one task.
     ``on_bad_bodies``: ``"quarantine"`` goes on without them, ``"fail"`` stops.
     """
     from ferry.flows import load_landed
@@ -108,7 +108,8 @@ def ingest_landed_stream(
         "page", "body", F.col("_metadata.file_path").alias("file"), F.col("_metadata.row_index").alias("row"))
 
     def per_batch(batch: DataFrame, batch_id: int) -> None:
-        rows = batch.repartition(int(batch_partitions), "page") if batch_partitions else batch
+        tasks = int(batch_partitions or batch.sparkSession.sparkContext.defaultParallelism)
+        rows = batch.repartition(tasks, "file", "row")  # no two bodies have the same place
         load_id = f"{load_prefix}-{batch_id}"
         bad = quarantine_bad_bodies(rows, cfg, table_path, load_id)
         if bad and on_bad_bodies == "fail":

@@ -5,6 +5,8 @@ from pyspark.sql import functions as F
 from ferry import flows
 from ferry.config import ExchangeConfig
 from ferry.functions import extract
+from ferry.operators import sink
+from ferry.streaming.ingest import ingest_landed_stream
 
 
 def analyzed(df) -> str:
@@ -35,3 +37,13 @@ def test_reconciliation_reads_the_records_once(spark, tmp):
     # rows without a page match nothing
     assert got == sorted([(1, 2, 0, 2, "ok"), (2, 1, 1, 1, "ok"), (3, 0, 1, 0, "ok"), (None, 1, 0, 0, "missing"), (None, 0, 2, 0, "ok"),
                           (None, 0, 0, 1, "unplanned")], key=str)
+
+
+def test_a_trigger_of_one_file_is_spread(spark, tmp):
+    cfg = ExchangeConfig("api", data_field="items")
+    bodies = spark.range(200).select(F.col("id").alias("page"), F.format_string('{"items": [{"a": %d}]}', "id").alias("body"))
+    bodies.coalesce(1).write.parquet(f"{tmp}/src")
+    ingest_landed_stream(spark, cfg, f"{tmp}/src", f"{tmp}/t", load_prefix="s", load_ts="2024-01-01 00:00:00", user="u", max_files_per_trigger=1)
+    rows = sink.read_table(spark, f"{tmp}/t")
+    assert len(rows.inputFiles()) > 1  # one of each task
+    assert sorted(r[0] for r in rows.select("data_payload.a").collect()) == list(range(200))
