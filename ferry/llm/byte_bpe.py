@@ -1,20 +1,12 @@
-"""Byte-level BPE encoding and decoding with Spark's higher-order functions (operator 11).
-
-A text is cut into words by the vocabulary's pattern. A word's bytes are written
-as the Latin-1 characters of their values, so a piece is a part of a string.
-One fold merges a word: its state has one number for each pair of neighbouring
-pieces, the rank of the two joined (``NO_RANK`` if they are no token) above the
-place of the cut between them. Every step takes the smallest, which is the
-leftmost pair of the smallest rank, drops it and looks up the two pairs this
-changes. The ranks are a
-literal map in the plan, held as an array of small maps by CRC-32, because a
-lookup in a Spark map walks over its keys. A word that is a token needs no fold.
-
-The same words come again and again, so words are counted over all documents,
-the ``HOT_WORDS`` most frequent ones are folded once, and their ids become a
-second literal map. The bound is one of size only: every other word is folded
-where it stands, with the same result, so no word is shuffled but for the count
-(one row for each distinct word of a task).
+"""Byte-level BPE encoding and decoding (operator 11).
+
+A text is cut into words by the vocabulary's pattern, in the JVM. The words go
+to an Arrow function: those of a batch are numbered, each distinct one is merged
+once, and the rows' ids are taken from there. A word that is a token is its own
+id; else the leftmost pair of neighbouring pieces of the smallest rank is joined
+until no pair is a token. The first ``HOT_WORDS`` words that a Python worker
+meets it remembers, mostly frequent ones; this bounds its memory only, every
+other word is merged anew in each batch, with the same result. Nothing is shuffled.
 
 Decoding looks every id up in a literal array of pieces, joins the pieces and
 turns the characters back into bytes.
@@ -32,22 +24,22 @@ are kept, whatever their names.
 from __future__ import annotations
 
 import base64
+import hashlib
 import json
-import zlib
-from typing import Callable, Mapping
+from typing import Iterator, Mapping
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ferry.llm.common import rows_as_struct, temporary_tables, written
+from ferry.llm.common import rows_as_struct
 
 VOCABULARY = "byte_bpe_50k.tiktoken"
-#: Most frequent words that are encoded once; with at most ``HOT_BYTES`` bytes a word this bounds the literal.
+#: Words that a Python worker remembers with their ids, of at most ``HOT_BYTES`` bytes.
 HOT_WORDS = 200_000
 HOT_BYTES = 64
 NO_RANK = 2**31 - 1
-_NO_PAIR, _MIDDLE = NO_RANK << 32, 0xFFFFFFFF
-_RANK_MAPS, _HOT_MAPS = 1 << 14, 1 << 16
 _LATIN = "ISO-8859-1"
 
 
@@ -67,63 +59,48 @@ def default_pattern() -> str:
     return public_tokenizers.PATTERN
 
 
-def _rank_maps(ranks: Mapping[str, int]) -> Column:
-    """The ranks as a literal array of maps, a piece in the one its CRC-32 points to."""
-    maps: list[dict] = [{} for _ in range(_RANK_MAPS)]
-    for piece, rank in ranks.items():
-        maps[zlib.crc32(piece.encode()) % _RANK_MAPS][piece] = rank
-    return F.from_json(F.lit(json.dumps(maps, ensure_ascii=False, separators=(",", ":"))), "array<map<string,int>>")
-
-
-def _map_number(key: Column, n: int) -> Column:
-    return F.crc32(key.cast("binary")).bitwiseAND(n - 1).cast("int")
-
-
-def _look_up(maps: Column, n: int, key: Column) -> Column:
-    return F.get(maps, _map_number(key, n))[key]
-
-
 def _let(value: Column, body) -> Column:
     """``body(value)`` with the value computed once."""
     return F.get(F.transform(F.array(value), body), 0)
 
 
-def _merge(word: Column, rank: Callable[[Column], Column]) -> Column:
+def merge(word: bytes, ranks: Mapping[bytes, int]) -> list[int | None]:
     """The ids of one word."""
-    def encoded(latin: Column) -> Column:
-        return _let(rank(latin), lambda whole: F.when(whole.isNotNull(), F.array(whole)).otherwise(_fold(latin, rank)))
-
-    return _let(F.decode(F.encode(word, "UTF-8"), _LATIN), encoded)
-
-
-def _fold(latin: Column, rank: Callable[[Column], Column]) -> Column:
-    size = F.length(latin).cast("bigint")
-
-    def piece(start: Column, end: Column) -> Column:
-        return F.substring(latin, (start + 1).cast("int"), (end - start).cast("int"))
-
-    def pair(start: Column, middle: Column, end: Column) -> Column:
-        return F.shiftleft(F.coalesce(rank(piece(start, end)), F.lit(NO_RANK)).cast("bigint"), 32).bitwiseOR(middle)
-
-    def step(pairs: Column) -> Column:
-        cut = lambda i: F.get(pairs, i).bitwiseAND(_MIDDLE)
-        left = lambda at: pair(F.coalesce(cut(at - 2), F.lit(0)), cut(at - 1), F.coalesce(cut(at + 1), size))
-        right = lambda at: pair(F.coalesce(cut(at - 1), F.lit(0)), cut(at + 1), F.coalesce(cut(at + 2), size))
-
-        def join(at: Column, least: Column) -> Column:  # ``at``: the joined pair's place, from 0
-            return F.transform(F.array_remove(pairs, least),
-                               lambda x, i: F.when(i == at - 1, left(at)).when(i == at, right(at)).otherwise(x))
-
-        def least_first(least: Column) -> Column:
-            place = F.array_position(pairs, least).cast("int") - 1
-            return F.when(least < _NO_PAIR, _let(place, lambda at: join(at, least))).otherwise(pairs)
-
-        return _let(F.array_min(pairs), least_first)
-
-    start = F.transform(F.sequence(F.lit(1).cast("bigint"), size - 1), lambda i: pair(i - 1, i, i + 1))
-    merged = F.aggregate(F.sequence(F.lit(2).cast("bigint"), size), start, lambda state, _: step(state))
-    cuts = F.concat(F.transform(merged, lambda x: x.bitwiseAND(_MIDDLE)), F.array(size))
-    return _let(cuts, lambda c: F.transform(c, lambda end, i: rank(piece(F.coalesce(F.get(c, i - 1), F.lit(0)), end))))
+    whole = ranks.get(word)
+    if whole is not None:
+        return [whole]
+    cuts = list(range(len(word) + 1))
+    pairs = [ranks.get(word[i:i + 2], NO_RANK) for i in range(len(word) - 1)]  # ranks of pieces i and i + 1 joined
+    while pairs and (least := min(pairs)) < NO_RANK:
+        i = pairs.index(least)
+        del cuts[i + 1], pairs[i]
+        if i < len(pairs):
+            pairs[i] = ranks.get(word[cuts[i]:cuts[i + 2]], NO_RANK)
+        if i:
+            pairs[i - 1] = ranks.get(word[cuts[i - 1]:cuts[i + 1]], NO_RANK)
+    return [ranks.get(word[start:end]) for start, end in zip(cuts, cuts[1:])]
+
+
+#: Remembered words of this worker, by vocabulary.
+_known: dict[str, dict[str, list]] = {}
+
+
+def _batch_ids(lists: pa.Array, ranks: Mapping[bytes, int], known: dict[str, list], hot: int) -> pa.Array:
+    """The ids of each row's words, for an array of lists of words."""
+    words = lists.flatten().dictionary_encode()
+    ids = []
+    for word in words.dictionary.to_pylist():
+        found = known.get(word)
+        if found is None:
+            piece = word.encode()
+            found = merge(piece, ranks)
+            if len(known) < hot and len(piece) <= HOT_BYTES:
+                known[word] = found
+        ids.append(found)
+    each = pa.array(ids, pa.list_(pa.int32())).take(words.indices)
+    word_ends = np.concatenate([[0], np.cumsum(each.value_lengths().to_numpy(zero_copy_only=False))])
+    row_ends = np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy(zero_copy_only=False))])
+    return pa.ListArray.from_arrays(pa.array(word_ends[row_ends.astype("int64")], pa.int32()), each.flatten())
 
 
 class Vocabulary:
@@ -132,21 +109,22 @@ class Vocabulary:
     def __init__(self, ranks: Mapping[bytes, int], pattern: str):
         self.pattern = f"(?U){pattern}"
         self._pieces = {piece.decode("latin-1"): rank for piece, rank in ranks.items()}
-        self._ranks = _rank_maps(self._pieces)
+        self._ranks = dict(ranks)
+        self._name = hashlib.sha256(repr(sorted(self._ranks.items())).encode()).hexdigest()
 
     def words(self, text: Column) -> Column:
         return F.regexp_extract_all(F.coalesce(text, F.lit("")), F.lit(self.pattern), 0)
 
-    def merge_all(self, words: Column, known: Column | None = None) -> Column:
-        """The ids of each of some words (array of array of int); ``known`` has the ids of some words."""
-        def with_maps(maps: Column) -> Column:
-            rank = lambda piece: _look_up(maps, _RANK_MAPS, piece)
-            merged = lambda word: _merge(word, rank)
-            if known is None:
-                return F.transform(words, merged)
-            return _let(known, lambda hot: F.transform(words, lambda w: F.coalesce(_look_up(hot, _HOT_MAPS, w), merged(w))))
+    def merge_all(self, words: Column, hot: int = HOT_WORDS) -> Column:
+        """The ids (array of int) of a list of words; a worker remembers up to ``hot`` words."""
+        ranks, name = self._ranks, self._name
+
+        def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+            known = _known.setdefault(name, {})
+            for lists in batches:
+                yield _batch_ids(lists, ranks, known, hot)
 
-        return _let(self._ranks, with_maps)  # named once, so the plan holds the literal once
+        return F.arrow_udf(run, "array<int>")(words)
 
     def pieces(self) -> Column:
         """Literal array of every id's bytes, as Latin-1 characters."""
@@ -160,30 +138,12 @@ def vocabulary(path: str | None = None, pattern: str | None = None) -> Vocabular
     return Vocabulary(read_ranks(path), pattern or default_pattern())
 
 
-def hot_words(docs: DataFrame, vocab: Vocabulary, n: int = HOT_WORDS, text_col: str = "text") -> DataFrame:
-    """``word, ids`` of the ``n`` most frequent words (of at most ``HOT_BYTES`` bytes) over all rows."""
-    words = docs.select(F.explode(vocab.words(F.col(f"`{text_col}`"))).alias("word")).filter(F.octet_length("word") <= HOT_BYTES)
-    counts = words.groupBy("word").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > 1)
-    top = counts.orderBy(F.col("n").desc(), "word").limit(n).select("word")
-    spread = top.repartition(docs.sparkSession.sparkContext.defaultParallelism)
-    return spread.select("word", F.get(vocab.merge_all(F.array("word")), 0).alias("ids"))
-
-
 def encode(docs: DataFrame, vocab: Vocabulary | None = None, hot: int = HOT_WORDS, text_col: str = "text") -> DataFrame:
     """The input rows with ``ids`` (array of int) as a last column; an input column of that name is replaced."""
     vocab = vocab or vocabulary()
-    with temporary_tables(docs.sparkSession):
-        known = written(hot_words(docs, vocab, hot, text_col), "bpe-hot")
-        entries = F.map_from_entries(F.collect_list(F.struct("word", "ids")))
-        found = known.groupBy(_map_number(F.col("word"), _HOT_MAPS).alias("map")).agg(F.to_json(entries).alias("json")).collect()
-    maps = ["{}"] * _HOT_MAPS
-    for r in found:
-        maps[r["map"]] = r["json"]
-    literal = F.from_json(F.lit(f"[{','.join(maps)}]"), "array<map<string,array<int>>>")
-    ids = F.flatten(vocab.merge_all(vocab.words(F.col("_text")), literal))
     rows = rows_as_struct(docs, [text_col]).select("_row", F.col(f"`_{text_col}`").cast("string").alias("_text"))
     keep = [F.col("_row")[c].alias(c) for c in docs.columns if c != "ids"]
-    return rows.select("_row", ids.alias("_ids")).select(*keep, F.col("_ids").alias("ids"))
+    return rows.select("_row", vocab.merge_all(vocab.words(F.col("_text")), hot).alias("_ids")).select(*keep, F.col("_ids").alias("ids"))
 
 
 def decode(ids: Column, vocab: Vocabulary | None = None) -> Column:

@@ -45,3 +45,12 @@ def test_texts_of_all_kinds(spark, library):
 def test_empty_table(spark):
     docs = spark.createDataFrame([], "doc_id long, text string")
     assert byte_bpe.encode(docs).count() == 0
+
+
+def test_words_are_merged_where_they_stand(spark, library):
+    docs = spark.createDataFrame([(i, f"qxzv{i % 7} zzqj{i} " * 3) for i in range(300)], "doc_id long, text string")
+    out = byte_bpe.encode(docs, hot=5)  # fewer than a worker meets
+    plan = out._jdf.queryExecution().optimizedPlan().toString()
+    assert "ArrowEvalPython" in plan and "from_json" not in plan
+    for r in out.collect():
+        assert r["ids"] == library.encode_ordinary(r["text"])
